@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import pii, substrings, warc
+from larder.llm import fingerprints, mixing, packing, pii, substrings, topk, warc
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -13,6 +14,38 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best candidates of every vector whose id is divisible by 20."""
+    return topk.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLE_SQL["op1_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text; see fingerprints.compare_edits."""
+    return fingerprints.compare_edits(_read(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's factor, probability and draw at the default targets."""
+    mixed = mixing.mix(_read(spark, sf_dir, "documents"))
+    named = {"mix_source": "source", "mix_lang": "lang", "mix_topic": "topic", "mix_tokens": "n_tokens", "mix_kept": "kept"}
+    rounded = [F.round(f"mix_{c}", 6).alias(c) for c in ("factor", "probability", "weight")]
+    return mixed.select("doc_id", *(F.col(a).alias(b) for a, b in named.items()), *rounded)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 1024 ids."""
+    return packing.pack(packing.pieces(_read(spark, sf_dir, "documents")))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through an archive and back; see warc.RECORD."""
     return warc.round_trip(_read(spark, sf_dir, "pages"))
@@ -38,4 +71,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.marked(_read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op7_warc, op9_pii, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op7_warc, op9_pii, op10_substring_dedup)}

@@ -43,6 +43,10 @@ RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _NO_ID = np.iinfo(np.int64).max
 
 
+#: Low bits of a sort key that hold a document's place in its chunk.
+_PLACE = 24
+
+
 @dataclass(frozen=True)
 class Plan:
     """Sizes that all passes agree on: cells of a sketch row as a power of two, shards, words of a window."""
@@ -54,11 +58,19 @@ class Plan:
     def cells(self, keys: np.ndarray, row: int) -> np.ndarray:
         return mixed(keys + np.uint64(0x9E3779B97F4A7C15 * (row + 1) % 2**64)) >> np.uint64(64 - self.cell_bits)
 
+    def low(self, shard: int) -> int:
+        """The first cell of a shard."""
+        return int(shard * (2.0**self.cell_bits / self.shards))
+
     def bounds(self, row_cells: np.ndarray) -> np.ndarray:
         """Where each shard's part of some sorted cells begins, and the end."""
-        edges = (np.arange(1, self.shards, dtype=np.float64) * (2.0**self.cell_bits / self.shards)).astype(np.uint64)
+        edges = np.array([self.low(s) for s in range(1, self.shards)], np.uint64)
         return np.concatenate([[0], np.searchsorted(row_cells, edges), [len(row_cells)]])
 
+    def shard_of(self, keys: np.ndarray) -> np.ndarray:
+        """By the keys' high bits, so that sorted keys are sorted by shard."""
+        return ((keys >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)).astype(np.int64)
+
 
 def _pack(x: np.ndarray) -> bytes:
     """Sorted integers as deltas of the narrowest type."""
@@ -74,51 +86,79 @@ def _unpack(b: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(raw, f"u{size}", offset=16).astype(np.uint64)) + first
 
 
+class _Set:
+    """Membership in some sorted cells: first a small bitmap of their high bits, then a binary search."""
+
+    def __init__(self, members: np.ndarray, bits: int):
+        self.members, self.shift = members, np.uint64(max(0, bits - 23))
+        self.map = np.zeros(1 << min(bits, 23), bool)
+        self.map[(members >> self.shift).astype(np.int64)] = True
+
+    def holding(self, cells: np.ndarray) -> np.ndarray:
+        """Indices of the cells that are members."""
+        at = np.flatnonzero(self.map[(cells >> self.shift).astype(np.int64)])
+        if not len(at):
+            return at
+        found = np.searchsorted(self.members, cells[at])
+        return at[self.members[np.minimum(found, len(self.members) - 1)] == cells[at]]
+
+
 class Chunk:
-    """The windows of the documents of one chunk."""
+    """The windows of the documents of one chunk: their keys, documents and first words."""
 
     def __init__(self, docs: pa.Table, window: int):
         ids = docs["doc_id"].to_pandas()
+        self.window = window
         self.ids = ids.fillna(_NO_ID).to_numpy().astype(np.int64) if ids.isna().any() else ids.to_numpy()
         self.counts = np.zeros(len(self.ids), np.int64)
-        keys, more, rows, places = [], [], [], []
+        keys, rows, starts, words_seen, all_words = [], [], [], 0, []
         for row, words in slices(docs["text"]):
             n = words.counts
             self.counts[row : row + len(n)] = n
-            at, key = words.runs(words.hashes(0), window, 0)
-            _, second = words.runs(words.hashes(1), window, 1)
-            of = np.searchsorted(words.first, at, "right") - 1
+            hashes = words.hashes(0)
+            at, key = words.runs(hashes, window, 0)
             keys.append(key)
-            more.append(second)
-            rows.append(of + row)
-            places.append(at - words.first[of])
-        join = lambda x, kind: np.concatenate([np.zeros(0, kind), *x]).astype(kind)
-        self.keys, self.more, self.rows, self.places = join(keys, np.uint64), join(more, np.uint64), join(rows, np.int32), join(places, np.int32)
-
-    def repeated(self, plan: Plan, flags: dict[tuple[int, int], bytes]) -> np.ndarray:
-        """Which windows have every cell set; flags: bits by sketch row and shard."""
-        out = np.ones(len(self.keys), bool)
+            rows.append((np.repeat(np.arange(row, row + len(n)), n)[at]).astype(np.int32))
+            starts.append(at + words_seen)
+            all_words.append(hashes)
+            words_seen += len(hashes)
+        join = lambda x, kind: np.concatenate([np.zeros(0, kind), *x])
+        self.keys, self.rows, self.starts, self.words = join(keys, np.uint64), join(rows, np.int32), join(starts, np.int64), join(all_words, np.uint64)
+
+    def sketch(self, plan: Plan, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted cells of one sketch row, and which of them several documents of the chunk hit."""
+        x = np.sort((plan.cells(self.keys, row) << np.uint64(_PLACE)) | self.rows.astype(np.uint64))
+        x = x[np.flatnonzero(np.diff(x, prepend=x[:1] + np.uint64(1)))] >> np.uint64(_PLACE)  # once for each document
+        new = np.flatnonzero(np.diff(x, prepend=x[:1] + np.uint64(1)))
+        return x[new], np.diff(new, append=len(x)) > 1
+
+    def repeated(self, plan: Plan, flagged: dict[int, np.ndarray]) -> np.ndarray:
+        """Indices of the windows whose cell is flagged in every sketch row."""
+        at = np.arange(len(self.keys))
         for row in range(ROWS):
-            cells = plan.cells(self.keys, row)
-            known = np.unique(cells)
-            edges = plan.bounds(known)
-            bits = np.zeros(len(known), bool)
-            for shard in range(plan.shards):
-                if n := edges[shard + 1] - edges[shard]:
-                    bits[edges[shard] : edges[shard + 1]] = _bits(flags[row, shard], n)
-            out &= bits[np.searchsorted(known, cells)]
-        return out
-
-    def entries(self, at: np.ndarray, plan: Plan) -> tuple[np.ndarray, ...]:
-        """Of the windows at these indices: order by (shard, key), where each distinct one starts, its shard, keys and smallest doc_id."""
-        key, more, doc = self.keys[at], self.more[at], self.ids[self.rows[at]]
-        shard = (mixed(key) % np.uint64(plan.shards)).astype(np.int64)
-        order = np.lexsort((doc, more, key, shard))
-        key, more, doc, shard = key[order], more[order], doc[order], shard[order]
+            at = at[_Set(flagged[row], plan.cell_bits).holding(plan.cells(self.keys[at], row))] if len(flagged[row]) else at[:0]
+        return at
+
+    def second(self, at: np.ndarray) -> np.ndarray:
+        """Another 64 bits of the windows' keys."""
+        out, odd = np.zeros(len(at), np.uint64), np.uint64(0xD6E8FEB86659FD93)
+        for k in range(self.window):
+            out = out * odd + (self.words[self.starts[at] + k] ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+        return mixed(out)
+
+    def entries(self, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the windows at these indices: their order by key, where each distinct one starts, its two keys and smallest doc_id."""
+        key, more = self.keys[at], self.second(at)
+        order = np.argsort(key, kind="stable")
+        same = key[order][1:] == key[order][:-1]
+        if (more[order][1:][same] != more[order][:-1][same]).any():
+            order = np.lexsort((more, key))
+        key, more = key[order], more[order]
         new = np.ones(len(order), bool)
         new[1:] = (key[1:] != key[:-1]) | (more[1:] != more[:-1])
         first = np.flatnonzero(new)
-        return order, first, shard[first], key[first], more[first], doc[first]
+        doc = np.minimum.reduceat(self.ids[self.rows[at[order]]], first) if len(first) else np.zeros(0, np.int64)
+        return order, first, key[first], more[first], doc
 
 
 def _bits(packed: bytes, n: int) -> np.ndarray:
@@ -140,19 +180,13 @@ def _rows(chunk: list, part: list, shard: list, body: list, name: str = "part")
 def _sketched(plan: Plan):
     def run(docs: pa.Table) -> pa.Table:
         c, out = Chunk(docs, plan.window), ([], [], [], [])
-        # A window that this chunk has in two documents counts twice; repeats within a document count once.
         for row in range(ROWS):
-            cells = plan.cells(c.keys, row)
-            order = np.lexsort((c.rows, cells))
-            cells, rows = cells[order], c.rows[order]
-            new = np.ones(len(cells), bool)
-            new[1:] = (cells[1:] != cells[:-1]) | (rows[1:] != rows[:-1])
-            known, counts = np.unique(cells[new], return_counts=True)
+            known, several = c.sketch(plan, row)
             edges = plan.bounds(known)
             for shard in range(plan.shards):
                 a, b = edges[shard], edges[shard + 1]
                 if b > a:
-                    twice = _packed_bits(counts[a:b] > 1)
+                    twice = _packed_bits(several[a:b])
                     for x, v in zip(out, (int(docs["chunk"][0].as_py()), row, shard, len(twice).to_bytes(4, "little") + twice + _pack(known[a:b]))):
                         x.append(v)
         return _rows(*out)
@@ -162,27 +196,34 @@ def _sketched(plan: Plan):
 
 def _merged(plan: Plan):
     def run(parts: pa.Table) -> pa.Table:
-        """All chunks' cells of one sketch row and shard: their sum, then a bit for each cell of each chunk."""
+        """All chunks' cells of one sketch row and shard: their sum, then each chunk's cells that reach two documents."""
         shard, row = parts["shard"][0].as_py(), parts["part"][0].as_py()
-        low = int(shard * (2.0**plan.cell_bits / plan.shards))
-        counts = np.zeros(int((shard + 1) * (2.0**plan.cell_bits / plan.shards)) - low + 2, np.uint8)
+        low = plan.low(shard)
+        counts = np.zeros(plan.low(shard + 1) - low + 2, np.uint8)
         bodies = [x.as_py() for x in parts["body"]]
 
         def cells(body: bytes) -> tuple[np.ndarray, np.ndarray]:
             n = int.from_bytes(body[:4], "little")
-            known = (_unpack(body[4 + n :]) - np.uint64(low)).astype(np.int64)
+            known = _unpack(body[4 + n :])
             return known, _bits(body[4 : 4 + n], len(known))
 
         for body in bodies:
             known, twice = cells(body)
-            counts[known] = np.minimum(counts[known] + 1 + twice, 2)
-        return _rows(parts["chunk"].to_pylist(), [row] * len(bodies), [shard] * len(bodies), [_packed_bits(counts[cells(b)[0]] > 1) for b in bodies], "kind")
+            at = (known - np.uint64(low)).astype(np.int64)
+            counts[at] = np.minimum(counts[at] + 1 + twice, 2)
+        out = []
+        for body in bodies:
+            known, _ = cells(body)
+            out.append(_pack(known[counts[(known - np.uint64(low)).astype(np.int64)] > 1]))
+        return _rows(parts["chunk"].to_pylist(), [row] * len(bodies), [shard] * len(bodies), out, "kind")
 
     return run
 
 
-def _flags_of(flags: pa.Table) -> dict[tuple[int, int], bytes]:
-    return {(k, s): b for k, s, b in zip(flags["kind"].to_pylist(), flags["shard"].to_pylist(), flags["body"].to_pylist())}
+def _flagged(flags: pa.Table) -> dict[int, np.ndarray]:
+    """Sorted flagged cells by sketch row."""
+    found = sorted((k, s, b) for k, s, b in zip(flags["kind"].to_pylist(), flags["shard"].to_pylist(), flags["body"].to_pylist()) if k != EXACT)
+    return {row: np.concatenate([np.zeros(0, np.uint64), *(_unpack(b) for k, _, b in found if k == row)]) for row in range(ROWS)}
 
 
 def _gathered(plan: Plan):
@@ -190,9 +231,8 @@ def _gathered(plan: Plan):
         out: tuple[list, list, list, list] = ([], [], [], [])
         if docs.num_rows:
             c = Chunk(docs, plan.window)
-            at = np.flatnonzero(c.repeated(plan, _flags_of(flags)))
-            _, _, shard, key, more, doc = c.entries(at, plan)
-            edges = np.searchsorted(shard, np.arange(plan.shards + 1))
+            _, _, key, more, doc = c.entries(c.repeated(plan, _flagged(flags)))
+            edges = np.searchsorted(plan.shard_of(key), np.arange(plan.shards + 1))
             for s in range(plan.shards):
                 a, b = edges[s], edges[s + 1]
                 if b > a:
@@ -227,22 +267,21 @@ def _removed(plan: Plan):
     def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "removed": pa.array([], pa.binary()), "n_words": pa.array([], pa.int64()), "text": pa.array([], pa.string())})
-        c, known = Chunk(docs, plan.window), _flags_of(flags)
-        at = np.flatnonzero(c.repeated(plan, known))
-        order, first, shard, _, _, doc = c.entries(at, plan)
+        c = Chunk(docs, plan.window)
+        at = c.repeated(plan, _flagged(flags))
+        order, first, key, _, doc = c.entries(at)
+        answers = {s: b for k, s, b in zip(flags["kind"].to_pylist(), flags["shard"].to_pylist(), flags["body"].to_pylist()) if k == EXACT}
         earlier = np.zeros(len(first), bool)
-        edges = np.searchsorted(shard, np.arange(plan.shards + 1))
+        edges = np.searchsorted(plan.shard_of(key), np.arange(plan.shards + 1))
         for s in range(plan.shards):
             if n := edges[s + 1] - edges[s]:
-                earlier[edges[s] : edges[s + 1]] = _bits(known[EXACT, s], n)
+                earlier[edges[s] : edges[s + 1]] = _bits(answers[s], n)
         entry = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
         at = at[order]
         gone = earlier[entry] | (c.ids[c.rows[at]] > doc[entry])
         at = at[gone]
         begin = np.concatenate([[0], np.cumsum(c.counts)])
-        cover = np.zeros(begin[-1] + plan.window + 1, np.int32)
-        np.add.at(cover, begin[c.rows[at]] + c.places[at], 1)
-        np.add.at(cover, begin[c.rows[at]] + c.places[at] + plan.window, -1)
+        cover = np.bincount(c.starts[at], minlength=begin[-1] + 1) - np.bincount(c.starts[at] + plan.window, minlength=begin[-1] + 1)
         gone_words = np.cumsum(cover)[: begin[-1]] > 0
         masks = [np.packbits(gone_words[a:b]).tobytes() if gone_words[a:b].any() else b"" for a, b in zip(begin, begin[1:])]
         return pa.table({"doc_id": docs["doc_id"].cast(pa.int64()), "removed": pa.array(masks, pa.binary()), "n_words": pa.array(c.counts), "text": docs["text"].cast(pa.string())})

@@ -92,8 +92,10 @@ class Words:
         for k in range(1, length):
             out *= odd
             out += hashes[k : k + n]
-        last = np.repeat(self.first[1:], self.counts)[:n]  # the end of each word's text
-        at = np.flatnonzero(np.arange(n) + length <= last)
+        room = np.ones(n, bool)
+        for a, b in zip(self.first[:-1], self.first[1:]):  # not over the end of a text
+            room[max(a, b - length + 1) : b] = False
+        at = np.flatnonzero(room)
         return at, mixed(out[at])
 
 
