@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import fingerprints, mixing, packing, pii, substrings, topk, warc
+from larder.llm import fingerprints, mixing, packing, pii, substrings, topk, toxicity, warc
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -46,6 +46,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_read(spark, sf_dir, "documents")))
 
 
+#: Whether a document's label is kept back.
+HELD_OUT = "crc32(cast(doc_id AS string)) % 4 = 2"
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score, learnt from the labels that aren't held out."""
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"), F.expr(f"NOT ({HELD_OUT})"))
+    return toxicity.score(docs, model).select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through an archive and back; see warc.RECORD."""
     return warc.round_trip(_read(spark, sf_dir, "pages"))
@@ -71,4 +82,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.marked(_read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op7_warc, op9_pii, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op6_toxicity, op7_warc, op9_pii, op10_substring_dedup)}

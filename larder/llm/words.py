@@ -16,6 +16,8 @@ import pyarrow as pa
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII but letters.
+NOT_LETTERS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 #: Bytes of text that are handled at once; bounds the temporary arrays.
 SLICE_BYTES = 1 << 20
 
@@ -51,13 +53,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Words:
     """The words of some texts: byte spans, and for text i the words first[i] to first[i + 1]."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data, self.offsets = data, offsets
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
+        self.data, self.offsets, self.between = data, offsets, between
         if len(data) == 0:
             self.starts = self.ends = np.zeros(0, np.int64)
             self.first = np.zeros(len(offsets), np.int64)
             return
-        word = ~_SPACE[data]
+        word = ~between[data]
         before = np.zeros(len(data) + 1, bool)
         before[1:] = word
         before[offsets] = False
@@ -72,14 +74,18 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self, lane: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word."""
+    def hashes(self, lane: int = 0, prefix: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word, or of its first bytes."""
         if len(self.starts) == 0:
             return np.zeros(0, np.uint64)
         lengths = np.diff(np.append(self.starts, len(self.data)))
         at = np.arange(self.starts[0], len(self.data)) - np.repeat(self.starts, lengths)
         size = 1 << int(at.max() + 1).bit_length()
         values = _values(lane)[self.data[self.starts[0] :]] * _powers(lane, max(size, 1024))[at]
+        if self.between is not _SPACE:
+            values[self.between[self.data[self.starts[0] :]]] = 0
+        if prefix is not None:
+            values[at >= prefix] = 0
         return mixed(np.add.reduceat(values, self.starts - self.starts[0]))
 
     def runs(self, hashes: np.ndarray, length: int, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +105,7 @@ class Words:
         return at, mixed(out[at])
 
 
-def slices(texts: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterator[tuple[int, Words]]:
+def slices(texts: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES, between: np.ndarray = _SPACE) -> Iterator[tuple[int, Words]]:
     """(index of the first text, words) of consecutive texts of about `size` bytes; nulls are empty."""
     row = 0
     for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
@@ -114,6 +120,6 @@ def slices(texts: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterat
         i = 0
         while i < len(chunk):
             j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
-            yield row + i, Words(whole[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            yield row + i, Words(whole[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], between)
             i = j
         row += len(chunk)
