@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples, with exact TF-IDF cosine over a block-max inverted index.
 
 Fitting takes at most `per_class` labelled documents of each label, by a hash of the id. Terms are words
-(lower case, letters only) and the words' first four and five bytes; the vocabulary is the terms that
-mark toxic examples, chosen one after another by a chi-square over `CHI`. Document frequencies count all documents. The
+(lower case, letters only) and the beginnings of longer words, once or twice in a document; the
+vocabulary is the terms that mark toxic examples, chosen one after another by a chi-square over `CHI`. Document frequencies count all documents. The
 index keeps the examples in blocks, and for every term and block the greatest weight: the sum of these
 over a query's terms bounds the cosine of any example of the block, so blocks are evaluated from the
 highest bound down until the next bound is under the k-th best cosine. Nothing is left out by that.
@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.words import NOT_LETTERS, mixed, slices
+from larder.llm.words import NOT_LETTERS, slices
 
 #: Labelled documents of each label that the index holds at most.
 PER_CLASS = 3000
@@ -40,8 +40,11 @@ VOCABULARY = 4096
 CHI = 30.0
 #: And if at least this share of the toxic examples, and three, are left to it.
 SUPPORT = 0.002
+#: A term may ask for one occurrence in a document, or for up to so many.
+TIMES = 2
 NEIGHBOURS, BLOCK, EVIDENCE = 40, 64, 3
-PREFIXES = (4, 5)
+#: Bytes of a longer word's beginning that are a term.
+PREFIXES = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 SCORED = "doc_id long, score double, predicted int, evidence array<long>"
 
@@ -53,11 +56,12 @@ def terms(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         n = words.counts
         of = np.repeat(np.arange(len(n)), n)
         length = words.ends - words.starts
-        rows, hashes = [of], [words.hashes(5)]
+        found = words.with_prefixes(5, PREFIXES)
+        rows, hashes = [of], [found[None]]
         for p in PREFIXES:
-            long = length >= p
+            long = length > p
             rows.append(of[long])
-            hashes.append(mixed(words.hashes(5, p)[long] + np.uint64(p)))
+            hashes.append(found[p][long])
         yield row, len(n), np.concatenate(rows), np.concatenate(hashes)
 
 
@@ -77,64 +81,82 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the terms; `filter` is a bitmap that most other hashes miss."""
+    """Terms: hashes, and how often a document must hold each. `filter` is a bitmap that most other hashes miss."""
 
     hashes: np.ndarray
+    least: np.ndarray
+    known: np.ndarray = field(init=False)
     filter: np.ndarray = field(init=False)
+    term: np.ndarray = field(init=False)
 
     def __post_init__(self):
+        self.known, at = np.unique(self.hashes, return_inverse=True)
+        self.term = np.full((max(1, len(self.known)), TIMES), -1)
+        self.term[at, self.least - 1] = np.arange(len(self.hashes))
         self.filter = np.zeros(1 << 16, bool)
-        self.filter[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Indices of the hashes that are terms, and which terms."""
-        at = np.flatnonzero(self.filter[(hashes >> np.uint64(48)).astype(np.int64)]) if len(self.hashes) else np.zeros(0, np.int64)
-        term = np.searchsorted(self.hashes, hashes[at])
-        term = np.minimum(term, len(self.hashes) - 1)
-        ok = self.hashes[term] == hashes[at] if len(at) else np.zeros(0, bool)
-        return at[ok], term[ok]
+        self.filter[(self.known >> np.uint64(48)).astype(np.int64)] = True
+
+    def find(self, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, term and count of each pair that occurs, by document and term; from a row for each occurrence."""
+        none = np.zeros(0, np.int64)
+        if not len(self.known):
+            return none, none, none
+        at = np.flatnonzero(self.filter[(hashes >> np.uint64(48)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.known, hashes[at]), len(self.known) - 1)
+        ok = self.known[place] == hashes[at]
+        key, count = np.unique(doc[at[ok]] * len(self.known) + place[ok], return_counts=True)
+        doc, place = key // len(self.known), key % len(self.known)
+        pairs = [(doc[x], self.term[place[x], m], count[x]) for m in range(TIMES) for x in [np.flatnonzero((count > m) & (self.term[place, m] >= 0))]]
+        doc, term, count = (np.concatenate(x) for x in zip(*pairs))
+        order = np.lexsort((term, doc))
+        return doc[order], term[order], count[order]
 
     def documents(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Slices of texts: (index of the first, how many, then document, term and count of each pair that occurs)."""
+        """Slices of texts: (index of the first, how many), then what find() gives."""
         for row, n, of, hashes in terms(texts):
-            at, term = self.find(hashes)
-            key, count = np.unique(of[at] * max(1, len(self.hashes)) + term, return_counts=True)
-            yield row, n, key // max(1, len(self.hashes)), key % max(1, len(self.hashes)), count
+            yield row, n, *self.find(of, hashes)
 
 
-def _chosen(found: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, chi_least: float = CHI) -> np.ndarray:
-    """The sorted hashes of the terms that mark toxic examples, by sequential covering.
+def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, chi_least: float = CHI) -> Vocabulary:
+    """The terms that mark toxic examples, by sequential covering.
 
     The best term by chi-square is taken and the examples that hold it leave; so words that only go along
-    with it, as those of documents copied many times, don't count. Examples with equal terms count once. A term must
-    be toxic in at least half of its examples, counted with the labels' weights.
+    with it, as those of documents copied many times, don't count. Examples with equal terms count once. A
+    term must be toxic in at least half of its examples, counted with the labels' weights.
     """
+    none = Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
     distinct = {(f.tobytes(), int(t)): i for i, (f, t) in reversed(list(enumerate(zip(found, toxic))))}
     kept = sorted(distinct.values())
-    found, toxic = [found[i] for i in kept], toxic[kept]
+    found, counts, toxic = [found[i] for i in kept], [counts[i] for i in kept], toxic[kept]
     if not len(toxic) or toxic.min() == toxic.max():
-        return np.zeros(0, np.uint64)
+        return none
     hashes, at = np.unique(np.concatenate(found), return_inverse=True)
+    size = len(hashes)
     doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    common = np.bincount(at, toxic[doc], len(hashes))[at] > 1  # others reach no chi-square that counts
-    at, doc = at[common], doc[common]
+    times = np.concatenate(counts)
+    at = np.concatenate([at[times > m] + m * size for m in range(TIMES)])  # a term for each of the first occurrences
+    doc = np.concatenate([doc[times > m] for m in range(TIMES)])
     least = max(3, SUPPORT * toxic.sum())
+    common = np.bincount(at, toxic[doc], TIMES * size)[at] >= least
+    at, doc = at[common], doc[common]
     out: list[int] = []
     while len(out) < VOCABULARY and len(at):
+        ids, at_left = np.unique(at, return_inverse=True)
         left = np.unique(doc)
         n, n1 = len(left), int(toxic[left].sum())
-        has = np.bincount(at, minlength=len(hashes)).astype(float)
-        a = np.bincount(at, toxic[doc], len(hashes))
+        has = np.bincount(at_left).astype(float)
+        a = np.bincount(at_left, toxic[doc])
         b, c, d = has - a, n1 - a, n - n1 - has + a
         with np.errstate(divide="ignore", invalid="ignore"):
-            chi = np.where((a * d > b * c) & (a >= least) & (a * weights[1] >= b * weights[0]), np.nan_to_num(n * (a * d - b * c) ** 2 / (has * (n - has) * n1 * (n - n1))), 0.0)
-        best = int(np.lexsort((hashes, -chi))[0])
+            chi = np.nan_to_num(n * (a * d - b * c) ** 2 / (has * (n - has) * n1 * (n - n1)))
+        chi[(a * d <= b * c) | (a < least) | (a * weights[1] < b * weights[0])] = 0
+        best = int(np.lexsort((hashes[ids % size], ids // size, -chi))[0])
         if chi[best] <= chi_least:
             break
-        out.append(best)
-        stays = ~np.isin(doc, doc[at == best])
+        out.append(int(ids[best]))
+        stays = ~np.isin(doc, doc[at == ids[best]])
         at, doc = at[stays], doc[stays]
-    return np.sort(hashes[out])
+    return Vocabulary(hashes[[k % size for k in out]], np.array([k // size + 1 for k in out], np.int64)) if out else none
 
 
 class Index:
@@ -229,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     found = [np.frombuffer(x.as_py(), np.uint64) for x in sample["terms"]]
     counts = [np.frombuffer(x.as_py(), np.uint32) for x in sample["counts"]]
     weight_of = np.array([totals.get(t, 0) / max(1, int((toxic == t).sum())) for t in (0, 1)])
-    vocabulary = Vocabulary(_chosen(found, toxic, weight_of))
+    vocabulary = _chosen(found, counts, toxic, weight_of)
     size = len(vocabulary.hashes)
     weight = weight_of[toxic]
     if not size:
@@ -252,8 +274,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     model = Model(vocabulary, np.log(1 + df[size] / np.maximum(df[:size], 1)), None, np.zeros(1), np.zeros(1), 0.0)
     vectors = []
     for h, c in zip(found, counts):
-        at, term = vocabulary.find(h)
-        vectors.append(model.vector(term, c[at]))
+        ok = np.isin(h, vocabulary.known)
+        _, term, count = vocabulary.find(np.zeros(int(c[ok].sum()), np.int64), np.repeat(h[ok], c[ok]))
+        vectors.append(model.vector(term, count))
     model.index = index = Index(vectors, toxic, ids, size)
     place = np.argsort(index.order)
     has = np.array([len(t) > 0 for t, _ in vectors])

@@ -74,19 +74,33 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self, lane: int = 0, prefix: int | None = None) -> np.ndarray:
-        """A 64-bit hash of each word, or of its first bytes."""
+    def _terms(self, lane: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """From the first word on: each byte's place in its word, its part of the word's hash, and where words begin."""
+        begin = self.starts[0]
+        at = np.arange(begin, len(self.data)) - np.repeat(self.starts, np.diff(np.append(self.starts, len(self.data))))
+        size = max(1024, 1 << int(at.max() + 1).bit_length())
+        values = _values(lane)[self.data[begin:]] * _powers(lane, size)[at]
+        if self.between is not _SPACE:
+            values[self.between[self.data[begin:]]] = 0
+        return at, values, self.starts - begin
+
+    def hashes(self, lane: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word."""
         if len(self.starts) == 0:
             return np.zeros(0, np.uint64)
-        lengths = np.diff(np.append(self.starts, len(self.data)))
-        at = np.arange(self.starts[0], len(self.data)) - np.repeat(self.starts, lengths)
-        size = 1 << int(at.max() + 1).bit_length()
-        values = _values(lane)[self.data[self.starts[0] :]] * _powers(lane, max(size, 1024))[at]
-        if self.between is not _SPACE:
-            values[self.between[self.data[self.starts[0] :]]] = 0
-        if prefix is not None:
-            values[at >= prefix] = 0
-        return mixed(np.add.reduceat(values, self.starts - self.starts[0]))
+        _, values, begins = self._terms(lane)
+        return mixed(np.add.reduceat(values, begins))
+
+    def with_prefixes(self, lane: int, prefixes: tuple[int, ...]) -> dict[int | None, np.ndarray]:
+        """Hashes of the words (at None) and of their first bytes, by how many."""
+        if len(self.starts) == 0:
+            return dict.fromkeys((None, *prefixes), np.zeros(0, np.uint64))
+        at, values, begins = self._terms(lane)
+        out = {None: mixed(np.add.reduceat(values, begins))}
+        for p in sorted(prefixes, reverse=True):
+            values[at >= p] = 0
+            out[p] = mixed(mixed(np.add.reduceat(values, begins)) + np.uint64(p))
+        return out
 
     def runs(self, hashes: np.ndarray, length: int, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """The first word of every run of `length` words of one text, and the runs' hashes."""
