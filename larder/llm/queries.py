@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import fingerprints, mixing, packing, pii, substrings, topk, toxicity, warc
+from larder.llm import fingerprints, mixing, neardup, packing, pii, substrings, topk, toxicity, warc
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -72,6 +72,11 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return neardup.classes(_read(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document; see pii.RESULT."""
     return pii.find(_read(spark, sf_dir, "documents"))
@@ -82,4 +87,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.marked(_read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op6_toxicity, op7_warc, op9_pii, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op6_toxicity, op7_warc, op8_near_dedup, op9_pii, op10_substring_dedup)}
