@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import fingerprints, mixing, neardup, packing, pii, substrings, topk, toxicity, warc
+from larder.llm import fingerprints, lines, mixing, neardup, packing, pii, substrings, topk, toxicity, warc
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -46,6 +46,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_read(spark, sf_dir, "documents")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every line of the documents, by its earliest line."""
+    return lines.marked(_read(spark, sf_dir, "documents"))
+
+
 #: Whether a document's label is kept back.
 HELD_OUT = "crc32(cast(doc_id AS string)) % 4 = 2"
 
@@ -87,4 +92,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.marked(_read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op6_toxicity, op7_warc, op8_near_dedup, op9_pii, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_fingerprints, op3_mixing, op4_packing, op5_line_dedup, op6_toxicity, op7_warc, op8_near_dedup, op9_pii, op10_substring_dedup)}
