@@ -107,27 +107,28 @@ class Plan:
     shards: int
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """(ids, texts) of about CHUNK code points."""
-    ids, texts, size = [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
+    """(ids, hashes, texts) of about CHUNK code points."""
+    ids, hashes, texts, size = [], [], [], 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for i, h, t in zip(batch.column("doc_id").to_pylist(), batch.column("doc_hash").to_pylist(), batch.column("text")):
             ids.append(i)
+            hashes.append(h)
             texts.append(t.as_py())
             size += len(texts[-1] or "")
             if size >= CHUNK:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+                yield ids, hashes, texts
+                ids, hashes, texts, size = [], [], [], 0
     if ids:
-        yield ids, texts
+        yield ids, hashes, texts
 
 
 def _listed(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _chunks(batches):
+        for ids, hashes, texts in _chunks(batches):
             x = Lines(texts, plan.shortest)
-            rows = pa.array(ids, pa.int64()).take(pa.array(x.doc))
-            yield pa.record_batch([rows, pa.array(x.number, pa.int32()), pa.array(x.keys().astype(np.int64))], ["doc_id", "line", "key"])
+            of = [pa.array(c, pa.int64()).take(pa.array(x.doc)) for c in (ids, hashes)]
+            yield pa.record_batch([*of, pa.array(x.number, pa.int32()), pa.array(x.keys().astype(np.int64))], ["doc_id", "doc_hash", "line", "key"])
 
     return run
 
@@ -136,7 +137,7 @@ def _signed(plan: Plan):
     """Sorted (hash, key) pairs for each shard; the hash's lowest bit says that it's a segment of the line itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _chunks(batches):
+        for _, _, texts in _chunks(batches):
             x = Lines(texts, plan.shortest)
             keys = x.keys()
             at = np.unique(keys, return_index=True)[1]
@@ -256,24 +257,25 @@ def _met(edits: int):
 _PAIR = "a long, b long"
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("doc_hash"), F.col("text").cast("string").alias("text"))
+
+
 def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """doc_id, line, class_doc_id, class_line, kept: the class of every line that takes part, by its earliest line."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, doc_hash (of the text), line, class_doc_id, class_line, kept: the class of every line that takes part, by its earliest line."""
+    docs = _named(docs)
     size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
-    # Lines are longer than `shortest`; 100 code points a line is few, so that shards are rather small.
+    # 100 code points a line is few, so that shards are rather small.
     plan = Plan(edits, shortest, max(LEAST_SHARDS, int(size / 100 * 4 * (edits + 1)) // SHARD_ROWS))
-    lines = settled(docs.mapInArrow(_listed(plan), "doc_id long, line int, key long"), "lines")
-    shared = docs.select("doc_id", "text").mapInArrow(_signed(plan), "shard int, body binary").groupBy("shard").applyInArrow(_shared, "a long, b long, code long, key long, members long")
+    lines = settled(docs.mapInArrow(_listed(plan), "doc_id long, doc_hash long, line int, key long"), "lines")
+    shared = docs.mapInArrow(_signed(plan), "shard int, body binary").groupBy("shard").applyInArrow(_shared, "a long, b long, code long, key long, members long")
     shared = settled(shared, "shared")
     pairs = shared.filter("a IS NOT NULL").select("a", "b").distinct()
     crowds = shared.filter("code IS NOT NULL").select("code", "key", "members")
-    wanted = settled(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(crowds.select("key")).distinct(), "wanted")
-    places = lines.join(wanted, "key").groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("at")).select("key", "at.doc_id", "at.line")
-    places = settled(places, "places")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(crowds.select("key")).distinct()
+    places = settled(lines.join(wanted, "key").groupBy("key").agg(F.min(F.struct("doc_id", "doc_hash", "line")).alias("at")).select("key", "at.*"), "places")
     few = places.count() <= BROADCAST_ROWS
-    # A line's text by its place; rows of one doc_id may differ in text, so the key is looked at again.
-    fetched = docs.join(F.broadcast(places) if few else places, docs["doc_id"].eqNullSafe(places["doc_id"])).select("key", F.get(F.split("text", "\n"), F.col("line")).alias("text")).filter("text IS NOT NULL")
-    texts = settled(fetched.mapInArrow(_same_key(shortest), "key long, text string").dropDuplicates(["key"]), "texts")
+    texts = settled(_fetched(docs, F.broadcast(places) if few else places), "texts")
     text = lambda s: texts.select(F.col("key").alias(s), F.col("text").alias(f"text_{s}"))
     first = pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(_linked(edits), _PAIR)
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
@@ -282,27 +284,23 @@ def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> Dat
     second = dealt.join(texts, "key").groupBy("code", "low", "high").applyInArrow(_met(edits), _PAIR)
     roots = components(first.unionByName(second))
     classed = lines.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root", "key")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("line"))
-    earliest = classed.groupBy("class").agg(F.min(order).alias("at")).select("class", F.col("at.doc_id").alias("class_doc_id"), F.col("at.line").alias("class_line"))
-    kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line") == F.col("class_line"))
-    return classed.join(earliest, "class").select("doc_id", "line", "class_doc_id", "class_line", kept.alias("kept"))
-
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc_hash"), F.col("line"))
+    earliest = classed.groupBy("class").agg(F.min(order).alias("at")).select("class", F.col("at.doc_id").alias("class_doc_id"), F.col("at.doc_hash").alias("class_hash"), F.col("at.line").alias("class_line"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("doc_hash") == F.col("class_hash")) & (F.col("line") == F.col("class_line"))
+    return classed.join(earliest, "class").select("doc_id", "doc_hash", "line", "class_doc_id", "class_line", kept.alias("kept"))
 
-def _same_key(shortest: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = Lines(batch.column("text").to_pylist(), shortest)
-            ok = np.zeros(len(batch), bool)
-            ok[x.doc[x.keys().astype(np.int64) == batch.column("key").to_numpy()[x.doc]]] = True
-            yield batch.filter(pa.array(ok))
 
-    return run
+def _fetched(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """key, text of the lines at these places."""
+    at = places.select("key", F.col("doc_id").alias("at_id"), F.col("doc_hash").alias("at_hash"), "line")
+    found = docs.join(at, docs["doc_id"].eqNullSafe(at["at_id"]) & (docs["doc_hash"] == at["at_hash"]))
+    return found.select("key", F.get(F.split("text", "\n"), F.col("line")).alias("text")).dropDuplicates(["key"])
 
 
 def without_repeats(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """docs with the lines that repeat an earlier one removed; documents that lose all their text are dropped."""
-    gone = marked(docs, edits, shortest).filter("NOT kept").groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("line").alias("gone"))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["of"]), "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i.cast("int"))), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
-    return joined.withColumn("text", text).filter(F.col("gone").isNull() | (F.trim("text") != "")).select(*docs.columns)
+    gone = marked(docs, edits, shortest).filter("NOT kept").groupBy(F.col("doc_id").alias("_of"), F.col("doc_hash").alias("_hash")).agg(F.collect_set("line").alias("_gone"))
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_of"]) & (F.xxhash64(docs["text"].cast("string")) == gone["_hash"]), "left")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i.cast("int"))), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
+    return joined.withColumn("text", text).filter(F.col("_gone").isNull() | (F.trim("text") != "")).select(*docs.columns)

@@ -262,3 +262,22 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> Da
     # Rows without words keep their id as class: they meet no key.
     joined = found.select("doc_id", "key1", "key2", "n").join(named, ["key1", "key2"], "left")
     return joined.select("doc_id", F.when(wordless, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.col("n").alias("n_shingles"))
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+    """docs without near duplicates: of each class the row with the least doc_id.
+
+    Documents without words stay. Of rows that share a doc_id one stays, and of rows without one, one of each text.
+    """
+    found = settled(classes(docs, shingle, least), "classes")
+    gone = found.filter("n_shingles > 0 AND doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct()
+    twice = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
+    ids = settled(gone.withColumn("gone", F.lit(True)).unionByName(twice.withColumn("gone", F.lit(False))), "gone")
+    small = ids.count() <= BROADCAST_IDS
+    sized = lambda df: F.broadcast(df) if small else df
+    known = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    named = known.filter("_id IS NOT NULL")
+    once = named.join(sized(ids), "_id", "left_anti")
+    repeated = named.join(sized(ids.filter("gone").select("_id")), "_id", "left_anti").join(sized(ids.filter("NOT gone").select("_id")), "_id", "left_semi").dropDuplicates(["_id"])
+    unnamed = known.filter("_id IS NULL").dropDuplicates(["text"])
+    return once.unionByName(repeated).unionByName(unnamed).select(*docs.columns)

@@ -287,18 +287,37 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     return model
 
 
+def scored(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[list[int]]]:
+    """Scores of texts, and ids of their nearest toxic examples."""
+    scores, evidence = np.full(len(texts), model.without_terms), [[] for _ in range(len(texts))]
+    for row, _, doc, term, count in model.vocabulary.documents(texts):
+        edges = np.flatnonzero(np.diff(doc, prepend=-1, append=np.iinfo(np.int64).max))
+        for a, b in zip(edges, edges[1:]):
+            places, cosines = model.index.nearest(*model.vector(term[a:b], count[a:b]), NEIGHBOURS)
+            scores[row + doc[a]] = model.chance(model.index.vote(places, cosines))
+            evidence[row + doc[a]] = model.index.ids[places[model.index.toxic[places] > 0][:EVIDENCE]].tolist()
+    return scores, evidence
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted and, as evidence, the ids of the nearest toxic examples; see SCORED."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, evidence = np.full(len(batch), model.without_terms), [[] for _ in range(len(batch))]
-            for row, _, doc, term, count in model.vocabulary.documents(batch.column(1)):
-                edges = np.flatnonzero(np.diff(doc, prepend=-1, append=np.iinfo(np.int64).max))
-                for a, b in zip(edges, edges[1:]):
-                    places, cosines = model.index.nearest(*model.vector(term[a:b], count[a:b]), NEIGHBOURS)
-                    scores[row + doc[a]] = model.chance(model.index.vote(places, cosines))
-                    evidence[row + doc[a]] = model.index.ids[places[model.index.toxic[places] > 0][:EVIDENCE]].tolist()
+            scores, evidence = scored(batch.column(1), model)
             yield pa.record_batch([batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "predicted", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCORED)
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """docs whose score is under the threshold: a filter of the rows themselves, which moves nothing."""
+    text = F.col("text").cast("string")
+    schema = docs.schema
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(names).filter(pa.array(scored(batch.column("_text"), model)[0] < threshold))
+
+    return docs.withColumn("_text", text).mapInArrow(run, schema)
