@@ -8,10 +8,10 @@ Order MinHash: shingles are labelled by their occurrence; each of `SKETCHES` ran
 least, kept in text order. Documents whose picks agree in any sketch meet in a bucket. At the threshold a pair
 meets in no bucket with a probability of about (1 - least^2)^SKETCHES, 5 in a million.
 
-1. Every member of a bucket is compared to the bucket's least document: as many pairs as members.
+1. Every member of a bucket is compared to the bucket's first, shortest and longest document.
 2. Where a bucket still holds several components, all its pairs across them are compared: by a join where it is
    small, else in blocks of bounded size, by length class. So no pair that meets is left out, and a large
-   group of copies costs one pair a member.
+   group of copies costs a few pairs a member.
 3. A pair is excluded by lengths and by the distance of two histograms of hashed shingles, which the alignment
    distance cannot be under; the rest is aligned within the band that the threshold leaves.
 
@@ -37,13 +37,13 @@ from larder.llm.words import Words, mixed, slices
 
 SHINGLE, LEAST = 5, 0.8
 SKETCHES, PICKED = 12, 2
-LANES = 64
+LANES = 256
 #: Buckets up to so many members are joined with themselves; larger ones are compared in blocks of so many.
-SMALL, BLOCK = 24, 2048
+SMALL, BLOCK = 8, 1024
 #: Up to so many ids of documents in pairs are broadcast (8 bytes each); beyond, the texts are shuffled.
 BROADCAST_IDS = 2_000_000
 _MOST = np.uint64(2**64 - 1)
-_SKETCH = "doc_id long, key1 long, key2 long, n int, lanes binary, sketches array<long>"
+_SKETCH = "doc_id long, key1 long, key2 long, n int, lanes array<smallint>, sketches array<long>"
 
 
 def sequence(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +98,7 @@ def _sketched(shingle: int):
                 sizes = np.diff(first)
                 full = np.flatnonzero(sizes)
                 keys = np.zeros((2, len(n)), np.uint64)
-                lanes, sketches = np.zeros((len(n), LANES), np.uint16), np.zeros((len(n), SKETCHES), np.uint64)
+                lanes, sketches = np.zeros((len(n), LANES), np.int16), np.zeros((len(n), SKETCHES), np.uint64)
                 if len(full):
                     of = np.repeat(np.arange(len(n)), sizes)
                     starts = np.append(first[full], len(values))
@@ -106,12 +106,12 @@ def _sketched(shingle: int):
                     for k in range(2):
                         keys[k, full] = mixed(np.add.reduceat(mixed(values ^ mixed(place * np.uint64(2 * k + 3) + np.uint64(k))), first[full]) + n[full].astype(np.uint64))
                     lane = np.bincount(of * LANES + (values % np.uint64(LANES)).astype(np.int64), minlength=len(n) * LANES)
-                    lanes = np.minimum(lane, 65535).astype(np.uint16).reshape(len(n), LANES)
+                    lanes = np.minimum(lane, 32767).astype(np.int16).reshape(len(n), LANES)
                     labelled = _labelled(values, of)
                     sketches[full] = np.stack([_picks(labelled, starts, s) for s in range(SKETCHES)], axis=1)
                 ids = batch.column(0).slice(row, len(n))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * SKETCHES, pa.int32()), pa.array(sketches.astype(np.int64).ravel()))
-                yield pa.record_batch([ids, pa.array(keys[0].astype(np.int64)), pa.array(keys[1].astype(np.int64)), pa.array(sizes, pa.int32()), pa.array([x.tobytes() for x in lanes], pa.binary()), lists], ["doc_id", "key1", "key2", "n", "lanes", "sketches"])
+                lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+                yield pa.record_batch([ids, pa.array(keys[0].astype(np.int64)), pa.array(keys[1].astype(np.int64)), pa.array(sizes, pa.int32()), lists(lanes), lists(sketches.astype(np.int64))], ["doc_id", "key1", "key2", "n", "lanes", "sketches"])
 
     return run
 
@@ -165,7 +165,7 @@ def _may_link(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, LANES).astype(np.int32) for c in ("lanes_a", "lanes_b"))
+            x, y = (batch.column(c).flatten().to_numpy().reshape(-1, LANES).astype(np.int32) for c in ("lanes_a", "lanes_b"))
             ok = (np.minimum(n, m) >= least * np.maximum(n, m)) & (np.abs(x - y).sum(1) <= (n + m) * (1 - least) / (1 + least) + 1e-9)
             yield pa.record_batch([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))], ["a", "b"])
 
@@ -207,7 +207,7 @@ def _met(least: float):
 
     def run(rows: pa.Table) -> pa.Table:
         doc, root, n, block, own = (rows[c].to_numpy() for c in ("doc_id", "root", "n", "block", "own"))
-        lanes = np.frombuffer(b"".join(rows["lanes"].to_pylist()), np.uint16).reshape(-1, LANES).astype(np.int16, casting="unsafe")
+        lanes = rows["lanes"].combine_chunks().flatten().to_numpy().reshape(-1, LANES)
         low, level = rows["low"][0].as_py(), rows["level"][0].as_py()
         left = np.flatnonzero(block == low)
         right = left if rows["high"][0].as_py() == low else np.flatnonzero(block != low)
@@ -233,15 +233,19 @@ def _left_pairs(buckets: DataFrame, sketches: DataFrame, roots: DataFrame, least
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1 / least)) + 1e-9)).cast("int")
     rooted = settled(rooted.withColumn("own", own).withColumn("level", F.explode(F.array(own, own + 1))), "rooted")
     sizes = rooted.groupBy("bucket", "level").agg(F.count("*").alias("members"), F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("bucket", "level", "members")
-    open_ = rooted.join(sizes, ["bucket", "level"])
-    small = open_.filter(F.col("members") <= SMALL).select("bucket", "level", "doc_id", "root", "n", "own")
-    other = small.select("bucket", "level", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "root", "n", "own")))
+    open_ = rooted.join(sizes, ["bucket", "level"]).join(sketches.select("doc_id", "lanes"), "doc_id")
+    small = open_.filter(F.col("members") <= SMALL).select("bucket", "level", "doc_id", "root", "n", "own", "lanes")
+    other = small.select("bucket", "level", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "root", "n", "own", "lanes")))
     near = (F.least("n", "n2") >= F.lit(least) * F.greatest("n", "n2")) & ((F.col("own") == F.col("level")) | (F.col("own2") == F.col("level")))
-    few = small.join(other, ["bucket", "level"]).filter((F.col("doc_id") < F.col("doc_id2")) & (F.col("root") != F.col("root2")) & near).select(F.col("doc_id").alias("a"), F.col("doc_id2").alias("b"))
+    far = F.aggregate(F.zip_with("lanes", "lanes2", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda acc, v: acc + v)
+    near = near & (far <= (F.col("n") + F.col("n2")) * F.lit((1 - least) / (1 + least)) + F.lit(1e-9))
+    other = other.withColumnsRenamed({"bucket": "bucket2", "level": "level2"})
+    same = (F.col("bucket") == F.col("bucket2")) & (F.col("level") == F.col("level2"))
+    few = small.join(other, same & (F.col("doc_id") < F.col("doc_id2")) & (F.col("root") != F.col("root2")) & near).select(F.col("doc_id").alias("a"), F.col("doc_id2").alias("b"))
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     large = open_.filter(F.col("members") > SMALL).withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    many = large.join(sketches.select("doc_id", "lanes"), "doc_id").groupBy("bucket", "level", "low", "high").applyInArrow(_met(least), _PAIR)
+    many = large.groupBy("bucket", "level", "low", "high").applyInArrow(_met(least), _PAIR)
     return few.unionByName(many)
 
 
@@ -253,10 +257,12 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> Da
     copies = settled(found.filter(~wordless).groupBy("key1", "key2").agg(F.min("doc_id").alias("rep")), "copies")
     sketches = settled(found.join(copies.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "key1", "key2"), ["doc_id", "key1", "key2"], "left_semi").dropDuplicates(["doc_id"]), "representatives")
     rows = sketches.select("doc_id", "n", F.explode("sketches").alias("bucket"))
-    heads = rows.groupBy("bucket").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).filter("head <> last").select("bucket", "head")
-    buckets = settled(rows.join(heads, "bucket"), "buckets")
-    first = links(buckets.filter("head <> doc_id").select(F.col("head").alias("a"), F.col("doc_id").alias("b")), sketches, docs, shingle, least)
-    second = links(_left_pairs(buckets.drop("head"), sketches, components(first), least), sketches, docs, shingle, least)
+    # Copies are nearest to their original, which often is the first, the shortest or the longest.
+    heads = rows.groupBy("bucket").agg(F.min("doc_id").alias("h1"), F.max("doc_id").alias("last"), F.min_by("doc_id", "n").alias("h2"), F.max_by("doc_id", "n").alias("h3")).filter("h1 <> last")
+    buckets = settled(rows.join(heads.select("bucket", F.array_distinct(F.array("h1", "h2", "h3")).alias("heads")), "bucket"), "buckets")
+    starred = buckets.select("doc_id", F.explode("heads").alias("head")).filter("head <> doc_id")
+    first = links(starred.select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")), sketches, docs, shingle, least)
+    second = links(_left_pairs(buckets.drop("heads"), sketches, components(first), least), sketches, docs, shingle, least)
     roots = components(first.unionByName(second))
     named = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key1", "key2", F.coalesce("root", "rep").alias("class_id"))
     # Rows without words keep their id as class: they meet no key.

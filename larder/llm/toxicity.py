@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from larder.llm.words import NOT_LETTERS, slices
 
 #: Labelled documents of each label that the index holds at most.
-PER_CLASS = 3000
+PER_CLASS = 2000
 VOCABULARY = 4096
 #: A term is kept over this chi-square: by chance under one in ten million is.
 CHI = 30.0
