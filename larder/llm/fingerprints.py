@@ -65,10 +65,10 @@ def vectors(rows: DataFrame, keys: list[str], texts: list[str]) -> DataFrame:
         return F.transform(phrases(F.col(t)), lambda p: F.struct(F.lit(k).alias("k"), p.alias("p")))
 
     # In a step of its own: beside the generator it would be worked out for every phrase.
-    known = rows.select(*keys, *(equality(F.col(t)).alias(f"_{t}") for t in texts), F.concat(*(found(k, t) for k, t in enumerate(texts))).alias("all"))
-    exploded = known.select(*keys, *(f"_{t}" for t in texts), F.explode_outer("all").alias("x")).select(*keys, *(f"_{t}" for t in texts), F.col("x.k").alias("k"), F.col("x.p").alias("p"))
+    known = rows.select(*keys, *(equality(F.col(t)).alias(f"_{t}") for t in texts), F.concat(*(found(k, t) for k, t in enumerate(texts))).alias("_all"))
+    exploded = known.select(*keys, *(f"_{t}" for t in texts), F.explode_outer("_all").alias("_x")).select(*keys, *(f"_{t}" for t in texts), F.col("_x.k").alias("_k"), F.col("_x.p").alias("_p"))
     names = [(t, i) for t in texts for i in range(len(SHIFTS) + 1)]
-    sums = [s.alias(f"{t}_{i}") for k, t in enumerate(texts) for i, s in enumerate(_counted(F.col("p"), F.col("k") == k))]
+    sums = [s.alias(f"{t}_{i}") for k, t in enumerate(texts) for i, s in enumerate(_counted(F.col("_p"), F.col("_k") == k))]
     summed = exploded.groupBy(*keys, *(f"_{t}" for t in texts)).agg(*sums)
     whole = lambda t: F.concat(F.col(f"_{t}"), F.array(*(F.pmod(F.col(f"{t}_{i}"), F.lit(_WORD)) for n, i in names if n == t)))
     return summed.select(*keys, *(whole(t).alias(t) for t in texts))

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import settled
 from larder.llm.components import components
+from larder.llm.memory import lean, lean_group
 from larder.llm.words import mixed
 
 EDITS, SHORTEST = 2, 24
@@ -267,8 +268,8 @@ def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> Dat
     size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     # 100 code points a line is few, so that shards are rather small.
     plan = Plan(edits, shortest, max(LEAST_SHARDS, int(size / 100 * 4 * (edits + 1)) // SHARD_ROWS))
-    lines = settled(docs.mapInArrow(_listed(plan), "doc_id long, doc_hash long, line int, key long"), "lines")
-    shared = docs.mapInArrow(_signed(plan), "shard int, body binary").groupBy("shard").applyInArrow(_shared, "a long, b long, code long, key long, members long")
+    lines = settled(docs.mapInArrow(lean(_listed(plan)), "doc_id long, doc_hash long, line int, key long"), "lines")
+    shared = docs.mapInArrow(lean(_signed(plan)), "shard int, body binary").groupBy("shard").applyInArrow(lean_group(_shared), "a long, b long, code long, key long, members long")
     shared = settled(shared, "shared")
     pairs = shared.filter("a IS NOT NULL").select("a", "b").distinct()
     crowds = shared.filter("code IS NOT NULL").select("code", "key", "members")
@@ -277,11 +278,11 @@ def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> Dat
     few = places.count() <= BROADCAST_ROWS
     texts = settled(_fetched(docs, F.broadcast(places) if few else places), "texts")
     text = lambda s: texts.select(F.col("key").alias(s), F.col("text").alias(f"text_{s}"))
-    first = pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(_linked(edits), _PAIR)
+    first = pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(lean(_linked(edits)), _PAIR)
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     dealt = crowds.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    second = dealt.join(texts, "key").groupBy("code", "low", "high").applyInArrow(_met(edits), _PAIR)
+    second = dealt.join(texts, "key").groupBy("code", "low", "high").applyInArrow(lean_group(_met(edits)), _PAIR)
     roots = components(first.unionByName(second))
     classed = lines.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root", "key")
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc_hash"), F.col("line"))

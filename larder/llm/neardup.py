@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import settled
 from larder.llm.components import components
+from larder.llm.memory import lean, lean_group
 from larder.llm.words import Words, mixed, slices
 
 SHINGLE, LEAST = 5, 0.8
@@ -194,12 +195,12 @@ _PAIR = "a long, b long"
 def links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
     """The pairs (a, b) that are near duplicates."""
     side = lambda s: sketches.select(F.col("doc_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("lanes").alias(f"lanes_{s}"))
-    left = settled(pairs.distinct().join(side("a"), "a").join(side("b"), "b").mapInArrow(_may_link(least), _PAIR), "pairs")
+    left = settled(pairs.distinct().join(side("a"), "a").join(side("b"), "b").mapInArrow(lean(_may_link(least)), _PAIR), "pairs")
     ids = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     text = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    return settled(left.join(text("a"), "a").join(text("b"), "b").mapInArrow(_verified(shingle, least), _PAIR), "links")
+    return settled(left.join(text("a"), "a").join(text("b"), "b").mapInArrow(lean(_verified(shingle, least)), _PAIR), "links")
 
 
 def _met(least: float):
@@ -245,14 +246,14 @@ def _left_pairs(buckets: DataFrame, sketches: DataFrame, roots: DataFrame, least
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     large = open_.filter(F.col("members") > SMALL).withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    many = large.groupBy("bucket", "level", "low", "high").applyInArrow(_met(least), _PAIR)
+    many = large.groupBy("bucket", "level", "low", "high").applyInArrow(lean_group(_met(least)), _PAIR)
     return few.unionByName(many)
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
     """doc_id, class_id and n_shingles of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = settled(docs.mapInArrow(_sketched(shingle), _SKETCH), "sketches")
+    found = settled(docs.mapInArrow(lean(_sketched(shingle)), _SKETCH), "sketches")
     wordless = F.col("n") == 0
     copies = settled(found.filter(~wordless).groupBy("key1", "key2").agg(F.min("doc_id").alias("rep")), "copies")
     sketches = settled(found.join(copies.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "key1", "key2"), ["doc_id", "key1", "key2"], "left_semi").dropDuplicates(["doc_id"]), "representatives")

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import settled
+from larder.llm.memory import lean
 
 SIZE = 1024
 END_ID = 2
@@ -78,7 +79,7 @@ def _cut(size: int, name: str):
 def pieces(docs: DataFrame, size: int = SIZE, tokens: str = TOKENS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of at most `size` ids."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_cut(size, tokens), _PIECES)
+    return docs.mapInArrow(lean(_cut(size, tokens)), _PIECES)
 
 
 def sums_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.memory import lean
+
 KINDS = ("email", "ip", "card", "phone")
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
@@ -128,7 +130,9 @@ _TOKEN = re.compile(rf"(?<!\w)(?:plus|{_ONE})(?!\w)", re.I)
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _BRACKETED = re.compile(rf"[ \t]{{0,3}}{_OPEN}[ \t]{{0,3}}(?:(at|@)|(dot|punkt|point|punto|\.))[ \t]{{0,3}}{_SHUT}[ \t]{{0,3}}|&#64;|&commat;|%40|&#46;", re.I)
 _LABEL = r"[A-Za-z0-9-]{1,63}"
-_SAID = re.compile(rf"(?<=[A-Za-z0-9_])[ \t]{{1,3}}at[ \t]{{1,3}}(?={_LABEL}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}{_LABEL})+)|(?<=[A-Za-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[A-Za-z0-9])", re.I)
+#: What the last label must be where "at" and "dot" are plain words, as these occur in prose.
+_LAST = "(?:com|org|net|edu|gov|mil|int|info|biz|name|io|co|me|tv|app|dev|ai|eu|uk|us|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|cz|ie|ru|ua|cn|jp|kr|in|br|mx|ar|ca|au|nz|za)"
+_SAID = re.compile(rf"(?<=[A-Za-z0-9_])[ \t]{{1,3}}at[ \t]{{1,3}}(?={_LABEL}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}{_LABEL})*[ \t]{{1,3}}dot[ \t]{{1,3}}{_LAST}(?![A-Za-z0-9-]))|(?<=[A-Za-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[A-Za-z0-9])", re.I)
 #: What a text must hold for any transducer to change it into something that a pattern finds.
 TRIGGER = (
     "["
@@ -248,4 +252,4 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find(docs: DataFrame) -> DataFrame:
     """One row per document, see RESULT: counts and places of all spans, and a digest of the base ones."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_found, RESULT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(_found), RESULT)

@@ -32,6 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.memory import lean, lean_group
 from larder.llm.words import mixed, slices
 
 WINDOW = 13
@@ -107,9 +108,8 @@ class Chunk:
     """The windows of the documents of one chunk: their keys, documents and first words."""
 
     def __init__(self, docs: pa.Table, window: int):
-        ids = docs["doc_id"].to_pandas()
         self.window = window
-        self.ids = ids.fillna(_NO_ID).to_numpy().astype(np.int64) if ids.isna().any() else ids.to_numpy()
+        self.ids = docs["doc_id"].fill_null(_NO_ID).to_numpy()
         self.counts = np.zeros(len(self.ids), np.int64)
         keys, rows, starts, words_seen, all_words = [], [], [], 0, []
         for row, words in slices(docs["text"]):
@@ -299,11 +299,11 @@ def marked(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES
     plan = Plan(cell_bits, max(LEAST_SHARDS, (1 << cell_bits) // SHARD_CELLS), window)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int")).repartition(n, "chunk")
-    sketches = base.groupBy("chunk").applyInArrow(_sketched(plan), _SKETCH)
-    flags = sketches.groupBy("part", "shard").applyInArrow(_merged(plan), _FLAGS)
-    entries = base.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(_gathered(plan), _SKETCH)
-    answers = entries.groupBy("shard").applyInArrow(_grouped, _FLAGS)
-    return base.groupBy("chunk").cogroup(flags.unionByName(answers).groupBy("chunk")).applyInArrow(_removed(plan), "doc_id long, removed binary, n_words long, text string")
+    sketches = base.groupBy("chunk").applyInArrow(lean_group(_sketched(plan)), _SKETCH)
+    flags = sketches.groupBy("part", "shard").applyInArrow(lean_group(_merged(plan)), _FLAGS)
+    entries = base.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(lean_group(_gathered(plan)), _SKETCH)
+    answers = entries.groupBy("shard").applyInArrow(lean_group(_grouped), _FLAGS)
+    return base.groupBy("chunk").cogroup(flags.unionByName(answers).groupBy("chunk")).applyInArrow(lean_group(_removed(plan)), "doc_id long, removed binary, n_words long, text string")
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,4 +321,4 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(marks: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the words that stay."""
-    return marks.mapInArrow(_digested, RESULT)
+    return marks.mapInArrow(lean(_digested), RESULT)

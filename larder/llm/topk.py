@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.llm.memory import lean, lean_group
+
 K = 20
 SCALE = 64
 #: Rows that are looked at to choose pivots and starting scores, and how many pivots are chosen.
@@ -181,9 +183,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
     coarse = rows.withColumn("asks", F.coalesce(is_query, F.lit(False)))
     block, hall = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(halls)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    cands = coarse.select("vec_id", "embedding").mapInArrow(_coarse(table, scale), _COARSE).withColumn("block", block).withColumn("hall", every(halls))
-    queries = coarse.filter("asks").dropDuplicates(["vec_id", "embedding"]).select("vec_id", "embedding").mapInArrow(_coarse(table, scale), _COARSE).withColumn("hall", hall).withColumn("block", every(blocks))
+    cands = coarse.select("vec_id", "embedding").mapInArrow(lean(_coarse(table, scale)), _COARSE).withColumn("block", block).withColumn("hall", every(halls))
+    queries = coarse.filter("asks").dropDuplicates(["vec_id", "embedding"]).select("vec_id", "embedding").mapInArrow(lean(_coarse(table, scale)), _COARSE).withColumn("hall", hall).withColumn("block", every(blocks))
     keys = ("dim", "block", "hall")
-    met = cands.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(_searched(table, k), "query_id long, vec_id long, score long")
+    met = cands.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(lean_group(_searched(table, k)), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

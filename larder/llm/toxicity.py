@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.memory import lean, trim
 from larder.llm.words import NOT_LETTERS, slices
 
 #: Labelled documents of each label that the index holds at most.
@@ -51,8 +52,9 @@ SCORED = "doc_id long, score double, predicted int, evidence array<long>"
 
 def terms(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of texts: (index of the first, how many, text of each term, hash of each term)."""
-    lower = pc.utf8_lower(texts.cast(pa.large_string()))
-    for row, words in slices(lower, between=NOT_LETTERS):
+    step = 200
+    parts = ((i, pc.utf8_lower(texts.slice(i, step).cast(pa.large_string()))) for i in range(0, len(texts), step))
+    for row, words in ((i + row, words) for i, part in parts for row, words in slices(part, between=NOT_LETTERS)):
         n = words.counts
         of = np.repeat(np.arange(len(n)), n)
         length = words.ends - words.starts
@@ -130,13 +132,20 @@ def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray
     found, counts, toxic = [found[i] for i in kept], [counts[i] for i in kept], toxic[kept]
     if not len(toxic) or toxic.min() == toxic.max():
         return none
-    hashes, at = np.unique(np.concatenate(found), return_inverse=True)
+    least = max(3, SUPPORT * toxic.sum())
+    seen = np.sort(np.concatenate([f for f, t in zip(found, toxic) if t]))
+    hashes, often = np.unique(seen, return_counts=True)
+    hashes = hashes[often >= least]  # others reach no support
+    del seen, often
+    if not len(hashes):
+        return none
     size = len(hashes)
-    doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    times = np.concatenate(counts)
+    hits = [np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, f), size - 1)] == f) for f in found]
+    at = np.searchsorted(hashes, np.concatenate([f[k] for f, k in zip(found, hits)]))
+    doc = np.repeat(np.arange(len(found)), [len(k) for k in hits])
+    times = np.concatenate([c[k] for c, k in zip(counts, hits)])
     at = np.concatenate([at[times > m] + m * size for m in range(TIMES)])  # a term for each of the first occurrences
     doc = np.concatenate([doc[times > m] for m in range(TIMES)])
-    least = max(3, SUPPORT * toxic.sum())
     common = np.bincount(at, toxic[doc], TIMES * size)[at] >= least
     at, doc = at[common], doc[common]
     out: list[int] = []
@@ -246,7 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     totals = {int(t > 0): n for t, n in known.groupBy((F.col("toxic") > 0).cast("int")).count().collect()}
     picked = [known.filter((F.col("toxic") > 0) == bool(t)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for t in (0, 1)]
     chosen = picked[0].unionByName(picked[1]).withColumn("toxic", (F.col("toxic") > 0).cast("int"))
-    sample = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_counted, "doc_id long, toxic int, terms binary, counts binary").toArrow().sort_by("doc_id")  # at most 2 * per_class ids are broadcast
+    sample = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(lean(_counted), "doc_id long, toxic int, terms binary, counts binary").toArrow().sort_by("doc_id")  # at most 2 * per_class ids are broadcast
     toxic, ids = sample["toxic"].to_numpy().astype(np.int64), sample["doc_id"].to_numpy()
     found = [np.frombuffer(x.as_py(), np.uint64) for x in sample["terms"]]
     counts = [np.frombuffer(x.as_py(), np.uint32) for x in sample["counts"]]
@@ -269,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
         yield pa.record_batch([pa.array(at, pa.int32()), pa.array(total[at])], ["term", "n"])
 
     df = np.zeros(size + 1)
-    for t, n in texts.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n")).collect():  # one row a term
+    for t, n in texts.select("text").mapInArrow(lean(frequencies), "term int, n long").groupBy("term").agg(F.sum("n")).collect():  # one row a term
         df[t] = n
     model = Model(vocabulary, np.log(1 + df[size] / np.maximum(df[:size], 1)), None, np.zeros(1), np.zeros(1), 0.0)
     vectors = []
@@ -279,6 +288,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
         vectors.append(model.vector(term, count))
     model.index = index = Index(vectors, toxic, ids, size)
     place = np.argsort(index.order)
+    del sample, found, counts
+    trim()
     has = np.array([len(t) > 0 for t, _ in vectors])
     votes = np.array([index.vote(*index.nearest(t, w, NEIGHBOURS, int(place[i]))) if len(t) else 0.0 for i, (t, w) in enumerate(vectors)])
     model.without_terms = float((weight * toxic)[~has].sum() / max(weight[~has].sum(), 1e-9)) if (~has).any() else 0.0
@@ -307,17 +318,15 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             scores, evidence = scored(batch.column(1), model)
             yield pa.record_batch([batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "predicted", "evidence"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCORED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), SCORED)
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs whose score is under the threshold: a filter of the rows themselves, which moves nothing."""
-    text = F.col("text").cast("string")
-    schema = docs.schema
-    names = docs.columns
+    schema, names, at = docs.schema, docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.select(names).filter(pa.array(scored(batch.column("_text"), model)[0] < threshold))
+            yield batch.select(names).filter(pa.array(scored(batch.column(at).cast(pa.string()), model)[0] < threshold))
 
-    return docs.withColumn("_text", text).mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import scratch
+from larder.llm.memory import lean
 
 LEAST = 100
 ARCHIVE_BYTES = 4 << 20
@@ -167,7 +168,7 @@ def with_record_types(pages: DataFrame, least: int = LEAST) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, least: int = LEAST, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Writes the pages as archives below a path that Spark can write."""
     records = with_record_types(pages, least)
-    archives = records.mapInArrow(_packed(archive_bytes), "archive binary").select(F.col("archive").cast("string").alias("value"))
+    archives = records.mapInArrow(lean(_packed(archive_bytes)), "archive binary").select(F.col("archive").cast("string").alias("value"))
     archives.write.option("lineSep", _EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
 
 
@@ -187,7 +188,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives below a path; see RECORD."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(_unpacked, RECORD)
+    return files.mapInArrow(lean(_unpacked), RECORD)
 
 
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
