@@ -69,7 +69,7 @@ def epoch_seconds(x: Column) -> Column:
 
 def settings_map(summary: Column) -> Column:
     """'k=v | k=v' as a map of trimmed texts; parts without a key are dropped."""
-    parts = F.filter(F.split(F.coalesce(summary, F.lit("")), r"\|"), lambda p: F.instr(p, "=") > 1)
+    parts = F.filter(F.split(F.coalesce(summary, F.lit("")), r"\|"), lambda p: F.instr(F.trim(p), "=") > 1)
     pairs = F.transform(parts, lambda p: F.struct(F.trim(F.substring_index(p, "=", 1)), F.trim(F.substring(p, F.instr(p, "=") + 1, F.length(p)))))
     return F.map_from_entries(F.array_distinct(pairs))
 
