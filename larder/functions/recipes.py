@@ -109,7 +109,7 @@ def text_quality(x: Column, units: Sequence[str] = UNITS, verbs: Sequence[str] =
     cap = lambda v, most: F.least(F.lit(1.0), v / F.lit(float(most)))
     n = F.char_length(x)
     score = cap(n, 6000) * 0.45 + cap(F.size(rows), 120) * 0.30 + cap(hits, 24) * 0.25
-    return F.round(F.when(n == 0, 0.0).when(n < 120, score * 0.35).otherwise(score), 4)
+    return F.when(n == 0, 0.0).when(n < 120, score * 0.35).otherwise(score)
 
 
 def title_quality(x: Column, generic: Sequence[str] = ("recipe", "untitled", "ingredients", "directions", "instructions")) -> Column:

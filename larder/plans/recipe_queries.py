@@ -52,9 +52,9 @@ def rec_line_kind(spark, sf_dir):
 
 
 @query("rec_text_quality", r"""WITH l AS (SELECT doc_id, length(text) AS n, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS l FROM documents), s AS (SELECT doc_id, n, least(1, n / 6000.0) * 0.45 + least(1, l / 120.0) * 0.3 AS s FROM l)
-SELECT doc_id, CAST(round(CASE WHEN n < 120 THEN s * 0.35 ELSE s END, 4) AS DOUBLE) AS s FROM s""")
+SELECT doc_id, CAST(round(CASE WHEN n < 120 THEN s * 0.35 ELSE s END, 8) AS DOUBLE) AS s FROM s""")
 def rec_text_quality(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", R.text_quality(F.col("text"), ("zzz",), ("zzz",)).alias("s"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(R.text_quality(F.col("text"), ("zzz",), ("zzz",)), 8).alias("s"))
 
 
 @query("rec_title_quality", "SELECT p_partkey, CAST(CASE WHEN length(trim(p_name)) = 0 THEN 0 WHEN length(trim(p_name)) < 4 THEN 0.35 WHEN length(trim(p_name)) > 90 THEN 0.55 ELSE 1 END AS DOUBLE) AS q FROM part")
