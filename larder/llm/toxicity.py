@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import settled
 from larder.llm.memory import lean, trim
 from larder.llm.words import NOT_LETTERS, slices
 
@@ -81,6 +82,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(found, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "toxic", "terms", "counts"])
 
 
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct term of each document."""
+    for batch in batches:
+        for toxic, found in zip(batch.column("toxic"), batch.column("terms")):
+            terms_ = np.frombuffer(found.as_py(), np.int64)
+            yield pa.record_batch([pa.array(terms_), pa.array(np.full(len(terms_), toxic.as_py(), np.int32))], ["term", "toxic"])
+
+
+def _only(candidates: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms_, counts = [], []
+            for t, c in zip(batch.column("terms"), batch.column("counts")):
+                t, c = np.frombuffer(t.as_py(), np.uint64), np.frombuffer(c.as_py(), np.uint32)
+                ok = candidates[np.minimum(np.searchsorted(candidates, t), len(candidates) - 1)] == t if len(candidates) else np.zeros(len(t), bool)
+                terms_.append(t[ok].tobytes())
+                counts.append(c[ok].tobytes())
+            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "toxic", "whole")), pa.array(terms_, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "toxic", "whole", "terms", "counts"])
+
+    return run
+
+
 @dataclass
 class Vocabulary:
     """Terms: hashes, and how often a document must hold each. `filter` is a bitmap that most other hashes miss."""
@@ -119,15 +142,15 @@ class Vocabulary:
             yield row, n, *self.find(of, hashes)
 
 
-def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, chi_least: float = CHI) -> Vocabulary:
+def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, wholes: list[int], chi_least: float = CHI) -> Vocabulary:
     """The terms that mark toxic examples, by sequential covering.
 
     The best term by chi-square is taken and the examples that hold it leave; so words that only go along
-    with it, as those of documents copied many times, don't count. Examples with equal terms count once. A
-    term must be toxic in at least half of its examples, counted with the labels' weights.
+    with it, as those of documents copied many times, don't count. Examples with equal terms (`wholes`: hashes
+    of all their terms) count once. A term must be toxic in at least half of its examples, counted with the labels' weights.
     """
     none = Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    distinct = {(f.tobytes(), int(t)): i for i, (f, t) in reversed(list(enumerate(zip(found, toxic))))}
+    distinct = {(w, int(t)): i for i, (w, t) in reversed(list(enumerate(zip(wholes, toxic))))}
     kept = sorted(distinct.values())
     found, counts, toxic = [found[i] for i in kept], [counts[i] for i in kept], toxic[kept]
     if not len(toxic) or toxic.min() == toxic.max():
@@ -255,12 +278,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     totals = {int(t > 0): n for t, n in known.groupBy((F.col("toxic") > 0).cast("int")).count().collect()}
     picked = [known.filter((F.col("toxic") > 0) == bool(t)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for t in (0, 1)]
     chosen = picked[0].unionByName(picked[1]).withColumn("toxic", (F.col("toxic") > 0).cast("int"))
-    sample = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(lean(_counted), "doc_id long, toxic int, terms binary, counts binary").toArrow().sort_by("doc_id")  # at most 2 * per_class ids are broadcast
+    whole = settled(texts.join(F.broadcast(chosen), "doc_id").mapInArrow(lean(_counted), "doc_id long, toxic int, terms binary, counts binary"), "sample")  # at most 2 * per_class ids are broadcast
+    sizes = {t: n for t, n in whole.groupBy("toxic").count().collect()}
+    weight_of = np.array([totals.get(t, 0) / max(1, sizes.get(t, 0)) for t in (0, 1)])
+    # Only terms with some support, a third of it toxic by weight, can be chosen; the others stay on the executors.
+    pairs = whole.mapInArrow(lean(_paired), "term long, toxic int").groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+    enough = (F.col("a") >= max(3, SUPPORT * sizes.get(1, 0))) & (2 * F.col("a") * F.lit(float(weight_of[1])) >= (F.col("n") - F.col("a")) * F.lit(float(weight_of[0])))
+    candidates = np.sort(pairs.filter(enough).select("term").toArrow()["term"].to_numpy().astype(np.uint64))
+    sample = whole.withColumn("whole", F.xxhash64("terms")).mapInArrow(lean(_only(candidates)), "doc_id long, toxic int, whole long, terms binary, counts binary").toArrow().sort_by("doc_id")
     toxic, ids = sample["toxic"].to_numpy().astype(np.int64), sample["doc_id"].to_numpy()
     found = [np.frombuffer(x.as_py(), np.uint64) for x in sample["terms"]]
     counts = [np.frombuffer(x.as_py(), np.uint32) for x in sample["counts"]]
-    weight_of = np.array([totals.get(t, 0) / max(1, int((toxic == t).sum())) for t in (0, 1)])
-    vocabulary = _chosen(found, counts, toxic, weight_of)
+    vocabulary = _chosen(found, counts, toxic, weight_of, sample["whole"].to_pylist())
     size = len(vocabulary.hashes)
     weight = weight_of[toxic]
     if not size:
