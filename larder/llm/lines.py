@@ -304,4 +304,4 @@ def without_repeats(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTES
     joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_of"]) & (F.xxhash64(docs["text"].cast("string")) == gone["_hash"]), "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i.cast("int"))), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    return joined.withColumn("text", text).filter(F.col("_gone").isNull() | (F.trim("text") != "")).select(*docs.columns)
+    return joined.withColumn("text", text).filter(F.col("_gone").isNull() | F.col("text").rlike(r"\S")).select(*docs.columns)
