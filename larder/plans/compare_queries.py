@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from larder.functions import fields as X
 from larder.functions.ranks import average_ranks
 from larder.operators import compare as C
+from larder.operators import facade
 from larder.plans.registry import query
 from larder.plans.tables import table
 from larder.plans.views import runs
@@ -179,3 +180,45 @@ def prj_settings_map(spark, sf_dir):
 def prj_sum_or_null(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.nullif("l_discount", F.lit(0.0))).alias("t"))
     return d.select("l_orderkey", F.round(X.sum_or_null(F.col("t")), 4).alias("total"))
+
+
+FIELDS = ["outcome", "grp", "stratum", "x", "l_tax"]
+_TOTAL = f"(SELECT count(*) FROM ({RUNS}))"
+_RANKED = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0"
+
+
+def _numeric_strength(field: str) -> str:
+    ranked = f"SELECT {field} AS f, outcome AS o, {_RANKED.format(field)} AS rf, {_RANKED.format('outcome')} AS ro FROM ({RUNS})"
+    return f"SELECT '{field}' AS field, true AS numeric, 1.0 AS coverage, abs(corr(rf, ro)) + least(1, abs(regr_slope(o, f))) AS score FROM ({ranked})"
+
+
+def _group_strength(field: str) -> str:
+    return f"SELECT '{field}', false, 1.0, (max(m) - min(m)) * 100 FROM (SELECT {field}, avg(outcome) AS m FROM ({RUNS}) GROUP BY {field})"
+
+
+@query(
+    "cmp_discovery",
+    f"SELECT field, numeric, CAST(coverage AS DOUBLE) AS coverage, round(score * CASE WHEN field = 'x' THEN 1.25 WHEN contains(field, 'tax') THEN 0.2 ELSE 1 END, 3) AS score FROM ({_numeric_strength('x')} UNION ALL {_numeric_strength('l_tax')} UNION ALL {_group_strength('grp')} UNION ALL {_group_strength('stratum')})",
+)
+def cmp_discovery(spark, sf_dir):
+    asked = {"view": "discover", "outcome": "outcome", "preferences": {"prefer": ["x"], "demote": ["tax"]}}
+    return rounded(facade.analyze(runs(spark, sf_dir), asked, FIELDS), "score", digits=3)
+
+
+@query("cmp_analyze_filtered", CONTROLLED.replace(RUNS, f"SELECT * FROM ({RUNS}) WHERE x > 10 AND lower(grp) <> 'n'"))
+def cmp_analyze_filtered(spark, sf_dir):
+    filters = {"x": {"clauses": [{"operator": "gt", "value": "10"}]}, "grp": {"clauses": [{"operator": "neq", "value": "N"}]}}
+    asked = {"view": "controlled", "outcome": "outcome", "compare": "grp", "hold": ["stratum", "x"], "filters": filters}
+    return rounded(facade.analyze(runs(spark, sf_dir), asked, FIELDS), "mean")
+
+
+@query("cmp_analyze_numeric", f"SELECT count(*) AS n, round(regr_slope(outcome, x), 4) AS slope, round(regr_intercept(outcome, x), 4) AS intercept, round(regr_r2(outcome, x), 6) AS r2, round(corr(rx, ry), 6) AS rho FROM ({RANKS})")
+def cmp_analyze_numeric(spark, sf_dir):
+    out = facade.analyze(runs(spark, sf_dir), {"outcome": "outcome", "compare": "x"}, FIELDS)
+    return rounded(rounded(out, "slope", "intercept"), "r2", "rho", digits=6)
+
+
+@query("cmp_hold_suggestions")
+def cmp_hold_suggestions(spark, sf_dir):
+    r = runs(spark, sf_dir)
+    return facade.hold_suggestions(r, "outcome", "grp", facade.profile(r, FIELDS))

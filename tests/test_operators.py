@@ -87,3 +87,14 @@ def test_markdown(spark):
     df = spark.createDataFrame([(1, "# Head\n- item one\n- item two\npara a\npara b\n\n2) next\nlast")], "id int, t string")
     got = [(r["kind"], r["text"], r["first"], r["last"]) for r in lines.markdown_blocks(df, "id", "t").orderBy("block").collect()]
     assert got == [("heading", "Head", 1, 1), ("item", "item one", 2, 2), ("item", "item two", 3, 3), ("paragraph", "para a para b", 4, 5), ("item", "next", 7, 7), ("paragraph", "last", 8, 8)]
+
+
+def test_queries_that_cannot_be_answered(spark):
+    from larder.operators import facade
+
+    df = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 2.0)], "g string, c string, o double")
+    with pytest.raises(facade.QueryError):
+        facade.analyze(df, {"outcome": "g"}, ["g", "c", "o"])
+    assert [r["field"] for r in facade.analyze(df, {"compare": "c"}, ["g", "c", "o"]).collect()] == ["g"]
+    assert facade.weak_coverage(100, 10, 10, 2) == ["under 60 % of the rows are compared", "under 60 % of the strata hold several groups", "under 20 rows are compared", "under 3 strata are compared"]
+    assert facade.weak_coverage(100, 90, 10, 9) == []
