@@ -71,3 +71,29 @@ def ranked_identity(gold: DataFrame, found: DataFrame, ways: Sequence[tuple[str,
         every = every.unionByName(t)
     w = Window.partitionBy(gold_id).orderBy("_rank", found_id)
     return every.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "_rank")
+
+
+def matched_files(exports: DataFrame, files: DataFrame, path: str) -> DataFrame:
+    """exports with the path of the file of the same name, or the reason why there is none."""
+    from larder.functions.fields import basename
+
+    named = files.select(F.lower(basename(F.col(path))).alias("_name"), F.col(path).alias("matched")).groupBy("_name").agg(F.min("matched").alias("matched"))
+    joined = exports.withColumn("_name", F.lower(basename(F.col(path)))).join(named, "_name", "left").drop("_name")
+    return joined.withColumn("reason", F.when(F.col("matched").isNull(), F.when(F.col(path).isNull(), "no file name").otherwise("no such file")))
+
+
+def contained_phrases(texts: DataFrame, phrases: DataFrame, keys: Sequence[str], text: str, phrase: str, most_words: int = 4) -> DataFrame:
+    """keys, text row and phrase row pairs where the phrase's words occur in a row in the text: an equi-join on runs of words.
+
+    Both sides share the keys, such as a document; only phrases of up to `most_words` words can match.
+    """
+    words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    runs = [_runs(n) for n in range(1, most_words + 1)]
+    grams = texts.withColumn("_w", words).withColumn("_g", F.explode(F.array_distinct(F.flatten(F.array(*runs))))).drop("_w")
+    named = phrases.withColumn("_g", F.array_join(F.filter(F.split(F.lower(F.col(phrase)), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " "))
+    return grams.join(named, [*keys, "_g"]).drop("_g")
+
+
+def _runs(n: int) -> Column:
+    places = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.array_join(F.slice("_w", i, n), " "))

@@ -145,3 +145,32 @@ def sweeps(base: dict[str, str], options: dict[str, list[str]]) -> Iterator[dict
         for v in values:
             if base.get(key) != v:
                 yield {**base, key: v}
+
+
+def shard_count(total: Column, wanted: Column, each: Column, default_each: int) -> Column:
+    """How many shards: the wanted number, else by items a shard; between 1 and the number of items."""
+    by_items = F.ceil(total / F.coalesce(F.when(each > 0, each), F.lit(default_each)))
+    return F.when(total > 0, F.greatest(F.lit(1), F.least(total, F.coalesce(F.when(wanted > 0, wanted), by_items)))).otherwise(0).cast("long")
+
+
+def cost_shards(cost: Column, items: Column, threshold: float, most: int) -> Column:
+    """One shard under the threshold; else as many as the threshold goes into the cost, up to the items and a maximum."""
+    return F.when(cost < threshold, 1).otherwise(F.least(F.lit(most), items, F.ceil(cost / threshold))).cast("long")
+
+
+def correct_sample(correct: DataFrame, wrong: DataFrame, key: str, label: str, other: str, most: int) -> DataFrame:
+    """The first rows that aren't wrong: those with a proper label before the others."""
+    kept = correct.join(wrong.select(key).distinct(), key, "left_anti")
+    return kept.orderBy(F.col(label) == other, key).limit(most)
+
+
+def distinct_settings(base: DataFrame, options: dict[str, list[str]]) -> DataFrame:
+    """base with every combination of the options' values, each settings once by the hash of its sorted JSON.
+
+    The options are a short list that the caller gives.
+    """
+    out = base
+    for name, values in options.items():
+        out = out.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    columns = sorted(out.columns)
+    return out.withColumn("hash", F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256)).dropDuplicates(["hash"])

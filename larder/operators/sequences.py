@@ -175,3 +175,48 @@ def precision_recall(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
     """precision, recall and f1; 0 where nothing is counted."""
     p, r = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0)), F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
     return {"precision": p, "recall": r, "f1": F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))}
+
+
+def clusters(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """df with cluster: intervals that overlap, directly or through others, share one (inclusive ends)."""
+    w = Window.partitionBy(*keys).orderBy(start, end)
+    seen = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = (seen.isNull() | (F.col(start) > seen)).cast("long")
+    return df.withColumn("_n", fresh).withColumn("cluster", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("_n")
+
+
+def best_of_clusters(df: DataFrame, keys: Sequence[str], start: str, end: str, score: str, order: Sequence[str]) -> DataFrame:
+    """Of each cluster the row with the best score, then the earliest, the shortest, and by order."""
+    w = Window.partitionBy(*keys, "cluster").orderBy(F.desc(score), start, F.col(end) - F.col(start), *order)
+    return clusters(df, keys, start, end).withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "cluster")
+
+
+def runs_with(df: DataFrame, keys: Sequence[str], pos: str, flag: Column, score: str, least: int, mean: float) -> DataFrame:
+    """keys, start, end, n, mean: runs of flagged positions that are long enough and score enough on average."""
+    w = Window.partitionBy(*keys).orderBy(pos)
+    marked = df.filter(flag).withColumn("_i", F.col(pos) - F.row_number().over(w))
+    runs = marked.groupBy(*keys, "_i").agg(F.min(pos).alias("start"), F.max(pos).alias("end"), F.count("*").alias("n"), F.avg(score).alias("mean")).drop("_i")
+    return runs.filter((F.col("n") >= least) & (F.col("mean") >= mean))
+
+
+def repeats(df: DataFrame, keys: Sequence[str], pos: str, value: str, nearest: int, farthest: int) -> DataFrame:
+    """keys, value, first, second: a value and its next use within a distance."""
+    w = Window.partitionBy(*keys, value).orderBy(pos)
+    pairs = df.withColumn("second", F.lead(pos).over(w))
+    return pairs.filter((F.col("second") - F.col(pos)).between(nearest, farthest)).select(*keys, value, F.col(pos).alias("first"), "second")
+
+
+def focus_slice(length: Column, segment: int, focus: int) -> tuple[Column, Column]:
+    """Start and end of the focus within a segment: centred, and the whole of shorter ones."""
+    size = F.least(length, F.lit(min(segment, focus)))
+    start = F.floor((length - size) / 2).cast("long")
+    return start, start + size
+
+
+def overlap_for(df: DataFrame, total: str, segment: int, wanted: str) -> DataFrame:
+    """df with overlap and tasks: of all overlaps, that whose number of segments is nearest to the wanted; ties to the smaller."""
+    options = df.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(segment - 1))))
+    tasks = F.greatest(F.lit(1), F.ceil((F.col(total) - F.col("_o")) / (segment - F.col("_o")))).cast("long")
+    tried = options.withColumn("_t", F.when(F.col(total) <= segment, F.lit(1).cast("long")).otherwise(tasks))
+    best = tried.groupBy(*df.columns).agg(F.min(F.struct(F.abs(F.col("_t") - F.col(wanted)).alias("d"), F.col("_o").alias("o"), F.col("_t").alias("t"))).alias("_b"))
+    return best.select(*df.columns, F.col("_b.o").alias("overlap"), F.col("_b.t").alias("tasks"))

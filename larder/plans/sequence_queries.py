@@ -378,3 +378,83 @@ def ded_line_offsets(spark, sf_dir):
     from larder.functions.text import line_offsets
 
     return line_offsets(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "line", "start", "end")
+
+
+CLUSTERS = f"""SELECT *, sum(n) OVER (PARTITION BY src ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) - 1 AS cluster FROM (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY src ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM ({SPANS_SQL}) WHERE id % 11 = 0)"""
+
+
+@query("seq_clusters", f"SELECT src, CAST(cluster AS BIGINT) AS cluster, count(*) AS n FROM ({CLUSTERS}) GROUP BY ALL")
+def seq_clusters(spark, sf_dir):
+    return S.clusters(spans(spark, sf_dir).filter("id % 11 = 0"), ["src"], "s", "e").groupBy("src", "cluster").agg(F.count("*").alias("n"))
+
+
+@query("seq_best_of_clusters", f"SELECT id FROM (SELECT *, row_number() OVER (PARTITION BY src, cluster ORDER BY id % 5 DESC, s, e - s, id) AS r FROM ({CLUSTERS})) WHERE r = 1")
+def seq_best_of_clusters(spark, sf_dir):
+    d = spans(spark, sf_dir).filter("id % 11 = 0").withColumn("score", F.col("id") % 5)
+    return S.best_of_clusters(d, ["src"], "s", "e", "score", ["id"]).select("id")
+
+
+@query("seq_runs_with", f"WITH i AS (SELECT src, pos, value, pos - row_number() OVER (PARTITION BY src ORDER BY pos) AS i FROM ({SEQ}) WHERE label IN ('click', 'view')) SELECT src, min(pos) AS start, max(pos) AS \"end\", count(*) AS n, round(avg(value), 6) AS mean FROM i GROUP BY src, i HAVING count(*) >= 3 AND avg(value) >= 40")
+def seq_runs_with(spark, sf_dir):
+    out = S.runs_with(seq(spark, sf_dir), ["src"], "pos", F.col("label").isin("click", "view"), "value", 3, 40.0)
+    return out.withColumn("mean", F.round("mean", 6))
+
+
+@query("seq_repeats", f"SELECT src, label, pos AS first, second FROM (SELECT *, lead(pos) OVER (PARTITION BY src, label ORDER BY pos) AS second FROM ({SEQ})) WHERE second - pos BETWEEN 4 AND 9")
+def seq_repeats(spark, sf_dir):
+    return S.repeats(seq(spark, sf_dir), ["src"], "pos", "label", 4, 9)
+
+
+@query("seq_focus_slice", "SELECT conv_id, CAST(floor((n - least(n, 4)) / 2) AS BIGINT) AS start, CAST(floor((n - least(n, 4)) / 2) + least(n, 4) AS BIGINT) AS \"end\" FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)")
+def seq_focus_slice(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    start, end = S.focus_slice(F.col("n"), 10, 4)
+    return c.select("conv_id", start.alias("start"), end.alias("end"))
+
+
+@query(
+    "seq_overlap_for",
+    """WITH t AS (SELECT doc_id, n_chars AS n, 5 + doc_id % 7 AS w FROM documents), o AS (SELECT *, unnest(range(0, 100)) AS o FROM t), k AS (SELECT *, CASE WHEN n <= 100 THEN 1 ELSE greatest(1, ceil((n - o) / (100 - o))) END AS c FROM o),
+    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(c - w), o) AS r FROM k) SELECT doc_id, CAST(o AS INTEGER) AS overlap, CAST(c AS BIGINT) AS tasks FROM r WHERE r = 1""",
+)
+def seq_overlap_for(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("n"), (F.col("doc_id") % 7 + 5).alias("w"))
+    return S.overlap_for(d, "n", 100, "w").select("doc_id", "overlap", "tasks")
+
+
+@query("ord_shard_count", "SELECT doc_id, CAST(CASE WHEN n_chars > 0 THEN greatest(1, least(n_chars, CASE WHEN doc_id % 3 > 0 THEN doc_id % 3 ELSE ceil(n_chars / 700.0) END)) ELSE 0 END AS BIGINT) AS n, CAST(CASE WHEN n_chars < 2000 THEN 1 ELSE least(6, doc_id + 1, ceil(n_chars / 2000.0)) END AS BIGINT) AS parts FROM documents")
+def ord_shard_count(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    n = F.col("n_chars")
+    return d.select("doc_id", O.shard_count(n, F.col("doc_id") % 3, F.lit(None).cast("long"), 700).alias("n"), O.cost_shards(n, F.col("doc_id") + 1, 2000, 6).alias("parts"))
+
+
+@query("ord_correct_sample", "SELECT event_id FROM events WHERE event_id % 3 <> 0 ORDER BY event_type = 'view', event_id LIMIT 30")
+def ord_correct_sample(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return O.correct_sample(e, e.filter("event_id % 3 = 0"), "event_id", "event_type", "view", 30).select("event_id")
+
+
+@query("ord_distinct_settings", "SELECT r_name, a, b FROM (SELECT DISTINCT r_name FROM region), (SELECT unnest(['x', 'y']) AS a), (SELECT unnest(['1', '2', '3']) AS b)")
+def ord_distinct_settings(spark, sf_dir):
+    r = table(spark, sf_dir, "region").select("r_name")
+    return O.distinct_settings(r.unionByName(r), {"a": ["x", "y"], "b": ["1", "2", "3", "1"]}).drop("hash")
+
+
+@query("join_contained_phrases", "SELECT DISTINCT p_partkey, p_type AS phrase FROM part WHERE contains(' ' || lower(p_name || ' made of ' || p_type) || ' ', ' ' || lower(p_type) || ' ')")
+def join_contained_phrases(spark, sf_dir):
+    from larder.operators.merging import contained_phrases
+
+    p = table(spark, sf_dir, "part")
+    texts = p.select("p_partkey", F.concat_ws(" made of ", "p_name", "p_type").alias("t"))
+    return contained_phrases(texts, p.select("p_partkey", F.col("p_type").alias("phrase")), ["p_partkey"], "t", "phrase").select("p_partkey", "phrase").distinct()
+
+
+@query("join_matched_files", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url END AS matched, CASE WHEN page_id % 2 = 1 THEN 'no such file' END AS reason FROM pages WHERE page_id IN (SELECT min(page_id) FROM pages GROUP BY lower(list_last(string_split(rtrim(url, '/'), '/'))) HAVING count(*) = 1)")
+def join_matched_files(spark, sf_dir):
+    from larder.functions.fields import basename
+    from larder.operators.merging import matched_files
+
+    p = table(spark, sf_dir, "pages").withColumn("_b", F.lower(basename(F.col("url"))))
+    single = p.join(p.groupBy("_b").count().filter("count = 1").select("_b"), "_b").select("page_id", "url")
+    return matched_files(single, single.filter("page_id % 2 = 0"), "url").select("page_id", "matched", "reason")
