@@ -92,7 +92,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 #: Cyrillic and Greek letters that look like Latin ones.
 _ALIKE = dict(zip("АВЕКМНОРСТХаеорсухіјѕΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEKMHOPCTXaeopcyxijsABEZHIKMNOPTYXo"))
-_DASHES, _GAPS, _NOTHING = "‐‑‒–—−﹣", "      ", "​‌‍⁠﻿­"
+#: Other hyphens, blanks that aren't the space, and characters without width.
+_DASHES, _GAPS, _NOTHING = "\u2010\u2011\u2012\u2013\u2014\u2212\ufe63", "\u00a0\u2002\u2003\u2007\u2009\u202f\u3000", "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
 
 def _look_alikes() -> dict[int, str]:
@@ -133,11 +134,12 @@ _LABEL = r"[A-Za-z0-9-]{1,63}"
 #: What the last label must be where "at" and "dot" are plain words, as these occur in prose.
 _LAST = "(?:com|org|net|edu|gov|mil|int|info|biz|name|io|co|me|tv|app|dev|ai|eu|uk|us|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|cz|ie|ru|ua|cn|jp|kr|in|br|mx|ar|ca|au|nz|za)"
 _SAID = re.compile(rf"(?<=[A-Za-z0-9_])[ \t]{{1,3}}at[ \t]{{1,3}}(?={_LABEL}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}{_LABEL})*[ \t]{{1,3}}dot[ \t]{{1,3}}{_LAST}(?![A-Za-z0-9-]))|(?<=[A-Za-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[A-Za-z0-9])", re.I)
+_SPACED = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}[ \t]{{1,3}}@[ \t]{{1,3}}{_LABEL}(?:[ \t]{{0,3}}\.[ \t]{{0,3}}{_LABEL}){{0,4}}[ \t]{{0,3}}\.[ \t]{{0,3}}{_LAST}(?![A-Za-z0-9-])", re.I)
 #: What a text must hold for any transducer to change it into something that a pattern finds.
 TRIGGER = (
     "["
     + "".join(f"\\x{{{c:x}}}" for c in sorted(_MAP))
-    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|[ \t]at[ \t]{{1,3}}[a-z0-9-]+[ \t]{{1,3}}dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}})"
+    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|[ \t]@[ \t]|[ \t]at[ \t]{{1,3}}[a-z0-9-]+[ \t]{{1,3}}dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}})"
 )
 
 
@@ -189,6 +191,8 @@ def normalised(text: str) -> Mapped:
     x = x.rewritten(_BRACKETED, _whole(lambda m: "." if m[2] or m[0] == "&#46;" else "@"))
     if re.search("dot", x.text, re.I):
         x = _said_addresses(x)
+    if re.search(r"[ \t]@[ \t]", x.text):
+        x = x.rewritten(_SPACED, lambda m: [(c, m.start() + i, m.start() + i + 1) for i, c in enumerate(m[0]) if c not in " \t"])
     return x.rewritten(_SPELLED, _spelled)
 
 

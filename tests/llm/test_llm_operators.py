@@ -512,6 +512,8 @@ def test_base_patterns_match_the_plain_ones():
         ("mail bob [at] mail8 (dot) example dot com now", "email", "bob [at] mail8 (dot) example dot com"),
         ("to bob at mail dot example dot com.", "email", "bob at mail dot example dot com"),
         ("john＠ex.com", "email", "john＠ex.com"),
+        ("ask jo.d @ mail . example . com today", "email", "jo.d @ mail . example . com"),
+        ("jo(at)mail[dot]com", "email", "jo(at)mail[dot]com"),
         ("call plus one two seven four five five five nine six two nine please", "phone", "plus one two seven four five five five nine six two nine"),
         ("card ４０４１８９４９７４６０８７９５", "card", "４０４１８９４９７４６０８７９５"),
         ("é 10．0．0．1", "ip", "10．0．0．1"),
