@@ -89,3 +89,46 @@ def sum_or_null(*values: Column) -> Column:
     """The sum of what is known; null only if nothing is."""
     total = sum((F.coalesce(v, F.lit(0)) for v in values[1:]), F.coalesce(values[0], F.lit(0)))
     return F.when(F.coalesce(*values).isNotNull(), total)
+
+
+def path_text(path: Column) -> Column:
+    """A path in lower case with forward slashes; empty for null."""
+    return F.lower(F.replace(F.coalesce(path, F.lit("")), F.lit("\\"), F.lit("/")))
+
+
+#: Words that mark a timestamped run folder as a trial.
+TRIAL_WORDS = ("manual", "smoke", "test", "debug", "quick", "probe", "sample", "trial")
+
+
+def is_trial_path(path: Column) -> Column:
+    """Whether a run's path is that of a bench folder, a test's temporary folder, or a timestamped folder named as a trial."""
+    p = path_text(path)
+    stamp = r"\d{4}-\d{2}-\d{2}[t_]\d{2}[.:]\d{2}[.:]\d{2}"
+    trial = rf"(^|/){stamp}_([^/]*[-_])?({'|'.join(TRIAL_WORDS)})([-_][^/]*)?(/|$)"
+    return F.contains(p, F.lit("/bench/")) | p.rlike(r"(^|/)pytest-\d+(/|$)") | p.rlike(r"(^|/)test_[^/]+(/|$)") | p.rlike(trial)
+
+
+def has_folder(path: Column, folder: str) -> Column:
+    return F.contains(path_text(path), F.lit(f"/{folder.strip('/').lower()}/"))
+
+
+def token_after(path: Column, marker: str, useless: tuple[str, ...] = ("", "runs", "output")) -> Column:
+    """The folder after a marker folder, unless it says nothing."""
+    parts = F.split(path_text(path), "/")
+    at = F.array_position(parts, marker.lower()).cast("int")
+    return F.when(at > 0, F.nullif(F.when(F.get(parts, at).isin(*useless), "").otherwise(F.get(parts, at)), F.lit("")))
+
+
+def with_missing(base: Column, more: Column, runtime: tuple[str, ...] = ()) -> Column:
+    """A map with another's keys added where absent; runtime keys are replaced too where their value is a word for none."""
+    none = lambda v: F.lower(F.trim(F.coalesce(v, F.lit("")))).isin("", "none", "null", "n/a", "default")
+    kept = F.map_filter(base, lambda k, v: ~(k.isin(*runtime) & none(v))) if runtime else base
+    return F.map_concat(kept, F.map_filter(more, lambda k, v: ~F.array_contains(F.map_keys(kept), k)))
+
+
+def cascade(*cases: tuple[Column, Column | str], other: str = "-") -> Column:
+    """The first case that holds; null conditions don't."""
+    out = F.lit(other)
+    for when, value in reversed(cases):
+        out = F.when(F.coalesce(when, F.lit(False)), value if isinstance(value, Column) else F.lit(value)).otherwise(out)
+    return out
