@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from larder.llm import components, fingerprints, lines, mixing, neardup, packing, pii, queries, substrings, topk, toxicity, warc
+from larder.llm import common, components, fingerprints, lines, mixing, neardup, packing, pii, queries, substrings, topk, toxicity, warc
 from larder.llm.words import Words, slices
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -569,3 +569,13 @@ def test_substrings_of_odd_rows(spark):
     got = sorted(((r[0], r[2]) for r in substrings.digests(substrings.marked(df)).collect()), key=str)
     assert got == sorted([(None, 20), (1, 0), (1, 0), (2, 20)], key=str)
     assert substrings.digests(substrings.marked(df.limit(0))).count() == 0
+
+
+# --- shared folder
+
+
+def test_scratch_is_below_the_shared_folder_and_goes(spark):
+    df = common.settled(spark.range(3), "x")
+    assert df.count() == 3 and df.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(common.shared_dir(spark).removeprefix("file:").lstrip("/"))
+    common.clear(spark)
+    assert not spark.sparkContext._jvm.java.io.File(common.shared_dir(spark) + "/larder").exists()
