@@ -34,7 +34,8 @@ from larder.llm.memory import lean
 
 SIZE = 1024
 END_ID = 2
-GROUP, LEAST_GROUPS = 8192, 24
+#: Pieces packed in one task: at most so many, and, in up to LEAST_GROUPS groups, no fewer than SMALLEST.
+GROUP, LEAST_GROUPS, SMALLEST = 16384, 16, 512
 #: Groups whose under-full sequences are packed together, and up to which fill a sequence counts as such.
 MERGED_GROUPS, FULL = 256, 0.95
 TOKENS = "byte_bpe_50k"
@@ -122,7 +123,8 @@ def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP, full: float = FUL
     cut = settled(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     whole = cut.filter(F.col("length") == size).select("row", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = cut.filter(F.col("length") < size).select("row", "length")
-    groups = max(LEAST_GROUPS, -(-part.count() // group))
+    n = part.count()
+    groups = max(1, min(LEAST_GROUPS, n // SMALLEST), -(-n // group))
     schema = "row long, length long, sequence_id long, offset long, again boolean"
     deal = lambda df, n: df.withColumn("deal", F.pmod(F.xxhash64("row"), F.lit(n)))
     first = settled(deal(part, groups).groupBy("deal").applyInPandas(_packed(size, full, 1), schema), "packed")
