@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Buckets of the ordering column.
 BUCKETS = 64
+#: Up to so many distinct values (16 bytes each) their ranks are broadcast to the rows; beyond, both sides are shuffled.
+BROADCAST_VALUES = 200_000
 
 
 def _dealt(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
@@ -39,11 +41,12 @@ def numbered(df: DataFrame, column: str, then: list[str], name: str = "position"
 def average_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
     """df with the average rank of a non-null numeric column: ties share the mean of their places (from 1)."""
     counts = _dealt(df.groupBy(column).agg(F.count("*").alias("_n")), column)
-    sizes = sorted(tuple(r) for r in counts.groupBy("_bucket").agg(F.sum("_n")).collect())
+    sizes = sorted(tuple(r) for r in counts.groupBy("_bucket").agg(F.sum("_n"), F.count("*")).collect())
     start, total = F.lit(0).cast("long"), 0
-    for b, n in sizes:
+    for b, n, _ in sizes:
         start = F.when(F.col("_bucket") == b, F.lit(total).cast("long")).otherwise(start)
         total += n
     below = F.coalesce(F.sum("_n").over(Window.partitionBy("_bucket").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + start
     ranks = counts.select(column, (below + (F.col("_n") + 1) / F.lit(2.0)).alias(name))
-    return df.join(ranks, column)
+    few = sum(d for *_, d in sizes) <= BROADCAST_VALUES
+    return df.join(F.broadcast(ranks) if few else ranks, column)
