@@ -119,3 +119,42 @@ def contents_score(x: Column) -> Column:
     score = F.when(heading, 1.0).otherwise(0.0) + F.when(t.rlike(r"\.{3,}|(\. ){3,}"), 0.6).otherwise(0.0) + F.when(t.rlike(r"\s\d{1,4}$"), 0.35).otherwise(0.0)
     score = score + F.when(t.rlike(r"(?i)^(part|chapter|section|index|appendix)\b"), 0.25).otherwise(0.0) + F.when(words.between(2, 16), 0.15).otherwise(0.0) + F.when(F.char_length(t) <= 120, 0.1).otherwise(0.0)
     return F.least(F.lit(1.6), F.when((words == 1) & ~heading, score * 0.4).otherwise(score))
+
+
+def lemma(word: Column) -> Column:
+    """A word's stem by suffix: -ies as y, -oes as o, -ing and -ed off longer words (double consonants undone), -es, -s."""
+    w = F.lower(F.trim(word))
+    n = F.char_length(w)
+
+    def cut(k: int) -> Column:
+        stem = F.substring(w, F.lit(1), n - k)
+        return F.when(stem.rlike(r"([bdfgmnprt])\1$"), F.substring(stem, F.lit(1), F.char_length(stem) - 1)).otherwise(stem)
+
+    off = lambda k, add="": F.concat(F.substring(w, F.lit(1), n - k), F.lit(add))
+    return (
+        F.when((n > 4) & F.endswith(w, F.lit("ies")), off(3, "y")).when((n > 4) & F.endswith(w, F.lit("oes")), off(2)).when((n > 5) & F.endswith(w, F.lit("ing")), cut(3)).when((n > 4) & F.endswith(w, F.lit("ed")), cut(2))
+        .when((n > 4) & w.rlike("(?:ch|sh|ss|x|z)es$"), off(2)).when((n > 3) & F.endswith(w, F.lit("s")) & ~F.endswith(w, F.lit("ss")), off(1)).otherwise(w)
+    )
+
+
+def line_scores(ingredient: Column, instruction: Column, other: Column, is_ingredient: Column) -> Column:
+    """label and share of three raw scores: ingredient needs its flag and wins ties, then instruction; other for none."""
+    total = ingredient + instruction + other
+    label = F.when(total <= 0, "other").when(is_ingredient & (ingredient >= instruction) & (ingredient >= other), "ingredient").when(instruction >= other, "instruction").otherwise("other")
+    score = F.when(total <= 0, 1.0).otherwise(F.when(label == "ingredient", ingredient).when(label == "instruction", instruction).otherwise(other) / F.nullif(total, F.lit(0.0)))
+    return F.struct(label.alias("label"), score.alias("share"))
+
+
+def tiny_merged(fragments: Column, words: int = 2, chars: int = 14) -> Column:
+    """Fragments of few words or characters joined to the one before, or, at the beginning, to the next."""
+    tiny = lambda x: (F.size(F.split(F.trim(x), r"\s+")) <= words) | (F.char_length(F.trim(x)) <= chars)
+    start = F.array().cast("array<string>")
+
+    def step(acc: Column, x: Column) -> Column:
+        last = F.element_at(acc, -1)
+        head = F.slice(acc, F.lit(1), F.size(acc) - 1)
+        joined = F.concat(head, F.array(F.concat_ws(" ", last, x)))
+        first_is_tiny = (F.size(acc) == 1) & tiny(last)
+        return F.when(F.size(acc) == 0, F.array(x)).when(tiny(x) | first_is_tiny, joined).otherwise(F.concat(acc, F.array(x)))
+
+    return F.aggregate(fragments, start, step)

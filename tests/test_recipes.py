@@ -43,3 +43,15 @@ def test_likeness_and_gate(spark):
     got = df.select("i", score.alias("score")).withColumn("tier", R.tier(F.col("score"))).join(df, "i").withColumn("gate", R.gate(F.col("tier"), F.col("a"), F.col("b"))).orderBy("i").collect()
     assert got[0]["tier"] == "gold" and got[0]["gate"] == "keep_full" and got[0]["score"] == pytest.approx(0.2 + 0.31 * (0.95 * 0.65 + 0.35) + 0.31 + 0.08 * (6 / 11 / 0.6 * 0.5 + 5 / 11 / 0.6 * 0.5) + 0.06 + 0.04)
     assert got[1]["gate"] == "reject" and got[2]["gate"] in ("reject", "keep_partial")
+
+
+def test_words_and_fragments(spark):
+    from larder.functions import text as T
+
+    words = ["Berries", "potatoes", "chopping", "mixed", "dishes", "eggs", "glass", "pie", "baked"]
+    assert values(spark, words, T.lemma) == ["berry", "potato", "chop", "mix", "dish", "egg", "glass", "pie", "bak"]
+    parts = [["Mix.", "Then bake the whole thing slowly.", "Cool.", "Serve it with plenty of cream."], ["A long first fragment here.", "ok"], []]
+    assert values(spark, parts, T.tiny_merged, "array<string>") == [["Mix. Then bake the whole thing slowly. Cool.", "Serve it with plenty of cream."], ["A long first fragment here. ok"], []]
+    df = spark.createDataFrame([(1.0, 1.0, 0.0, True), (1.0, 1.0, 2.0, False), (0.0, 0.0, 0.0, True)], "a double, b double, c double, f boolean")
+    got = [tuple(r["v"]) for r in df.select(T.line_scores(*map(F.col, "abcf")).alias("v")).collect()]
+    assert got == [("ingredient", 0.5), ("other", 0.5), ("other", 1.0)]
