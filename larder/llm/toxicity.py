@@ -1,21 +1,23 @@
-"""Toxicity by the nearest labelled examples, with exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by the nearest labelled examples, with exact TF-IDF cosine over the terms of the examples.
 
 Fitting takes at most `per_class` labelled documents of each label, by a hash of the id. Terms are words
-(lower case, letters only) and the beginnings of longer words, once or twice in a document; the
-vocabulary is the terms that mark toxic examples, chosen one after another by a chi-square over `CHI`. Document frequencies count all documents. The
-index keeps the examples in blocks, and for every term and block the greatest weight: the sum of these
-over a query's terms bounds the cosine of any example of the block, so blocks are evaluated from the
-highest bound down until the next bound is under the k-th best cosine. Nothing is left out by that.
+(lower case, letters only) and the beginnings of longer words. All terms of the examples are indexed, and
+document frequencies count all documents. Terms that mark toxic examples, chosen one after another by a
+chi-square over `CHI` and once or twice in a document, weigh `MARKED` times as much; no term is left out.
+A text's terms that no example holds would only scale its cosines, which changes neither order nor votes.
+
+Every text is compared with every example: terms of many examples through a dense matrix, the others through
+their postings. Nothing is left out by that.
 
 An example's vote weighs as its squared cosine. Votes of the examples themselves, each without itself,
 give the calibration: isotonic, with the labels' shares in the whole labelled set as weights. The nearest
 toxic examples come along as evidence.
 
-The corpus is read for the document frequencies and again for the scores; only the counts of at most
-`VOCABULARY` terms move. The index is bounded by the sample and travels with the tasks.
+The corpus is read for the document frequencies and again for the scores; only the counts of the examples'
+terms move. The index is bounded by the sample and travels with the tasks.
 
-Defined results. A null or empty text, or one without a term of the vocabulary, gets the share of toxic
-examples among such examples. Without labels of both kinds there is no vocabulary, and every score is the
+Defined results. A null or empty text, or one without a term of any example, gets the share of toxic
+examples among such examples, or that among all labels if there are none. Without labels of both kinds there is no vocabulary, and every score is the
 share of toxic labels (0 without any). Repeated labels count as toxic if any of them is; null labels don't
 count; other columns are ignored.
 """
@@ -38,13 +40,17 @@ from larder.llm.words import NOT_LETTERS, slices
 #: Labelled documents of each label that the index holds at most.
 PER_CLASS = 2000
 VOCABULARY = 4096
-#: A term is kept over this chi-square: by chance under one in ten million is.
+#: How much more the chosen terms weigh.
+MARKED = 16.0
+#: A term is chosen over this chi-square: by chance under one in ten million is.
 CHI = 30.0
 #: And if at least this share of the toxic examples, and three, are left to it.
 SUPPORT = 0.002
 #: A term may ask for one occurrence in a document, or for up to so many.
 TIMES = 2
-NEIGHBOURS, BLOCK, EVIDENCE = 40, 64, 3
+NEIGHBOURS, EVIDENCE = 40, 3
+#: Terms of the most examples that go through a dense matrix, and postings that are added up at once.
+HEAD, POSTINGS = 512, 1 << 20
 #: Bytes of a longer word's beginning that are a term.
 PREFIXES = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
@@ -90,18 +96,9 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(terms_), pa.array(np.full(len(terms_), toxic.as_py(), np.int32))], ["term", "toxic"])
 
 
-def _only(candidates: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            terms_, counts = [], []
-            for t, c in zip(batch.column("terms"), batch.column("counts")):
-                t, c = np.frombuffer(t.as_py(), np.uint64), np.frombuffer(c.as_py(), np.uint32)
-                ok = candidates[np.minimum(np.searchsorted(candidates, t), len(candidates) - 1)] == t if len(candidates) else np.zeros(len(t), bool)
-                terms_.append(t[ok].tobytes())
-                counts.append(c[ok].tobytes())
-            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "toxic", "whole")), pa.array(terms_, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "toxic", "whole", "terms", "counts"])
-
-    return run
+def _among(known: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Whether each of `found` is in `known`, which is sorted."""
+    return known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found if len(known) else np.zeros(len(found), bool)
 
 
 @dataclass
@@ -118,15 +115,15 @@ class Vocabulary:
         self.known, at = np.unique(self.hashes, return_inverse=True)
         self.term = np.full((max(1, len(self.known)), TIMES), -1)
         self.term[at, self.least - 1] = np.arange(len(self.hashes))
-        self.filter = np.zeros(1 << 16, bool)
-        self.filter[(self.known >> np.uint64(48)).astype(np.int64)] = True
+        self.filter = np.zeros(1 << 22, bool)
+        self.filter[(self.known >> np.uint64(42)).astype(np.int64)] = True
 
     def find(self, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document, term and count of each pair that occurs, by document and term; from a row for each occurrence."""
         none = np.zeros(0, np.int64)
         if not len(self.known):
             return none, none, none
-        at = np.flatnonzero(self.filter[(hashes >> np.uint64(48)).astype(np.int64)])
+        at = np.flatnonzero(self.filter[(hashes >> np.uint64(42)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.known, hashes[at]), len(self.known) - 1)
         ok = self.known[place] == hashes[at]
         key, count = np.unique(doc[at[ok]] * len(self.known) + place[ok], return_counts=True)
@@ -192,48 +189,60 @@ def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray
 
 
 class Index:
-    """Unit vectors of the examples, in blocks, with each term's greatest weight in each block."""
+    """Unit vectors of the examples, by term: rows of a dense matrix for the `HEAD` terms of the most examples, postings for the others."""
 
     def __init__(self, docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, ids: np.ndarray, size: int):
-        # Examples that share their heaviest term are neighbours, so that blocks differ in their maxima.
-        lead = [(int(t[np.argmax(w)]) if len(t) else size, i) for i, (t, w) in enumerate(docs)]
-        order = [i for _, i in sorted(lead)]
-        self.order, self.toxic, self.ids = np.array(order, np.int64), toxic[order], ids[order]
-        docs = [docs[i] for i in order]
-        self.first = np.concatenate([[0], np.cumsum([len(t) for t, _ in docs])]).astype(np.int64)
-        self.terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in docs)]).astype(np.int64)
-        self.weights = np.concatenate([np.zeros(0), *(w for _, w in docs)])
-        self.blocks = -(-len(docs) // BLOCK)
-        self.most = np.zeros((size, max(1, self.blocks)))
-        block = np.repeat(np.arange(len(docs)), np.diff(self.first)) // BLOCK
-        np.maximum.at(self.most, (self.terms, block), self.weights)
-        self.query = np.zeros(max(1, size))
-
-    def _block(self, b: int) -> tuple[np.ndarray, np.ndarray]:
-        low, high = b * BLOCK, min((b + 1) * BLOCK, len(self.toxic))
-        edges = self.first[low : high + 1]
-        part = self.query[self.terms[edges[0] : edges[-1]]] * self.weights[edges[0] : edges[-1]]
-        doc = np.repeat(np.arange(high - low), np.diff(edges))
-        return np.arange(low, high), np.bincount(doc, part, high - low)
+        self.order, self.toxic, self.ids = np.arange(len(docs)), toxic, ids
+        terms_ = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in docs)]).astype(np.int64)
+        weights = np.concatenate([np.zeros(0), *(w for _, w in docs)])
+        place = np.repeat(np.arange(len(docs), dtype=np.int32), [len(t) for t, _ in docs])
+        often = np.bincount(terms_, minlength=size)
+        top = np.argsort(-often, kind="stable")[:HEAD]
+        self.row = np.full(max(1, size), -1, np.int32)
+        self.row[top] = np.arange(len(top))
+        self.head = np.zeros((len(top), len(docs)))
+        dense = self.row[terms_] >= 0
+        self.head[self.row[terms_[dense]], place[dense]] = weights[dense]
+        terms_, place, weights = terms_[~dense], place[~dense], weights[~dense]
+        by_term = np.argsort(terms_, kind="stable")
+        self.place, self.weight = place[by_term], weights[by_term]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(terms_, minlength=size))]).astype(np.int64)
+
+    def cosines(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """n by examples, for the vectors of n texts: a row (doc, term, weight) for each term."""
+        size = len(self.toxic)
+        dense = self.row[term] >= 0
+        query = np.zeros((n, len(self.head)))
+        query[doc[dense], self.row[term[dense]]] = weight[dense]
+        out = query @ self.head
+        doc, term, weight = doc[~dense], term[~dense], weight[~dense]
+        start, many = self.first[term], self.first[term + 1] - self.first[term]
+        ends = np.cumsum(many)
+        flat, a = out.reshape(-1), 0
+        while a < len(term):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] - many[a] + POSTINGS, "right")))
+            k = many[a:b]
+            at = np.arange(k.sum()) + np.repeat(start[a:b] - np.cumsum(k) + k, k)
+            low = int(doc[a]) * size
+            cells = np.bincount(np.repeat(doc[a:b] * size - low, k) + self.place[at], np.repeat(weight[a:b], k) * self.weight[at])
+            flat[low : low + len(cells)] += cells
+            a = b
+        return out.round(9)  # so that equal cosines are equal however texts are dealt
+
+    @staticmethod
+    def best(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k greatest over 0; ties go to the smaller place."""
+        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+        places = np.flatnonzero((cosine >= least) & (cosine > 0))
+        places = places[np.argsort(-cosine[places], kind="stable")][:k]
+        return places, cosine[places]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples with any common term; ties go to the smaller place."""
-        self.query[term] = weight
-        bound = weight @ self.most[term]
-        places, scores, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < least - 1e-12:
-                break
-            at, score = self._block(int(b))
-            ok = (score > 0) & (score >= least) & (at != without)
-            places, scores = np.concatenate([places, at[ok]]), np.concatenate([scores, score[ok]])
-            if len(places) > k:
-                best = np.lexsort((places, -scores))[:k]
-                places, scores = places[best], scores[best]
-                least = scores[-1]
-        self.query[term] = 0.0
-        best = np.lexsort((places, -scores))[:k]
-        return places[best], scores[best]
+        cosine = self.cosines(np.zeros(len(term), np.int64), term, weight, 1)[0]
+        if without >= 0:
+            cosine[without] = 0.0
+        return self.best(cosine, k)
 
     def vote(self, places: np.ndarray, scores: np.ndarray) -> float:
         """The toxic share of the examples, each weighing as its squared cosine."""
@@ -244,15 +253,17 @@ class Index:
 @dataclass
 class Model:
     vocabulary: Vocabulary
+    #: By term, with MARKED in it.
     idf: np.ndarray
     index: Index | None
     votes: np.ndarray
     chances: np.ndarray
     without_terms: float
 
-    def vector(self, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def weights(self, doc: np.ndarray, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Of unit vectors, from a row for each term of each text."""
         w = (1 + np.log(count)) * self.idf[term]
-        return term, w / np.sqrt((w * w).sum()) if len(w) else w
+        return w / np.sqrt(np.bincount(doc, w * w))[doc] if len(w) else w
 
     def chance(self, vote: float) -> float:
         """The calibrated share; a little of the vote itself keeps equal shares in order."""
@@ -281,15 +292,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     whole = settled(texts.join(F.broadcast(chosen), "doc_id").mapInArrow(lean(_counted), "doc_id long, toxic int, terms binary, counts binary"), "sample")  # at most 2 * per_class ids are broadcast
     sizes = {t: n for t, n in whole.groupBy("toxic").count().collect()}
     weight_of = np.array([totals.get(t, 0) / max(1, sizes.get(t, 0)) for t in (0, 1)])
-    # Only terms with some support, a third of it toxic by weight, can be chosen; the others stay on the executors.
+    # Only terms with some support, a third of it toxic by weight, can be chosen.
     pairs = whole.mapInArrow(lean(_paired), "term long, toxic int").groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     enough = (F.col("a") >= max(3, SUPPORT * sizes.get(1, 0))) & (2 * F.col("a") * F.lit(float(weight_of[1])) >= (F.col("n") - F.col("a")) * F.lit(float(weight_of[0])))
     candidates = np.sort(pairs.filter(enough).select("term").toArrow()["term"].to_numpy().astype(np.uint64))
-    sample = whole.withColumn("whole", F.xxhash64("terms")).mapInArrow(lean(_only(candidates)), "doc_id long, toxic int, whole long, terms binary, counts binary").toArrow().sort_by("doc_id")
+    sample = whole.withColumn("whole", F.xxhash64("terms")).toArrow().sort_by("doc_id")
     toxic, ids = sample["toxic"].to_numpy().astype(np.int64), sample["doc_id"].to_numpy()
     found = [np.frombuffer(x.as_py(), np.uint64) for x in sample["terms"]]
     counts = [np.frombuffer(x.as_py(), np.uint32) for x in sample["counts"]]
-    vocabulary = _chosen(found, counts, toxic, weight_of, sample["whole"].to_pylist())
+    few = [_among(candidates, h) for h in found]
+    marks = _chosen([h[ok] for h, ok in zip(found, few)], [c[ok] for c, ok in zip(counts, few)], toxic, weight_of, sample["whole"].to_pylist())
+    both = len(toxic) and toxic.min() < toxic.max()
+    every = np.unique(np.concatenate(found)) if both else np.zeros(0, np.uint64)
+    again = marks.least > 1
+    vocabulary = Vocabulary(np.concatenate([every, marks.hashes[again]]), np.concatenate([np.ones(len(every), np.int64), marks.least[again]]))
+    marked = np.concatenate([np.isin(every, marks.hashes[~again]), np.ones(int(again.sum()), bool)])
     size = len(vocabulary.hashes)
     weight = weight_of[toxic]
     if not size:
@@ -307,21 +324,19 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
         yield pa.record_batch([pa.array(at, pa.int32()), pa.array(total[at])], ["term", "n"])
 
     df = np.zeros(size + 1)
-    for t, n in texts.select("text").mapInArrow(lean(frequencies), "term int, n long").groupBy("term").agg(F.sum("n")).collect():  # one row a term
-        df[t] = n
-    model = Model(vocabulary, np.log(1 + df[size] / np.maximum(df[:size], 1)), None, np.zeros(1), np.zeros(1), 0.0)
+    counted = texts.select("text").mapInArrow(lean(frequencies), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
+    df[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    model = Model(vocabulary, np.log(1 + df[size] / np.maximum(df[:size], 1)) * np.where(marked, MARKED, 1.0), None, np.zeros(1), np.zeros(1), 0.0)
     vectors = []
     for h, c in zip(found, counts):
-        ok = np.isin(h, vocabulary.known)
-        _, term, count = vocabulary.find(np.zeros(int(c[ok].sum()), np.int64), np.repeat(h[ok], c[ok]))
-        vectors.append(model.vector(term, count))
+        doc, term, count = vocabulary.find(np.zeros(int(c.sum()), np.int64), np.repeat(h, c))
+        vectors.append((term, model.weights(doc, term, count)))
     model.index = index = Index(vectors, toxic, ids, size)
-    place = np.argsort(index.order)
-    del sample, found, counts
+    del sample, found, counts, few
     trim()
     has = np.array([len(t) > 0 for t, _ in vectors])
-    votes = np.array([index.vote(*index.nearest(t, w, NEIGHBOURS, int(place[i]))) if len(t) else 0.0 for i, (t, w) in enumerate(vectors)])
-    model.without_terms = float((weight * toxic)[~has].sum() / max(weight[~has].sum(), 1e-9)) if (~has).any() else 0.0
+    votes = np.array([index.vote(*index.nearest(t, w, NEIGHBOURS, i)) if len(t) else 0.0 for i, (t, w) in enumerate(vectors)])
+    model.without_terms = float((weight * toxic)[~has].sum() / max(weight[~has].sum(), 1e-9)) if (~has).any() else totals[1] / sum(totals.values())
     if has.any():
         model.votes, model.chances = _isotonic(votes[has], toxic[has], weight[has])
     return model
@@ -330,12 +345,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
 def scored(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[list[int]]]:
     """Scores of texts, and ids of their nearest toxic examples."""
     scores, evidence = np.full(len(texts), model.without_terms), [[] for _ in range(len(texts))]
-    for row, _, doc, term, count in model.vocabulary.documents(texts):
-        edges = np.flatnonzero(np.diff(doc, prepend=-1, append=np.iinfo(np.int64).max))
-        for a, b in zip(edges, edges[1:]):
-            places, cosines = model.index.nearest(*model.vector(term[a:b], count[a:b]), NEIGHBOURS)
-            scores[row + doc[a]] = model.chance(model.index.vote(places, cosines))
-            evidence[row + doc[a]] = model.index.ids[places[model.index.toxic[places] > 0][:EVIDENCE]].tolist()
+    index = model.index
+    if index is None:
+        return scores, evidence
+    for row, n, doc, term, count in model.vocabulary.documents(texts):
+        cosines = index.cosines(doc, term, model.weights(doc, term, count), n)
+        for i in np.unique(doc):
+            places, near = index.best(cosines[i], NEIGHBOURS)
+            scores[row + i] = model.chance(index.vote(places, near))
+            evidence[row + i] = index.ids[places[index.toxic[places] > 0][:EVIDENCE]].tolist()
     return scores, evidence
 
 

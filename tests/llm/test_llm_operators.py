@@ -341,6 +341,31 @@ def test_toxicity_learns_from_labels_only_where_it_may(spark):
     assert {r["doc_id"] for r in toxicity.keep_clean(docs, toxicity.fit(docs, table, learn)).collect()} == {i for i, r in got.items() if r["score"] < 0.3}
 
 
+def test_toxicity_compares_whole_texts(spark):
+    rng = random.Random(20)
+    word = lambda: "".join(rng.choices("abdeno", k=rng.randint(3, 7)))
+    rows = [(i, " ".join(word() for _ in range(30)) + (" vileness" if i % 4 == 0 and i != 8 else "")) for i in range(200)]
+    rows += [(1000, rows[8][1]), (1001, "xyzzy " + rows[8][1]), (1002, "")]  # 8 is toxic and holds no marking term
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    assert all(got[i]["evidence"][0] == 8 for i in (8, 1000, 1001)) and got[1002]["evidence"] == []
+    # The cosines are those of all terms, with document frequencies over all documents.
+    found = {i: Counter(x for w in t.lower().split() for x in (w, *(f"{w[:p]}|" for p in toxicity.PREFIXES if len(w) > p))) for i, t in rows}
+    df = Counter(x for c in found.values() for x in c)
+    marks = int((model.idf > np.log(1 + len(rows)) + 1).sum())
+    assert marks and len(model.vocabulary.hashes) >= len({x for i in range(200) for x in found[i]})
+    plain = {i: {x: (1 + np.log(n)) * np.log(1 + len(rows) / df[x]) for x, n in c.items()} for i, c in found.items()}
+    norm = {i: np.sqrt(sum(w * w for w in v.values())) for i, v in plain.items()}
+    for i in (1, 1000):  # neither holds a marking term, nor do the clean examples
+        _, _, doc, term, count = next(model.vocabulary.documents(pa.array([dict(rows)[i]])))
+        near = model.index.cosines(doc, term, model.weights(doc, term, count), 1)[0]
+        clean = [k for k in range(200) if k % 4]
+        want = [sum(w * plain[k].get(x, 0) for x, w in plain[i].items()) / norm[i] / norm[k] for k in clean]
+        assert np.allclose(near[np.searchsorted(model.index.ids, clean)], want)
+
+
 def test_toxicity_without_labels(spark):
     docs = docs_of(spark, ODD_TEXTS)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
