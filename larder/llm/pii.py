@@ -135,11 +135,11 @@ _LABEL = r"[A-Za-z0-9-]{1,63}"
 _LAST = "(?:com|org|net|edu|gov|mil|int|info|biz|name|io|co|me|tv|app|dev|ai|eu|uk|us|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|cz|ie|ru|ua|cn|jp|kr|in|br|mx|ar|ca|au|nz|za)"
 _SAID = re.compile(rf"(?<=[A-Za-z0-9_])[ \t]{{1,3}}at[ \t]{{1,3}}(?={_LABEL}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}{_LABEL})*[ \t]{{1,3}}dot[ \t]{{1,3}}{_LAST}(?![A-Za-z0-9-]))|(?<=[A-Za-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[A-Za-z0-9])", re.I)
 _SPACED = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}[ \t]{{1,3}}@[ \t]{{1,3}}{_LABEL}(?:[ \t]{{0,3}}\.[ \t]{{0,3}}{_LABEL}){{0,4}}[ \t]{{0,3}}\.[ \t]{{0,3}}{_LAST}(?![A-Za-z0-9-])", re.I)
-#: What a text must hold for any transducer to change it into something that a pattern finds.
+#: What a text must hold for any transducer to change it; every alternative of theirs has one here that is as wide or wider.
 TRIGGER = (
     "["
     + "".join(f"\\x{{{c:x}}}" for c in sorted(_MAP))
-    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|[ \t]@[ \t]|[ \t]at[ \t]{{1,3}}[a-z0-9-]+[ \t]{{1,3}}dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}})"
+    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|&#46;|[ \t]@[ \t]|[ \t]dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}})"
 )
 
 

@@ -549,6 +549,13 @@ def test_disguises_map_back_to_the_source(text, kind, shown):
     assert [(k, text[s:e]) for k, s, e in spans] == [(kind, shown)]
 
 
+def test_disguises_are_found_whatever_else_the_text_holds(spark):
+    cases = [*test_disguises_map_back_to_the_source.pytestmark[0].args[1], ("jane@example dot com", "email", "jane@example dot com"), ("jane@example&#46;com", "email", "jane@example&#46;com"), ("jane@mail DOT example\tdot\tcom", "email", "jane@mail DOT example\tdot\tcom"), ("jo%40mail.com", "email", "jo%40mail.com")]
+    for end in ("", " \u2013"):  # an en dash calls for the transducers by itself
+        got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame([(i, t + end) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+        assert got == {i: f"{kind}:{t.index(shown)}:{t.index(shown) + len(shown)}" for i, (t, kind, shown) in enumerate(cases)}
+
+
 def test_pii_rows(spark):
     texts = ["x a@b.co y 4041894974608795 z +1 (274) 555-9629, 1.2.3.4", "plain words at the dot of noon", *ODD_TEXTS]
     got = {r["doc_id"]: r for r in pii.find(docs_of(spark, texts)).collect()}
