@@ -1,6 +1,6 @@
 """Lines that repeat up to a few edits: a segment-partition edit join, and removal of what repeats.
 
-Lines of at least `shortest` code points take part. Of two lines within `edits` (insertions, deletions and
+Lines of at least `shortest` code points take part in the edit join. Of two lines within `edits` (insertions, deletions and
 substitutions of code points) at least one of edits + 1 even segments of the shorter line occurs unchanged
 in the longer one, near its place. Every line indexes its segments under (number, length of line, hash) and
 probes, for each length that is shorter by up to `edits`, the substrings that the multi-match-aware rule
@@ -18,8 +18,11 @@ a class, by doc_id and number, stays.
 Line texts are fetched only for candidates. Lines are told apart by 64-bit hashes (some 2 * 10^-8 collisions
 among a million lines, 2 among ten billion).
 
-Defined results. A null text has no lines; only "\\n" ends a line. Shorter lines, empty ones too, stay as they
-are. Rows with a null doc_id order last. Rows with equal doc_id and text are one document. Other columns are
+With `every`, `marked` gives a row for every line: shorter ones have classes of equal lines, by their hashes alone,
+and a blank line is a class of its own.
+
+Defined results. A null text has no lines; only "\\n" ends a line. Lines of code points 0x20 and 0x09-0x0D only are
+blank if they are shorter than `shortest`. `without_repeats` leaves shorter lines, empty ones too, as they are. Rows with a null doc_id order last. Rows with equal doc_id and text are one document. Other columns are
 ignored by `marked` and kept by `without_repeats`, which drops documents that lose all their text.
 """
 
@@ -78,6 +81,11 @@ class Lines:
     def hashes(self, start: np.ndarray, length: np.ndarray, salt: np.ndarray) -> np.ndarray:
         return mixed((self.sums[start + length] - self.sums[start]) * self.back[start] + salt.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
+    def shown(self) -> np.ndarray:
+        """How many code points of each line aren't blank."""
+        total = np.concatenate([[0], np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)))])
+        return total[self.starts + self.length] - total[self.starts]
+
     def keys(self) -> np.ndarray:
         return self.hashes(self.starts, self.length, self.length + (1 << 32))
 
@@ -106,6 +114,7 @@ class Plan:
     edits: int
     shortest: int
     shards: int
+    every: bool = False
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
@@ -127,9 +136,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
 def _listed(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, hashes, texts in _chunks(batches):
-            x = Lines(texts, plan.shortest)
+            x = Lines(texts, 0 if plan.every else plan.shortest)
             of = [pa.array(c, pa.int64()).take(pa.array(x.doc)) for c in (ids, hashes)]
-            yield pa.record_batch([*of, pa.array(x.number, pa.int32()), pa.array(x.keys().astype(np.int64))], ["doc_id", "doc_hash", "line", "key"])
+            given = np.array([t is not None for t in texts])[x.doc]
+            blank = (x.length < plan.shortest) & (x.shown() == 0)
+            rows = pa.record_batch([*of, pa.array(x.number, pa.int32()), pa.array(x.keys().astype(np.int64), mask=blank)], ["doc_id", "doc_hash", "line", "key"])
+            yield rows.filter(pa.array(given))
 
     return run
 
@@ -262,12 +274,12 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("doc_hash"), F.col("text").cast("string").alias("text"))
 
 
-def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """doc_id, doc_hash (of the text), line, class_doc_id, class_line, kept: the class of every line that takes part, by its earliest line."""
+def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, every: bool = False) -> DataFrame:
+    """doc_id, doc_hash (of the text), line, class_doc_id, class_line, kept: the class of every line that takes part, or of every line, by its earliest line."""
     docs = _named(docs)
     size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     # 100 code points a line is few, so that shards are rather small.
-    plan = Plan(edits, shortest, max(LEAST_SHARDS, int(size / 100 * 4 * (edits + 1)) // SHARD_ROWS))
+    plan = Plan(edits, shortest, max(LEAST_SHARDS, int(size / 100 * 4 * (edits + 1)) // SHARD_ROWS), every)
     lines = settled(docs.mapInArrow(lean(_listed(plan)), "doc_id long, doc_hash long, line int, key long"), "lines")
     shared = docs.mapInArrow(lean(_signed(plan)), "shard int, body binary").groupBy("shard").applyInArrow(lean_group(_shared), "a long, b long, code long, key long, members long")
     shared = settled(shared, "shared")
@@ -284,11 +296,14 @@ def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> Dat
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     second = dealt.join(texts, "key").groupBy("code", "low", "high").applyInArrow(lean_group(_met(edits)), _PAIR)
     roots = components(first.unionByName(second))
-    classed = lines.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root", "key")
+    classed = lines.filter("key IS NOT NULL").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root", "key")
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc_hash"), F.col("line"))
     earliest = classed.groupBy("class").agg(F.min(order).alias("at")).select("class", F.col("at.doc_id").alias("class_doc_id"), F.col("at.doc_hash").alias("class_hash"), F.col("at.line").alias("class_line"))
     kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("doc_hash") == F.col("class_hash")) & (F.col("line") == F.col("class_line"))
-    return classed.join(earliest, "class").select("doc_id", "doc_hash", "line", "class_doc_id", "class_line", kept.alias("kept"))
+    found = classed.join(earliest, "class").select("doc_id", "doc_hash", "line", "class_doc_id", "class_line", kept.alias("kept"))
+    if not every:
+        return found
+    return found.unionByName(lines.filter("key IS NULL").select("doc_id", "doc_hash", "line", F.col("doc_id").alias("class_doc_id"), F.col("line").alias("class_line"), F.lit(True).alias("kept")))
 
 
 def _fetched(docs: DataFrame, places: DataFrame) -> DataFrame:

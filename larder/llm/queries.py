@@ -48,7 +48,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every line of the documents, by its earliest line."""
-    return lines.marked(_read(spark, sf_dir, "documents")).drop("doc_hash")
+    return lines.marked(_read(spark, sf_dir, "documents"), every=True).drop("doc_hash")
 
 
 #: Whether a document's label is kept back.

@@ -294,6 +294,23 @@ def test_lines_of_odd_rows(spark):
     assert lines.marked(docs_of(spark, ODD_TEXTS)).count() >= 2 and lines.marked(df.limit(0)).count() == 0
 
 
+def test_every_line_has_a_row(spark):
+    long = "a line that is long enough to count"
+    texts = [f"All rights reserved.\n{long}\n\nx", f"x\nAll rights reserved.\n \t\n{long}!", "All rights reserved!\n", None, "", "y" * 24 + "\n" + " " * 24, "é\ud83d\ude00\né".encode("utf-16", "surrogatepass").decode("utf-16")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["line"]): (r["class_doc_id"], r["class_line"], r["kept"]) for r in lines.marked(docs, every=True).collect()}
+    first = {}
+    want = {(d, i): first.setdefault(x, (d, i)) if x.strip() else (d, i) for d, t in enumerate(texts) if t is not None for i, x in enumerate(t.split("\n"))}
+    want[1, 3] = want[0, 1]  # one edit
+    assert got == {k: (*c, c == k) for k, c in want.items()}
+
+
+def test_line_dedup_covers_the_table(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    assert queries.op5_line_dedup(spark, sf).count() == sum(len(t.split("\n")) for t in texts if t is not None)
+
+
 # --- op6
 
 
