@@ -99,7 +99,8 @@ _DASHES, _GAPS, _NOTHING = "\u2010\u2011\u2012\u2013\u2014\u2212\ufe63", "\u00a0
 def _look_alikes() -> dict[int, str]:
     """Characters to what they look like: compatibility forms of ASCII, digits of any script, and the tables above."""
     out = {}
-    for c in map(chr, [*range(0x660, 0x670), *range(0x6F0, 0x6FA), *range(0x966, 0x970), *range(0x2070, 0x20A0), *range(0xFE50, 0xFE70), *range(0xFF01, 0xFF5F), *range(0x1D400, 0x1D800)]):
+    digits = [c for c in range(0x80, 0x110000) if unicodedata.decimal(chr(c), None) is not None]
+    for c in map(chr, [*digits, 0xB2, 0xB3, 0xB9, *range(0x2070, 0x20A0), *range(0xFE50, 0xFE70), *range(0xFF01, 0xFF5F), *range(0x1D400, 0x1D800)]):
         plain = unicodedata.normalize("NFKC", c)
         digit = unicodedata.decimal(c, None)
         if digit is not None:
@@ -124,9 +125,12 @@ _NAMES = {
 }
 _DIGIT = {w: str(i) for names in _NAMES.values() for i, w in enumerate(names.split())} | {"oh": "0"}
 _ONE = "(?:" + "|".join(sorted(_DIGIT, key=len, reverse=True)) + ")"
-#: At least this many spelled digits in a row are read as a number.
+#: At least this many spelled digits in a row are read as a number; fewer where they touch figures or a plus sign.
 SPELLED = 4
 _SPELLED = re.compile(rf"(?<!\w)(?:plus[ \t]+)?{_ONE}(?:[ \t,.-]{{1,2}}{_ONE}){{{SPELLED - 1},}}(?!\w)", re.I)
+_BESIDE = r"[ \t,.()-]"
+_ROW = rf"{_ONE}(?:[ \t,.-]{{1,2}}{_ONE})*(?!\w)"
+_MIXED = re.compile(rf"(?:(?<=[0-9]{_BESIDE})|(?<=[0-9]{_BESIDE}{{2}})|(?<=\+)|(?<!\w)plus[ \t]+){_ROW}|(?<!\w){_ROW}(?={_BESIDE}{{1,2}}[0-9])|(?<!\w)plus[ \t]+(?=[0-9])", re.I)
 _TOKEN = re.compile(rf"(?<!\w)(?:plus|{_ONE})(?!\w)", re.I)
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _BRACKETED = re.compile(rf"[ \t]{{0,3}}{_OPEN}[ \t]{{0,3}}(?:(at|@)|(dot|punkt|point|punto|\.))[ \t]{{0,3}}{_SHUT}[ \t]{{0,3}}|&#64;|&commat;|%40|&#46;", re.I)
@@ -139,7 +143,7 @@ _SPACED = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}[ \t]{{1,3}}@[ \t]{{1,3}}{_LABEL
 TRIGGER = (
     "["
     + "".join(f"\\x{{{c:x}}}" for c in sorted(_MAP))
-    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|&#46;|[ \t]@[ \t]|[ \t]dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}})"
+    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|&#46;|[ \t]@[ \t]|[ \t]dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}}|(?:[0-9]{_BESIDE}{{1,2}}|\+|plus[ \t]+){_ONE}\b|{_ONE}{_BESIDE}{{1,2}}[0-9]|plus[ \t]+[0-9])"
 )
 
 
@@ -216,7 +220,9 @@ def _said_addresses(x: Mapped) -> Mapped:
 def all_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """The base spans and those that only the rewritten text shows."""
     x = normalised(text)
-    if x.text == text:
+    # Short runs only make numbers that nothing else shows: words after a number don't lengthen it.
+    mixed = x.rewritten(_MIXED, _spelled)
+    if mixed.text == text:
         return base
     taken = {k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}
     added = []
@@ -225,6 +231,11 @@ def all_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, in
         if not any(s2 < b and a < e2 and not (a <= s2 and e2 <= b and (a, b) != (s2, e2)) for s2, e2 in taken[kind]):
             added.append((kind, a, b))
             taken[kind].append((a, b))
+    for kind, s, e in base_spans(mixed.text) if mixed is not x else ():
+        a, b = mixed.source(s, e)
+        if not any(s2 < b and a < e2 for s2, e2 in taken[kind]):
+            added.append((kind, a, b))
+            taken[kind].append((a, b))
     return sorted(base + added, key=lambda y: (y[1], KINDS.index(y[0]), y[2]))
 
 

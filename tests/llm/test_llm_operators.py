@@ -573,6 +573,20 @@ def test_disguises_are_found_whatever_else_the_text_holds(spark):
         assert got == {i: f"{kind}:{t.index(shown)}:{t.index(shown) + len(shown)}" for i, (t, kind, shown) in enumerate(cases)}
 
 
+def test_numbers_of_figures_and_words(spark):
+    bengali, thai = "".join(chr(0x9E6 + int(c)) for c in "4041894974608795"), "".join(chr(0xE50 + int(c)) for c in "10")
+    cases = [
+        ("call +1 274 five five five 9629 now", "phone", "+1 274 five five five 9629"),
+        ("call plus 1 (two seven four) 555 9629 now", "phone", "plus 1 (two seven four) 555 9629"),
+        ("call +one 274 555 96 two nine.", "phone", "+one 274 555 96 two nine"),
+        ("card " + bengali, "card", bengali),
+        (thai + ".0.0.1", "ip", thai + ".0.0.1"),
+        ("call +1 274 555 9629 one time", "phone", "+1 274 555 9629"),
+    ]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)] + [(99, "one of 5 two 2 plus 3 under one")], "doc_id long, text string")).collect()}
+    assert got == {i: f"{kind}:{t.index(shown)}:{t.index(shown) + len(shown)}" for i, (t, kind, shown) in enumerate(cases)} | {99: ""}
+
+
 def test_pii_rows(spark):
     texts = ["x a@b.co y 4041894974608795 z +1 (274) 555-9629, 1.2.3.4", "plain words at the dot of noon", *ODD_TEXTS]
     got = {r["doc_id"]: r for r in pii.find(docs_of(spark, texts)).collect()}
