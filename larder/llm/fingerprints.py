@@ -7,7 +7,8 @@ fingerprints in any order; a paragraph is inserted or deleted by adding or subtr
 The vector has two parts. Eight lanes modulo 2^32 hold a hash of the whole paragraph: they tell equality.
 Further words modulo 2^48, three lanes of 16 bits each, count for 72 random bits how many of the paragraph's
 phrases (up to three words, within a sentence) have the bit set; the count of phrases is a lane as well.
-Two texts' likeness is the cosine of these centred counts, the share of phrases that they have in common.
+Two texts' likeness is the cosine of these centred counts, the share of phrases that they have in common. Lanes of
+16 bits tell a centred count (twice the lane less the phrases, about the root of their number) up to 65535.
 
 Everything is DataFrame expressions: phrases are exploded and summed by a hash aggregation that combines
 before it shuffles, so one row of 30 numbers a text moves.
@@ -51,27 +52,21 @@ def phrases(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0))
 
 
-def _counted(phrase: Column, when: Column) -> list[Column]:
+def _counted(phrase: Column) -> list[Column]:
     """Sums over phrases: how many there are, then the words of three lanes."""
     hashes = {seed: F.xxhash64(phrase, F.lit(seed)) for seed in {s for s, _ in SHIFTS}}
     lanes = [F.shiftright(hashes[s], i).bitwiseAND(F.lit(_LANES)) for s, i in SHIFTS]
-    on = when & phrase.isNotNull()
-    return [F.sum(F.when(on, x).otherwise(F.lit(0).cast("long"))) for x in [F.lit(1).cast("long"), *lanes]]
+    return [F.sum(F.when(phrase.isNotNull(), x).otherwise(F.lit(0).cast("long"))) for x in [F.lit(1).cast("long"), *lanes]]
 
 
-def vectors(rows: DataFrame, keys: list[str], texts: list[str]) -> DataFrame:
-    """keys and, for each text column, its vector (array of long) under the text's name; keys tell rows apart."""
-    def found(k: int, t: str) -> Column:
-        return F.transform(phrases(F.col(t)), lambda p: F.struct(F.lit(k).alias("k"), p.alias("p")))
-
+def vectors(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """keys and the vector of the text (array of long), as `vector`; keys tell rows apart."""
     # In a step of its own: beside the generator it would be worked out for every phrase.
-    known = rows.select(*keys, *(equality(F.col(t)).alias(f"_{t}") for t in texts), F.concat(*(found(k, t) for k, t in enumerate(texts))).alias("_all"))
-    exploded = known.select(*keys, *(f"_{t}" for t in texts), F.explode_outer("_all").alias("_x")).select(*keys, *(f"_{t}" for t in texts), F.col("_x.k").alias("_k"), F.col("_x.p").alias("_p"))
-    names = [(t, i) for t in texts for i in range(len(SHIFTS) + 1)]
-    sums = [s.alias(f"{t}_{i}") for k, t in enumerate(texts) for i, s in enumerate(_counted(F.col("_p"), F.col("_k") == k))]
-    summed = exploded.groupBy(*keys, *(f"_{t}" for t in texts)).agg(*sums)
-    whole = lambda t: F.concat(F.col(f"_{t}"), F.array(*(F.pmod(F.col(f"{t}_{i}"), F.lit(_WORD)) for n, i in names if n == t)))
-    return summed.select(*keys, *(whole(t).alias(t) for t in texts))
+    known = rows.select(*keys, equality(F.col(text)).alias("_equal"), phrases(F.col(text)).alias("_all"))
+    exploded = known.select(*keys, "_equal", F.explode_outer("_all").alias("_p"))
+    sums = [s.alias(f"_{i}") for i, s in enumerate(_counted(F.col("_p")))]
+    summed = exploded.groupBy(*keys, "_equal").agg(*sums)
+    return summed.select(*keys, F.concat("_equal", F.array(*(F.pmod(F.col(f"_{i}"), F.lit(_WORD)) for i in range(len(sums))))).alias("vector"))
 
 
 _MODULI = [_LOW] * 8 + [_WORD] * (1 + len(SHIFTS))
@@ -109,10 +104,10 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """bucket, place, doc_id, text, next_text: the next document by descending doc_id, the first after the last.
+    """bucket, place, doc_id, text, ahead, next_text: the next document by descending doc_id, the first after the last.
 
     Ids are dealt to buckets of neighbours between their quantiles; each bucket also gets the first document
-    of the next one, so texts are shuffled once.
+    of the next one, in a last row that is `ahead`, so texts are shuffled once.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     spark = docs.sparkSession
@@ -127,14 +122,27 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = dealt.join(F.broadcast(wanted), (dealt["bucket"] == wanted["bucket"]) & dealt["doc_id"].eqNullSafe(wanted["top"])).groupBy(F.col("owner").alias("bucket"), "doc_id").agg(F.min("text").alias("text"))
     rows = dealt.withColumn("ahead", F.lit(False)).unionByName(heads.withColumn("ahead", F.lit(True)))
     order = Window.partitionBy("bucket").orderBy("ahead", F.desc_nulls_last("doc_id"), "text")
-    return rows.select("bucket", F.row_number().over(order).alias("place"), "doc_id", "text", "ahead", F.lead("text").over(order).alias("next_text")).filter("NOT ahead").drop("ahead")
+    return rows.select("bucket", F.row_number().over(order).alias("place"), "doc_id", "text", "ahead", F.lead("text").over(order).alias("next_text"))
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
-    """Each document's fingerprint and that of its edited text, whose last third is the next document's beginning."""
+    """Each document's fingerprint and that of its edited text, whose last third is the next document's beginning.
+
+    The edited text's vector is the text's without the paragraphs from the cut on and with those that stand there instead.
+    """
     rows = with_next(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - third), F.substring("next_text", F.lit(1), third)))
-    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    found = vectors(rows, ["bucket", "place", "doc_id", "n_chars", "edited_sha256"], ["text", "edited", "next_text"])
-    return found.select("doc_id", "n_chars", "edited_sha256", written(F.col("text")).alias("fingerprint"), written(F.col("edited")).alias("edited_fingerprint"), likeness(F.col("text"), F.col("edited")).alias("near_edited"), likeness(F.col("text"), F.col("next_text")).alias("near_next"))
+    left, new = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - third), F.substring("next_text", F.lit(1), third)
+    rows = rows.withColumn("left", left).withColumn("new", new)
+    begun = F.substring_index("left", "\n", -1)
+    gone = F.concat(begun, F.substring("text", F.col("n_chars").cast("int") - third + 1, third))
+    parts = F.array(F.struct(F.lit(0).alias("k"), F.col("text").alias("t")), F.struct(F.lit(1).alias("k"), gone.alias("t")), F.struct(F.lit(2).alias("k"), F.concat(begun, "new").alias("t")))
+    rows = rows.withColumn("edited_sha256", F.sha2(F.concat("left", "new").cast("binary"), 256)).withColumn("parts", F.when(F.col("ahead"), F.slice(parts, 1, 1)).otherwise(parts))
+    keys = ["bucket", "place", "ahead", "doc_id", "n_chars", "edited_sha256"]
+    found = vectors(rows.select(*keys, F.explode("parts").alias("part")).select(*keys, "part.k", "part.t"), [*keys, "k"], "t")
+    found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("k", "vector"))).alias("v"))
+    vector = lambda k: F.get("v", F.lit(k))["vector"]
+    following = F.lead(vector(0)).over(Window.partitionBy("bucket").orderBy("place"))
+    found = found.select(*keys, vector(0).alias("text"), vector(1).alias("gone"), vector(2).alias("come"), following.alias("following")).filter("NOT ahead")
+    found = found.withColumn("edited", inserted(deleted(F.col("text"), F.col("gone")), F.col("come")))
+    return found.select("doc_id", "n_chars", "edited_sha256", written(F.col("text")).alias("fingerprint"), written(F.col("edited")).alias("edited_fingerprint"), likeness(F.col("text"), F.col("edited")).alias("near_edited"), likeness(F.col("text"), F.col("following")).alias("near_next"))

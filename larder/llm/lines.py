@@ -23,7 +23,7 @@ and a blank line is a class of its own.
 
 Defined results. A null text has no lines; only "\\n" ends a line. Lines of code points 0x20 and 0x09-0x0D only are
 blank if they are shorter than `shortest`. `without_repeats` leaves shorter lines, empty ones too, as they are. Rows with a null doc_id order last. Rows with equal doc_id and text are one document. Other columns are
-ignored by `marked` and kept by `without_repeats`, which drops documents that lose all their text.
+ignored by `marked` and kept by `without_repeats`, whatever their names, which drops documents that lose all their text.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import settled
+from larder.llm.common import every as every_column, grown, joined_by_key, settled, unused
 from larder.llm.components import components
 from larder.llm.memory import lean, lean_group
 from larder.llm.words import mixed
@@ -45,9 +45,11 @@ from larder.llm.words import mixed
 EDITS, SHORTEST = 2, 24
 #: Lines that share a hash are paired directly up to so many; more are compared in blocks of so many.
 SMALL, BLOCK = 16, 1024
-#: Code points that a task hashes at once.
-CHUNK = 2 << 20
-SHARD_ROWS, LEAST_SHARDS = 1 << 21, 48
+#: Code points that a task hashes at once, and (hash, line) pairs of a shard. Every chunk sends each shard a message, so
+#: beyond SINCE code points both grow with the root of the input, and the messages in proportion to it.
+CHUNK, MOST_CHUNK = 2 << 20, 40 << 20
+SHARD_ROWS, MOST_SHARD_ROWS, LEAST_SHARDS = 1 << 21, 40 << 20, 48
+SINCE = 256 << 30
 LANES = 64
 #: Up to so many lines are fetched through a broadcast of their places (24 bytes each); beyond, by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -115,10 +117,18 @@ class Plan:
     shortest: int
     shards: int
     every: bool = False
+    chunk: int = CHUNK
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
-    """(ids, hashes, texts) of about CHUNK code points."""
+def planned(size: int, edits: int = EDITS, shortest: int = SHORTEST, every: bool = False) -> Plan:
+    """The plan for so many code points."""
+    # 100 code points a line is few, so that shards are rather small.
+    shards = max(LEAST_SHARDS, int(size / 100 * 4 * (edits + 1)) // grown(size, SINCE, SHARD_ROWS, MOST_SHARD_ROWS))
+    return Plan(edits, shortest, shards, every, grown(size, SINCE, CHUNK, MOST_CHUNK))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[list, list, list]]:
+    """(ids, hashes, texts) of about `chunk` code points."""
     ids, hashes, texts, size = [], [], [], 0
     for batch in batches:
         for i, h, t in zip(batch.column("doc_id").to_pylist(), batch.column("doc_hash").to_pylist(), batch.column("text")):
@@ -126,7 +136,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
             hashes.append(h)
             texts.append(t.as_py())
             size += len(texts[-1] or "")
-            if size >= CHUNK:
+            if size >= chunk:
                 yield ids, hashes, texts
                 ids, hashes, texts, size = [], [], [], 0
     if ids:
@@ -135,7 +145,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
 
 def _listed(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, hashes, texts in _chunks(batches):
+        for ids, hashes, texts in _chunks(batches, plan.chunk):
             x = Lines(texts, 0 if plan.every else plan.shortest)
             of = [pa.array(c, pa.int64()).take(pa.array(x.doc)) for c in (ids, hashes)]
             given = np.array([t is not None for t in texts])[x.doc]
@@ -150,7 +160,7 @@ def _signed(plan: Plan):
     """Sorted (hash, key) pairs for each shard; the hash's lowest bit says that it's a segment of the line itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, texts in _chunks(batches):
+        for _, _, texts in _chunks(batches, plan.chunk):
             x = Lines(texts, plan.shortest)
             keys = x.keys()
             at = np.unique(keys, return_index=True)[1]
@@ -277,16 +287,17 @@ def _named(docs: DataFrame) -> DataFrame:
 def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, every: bool = False) -> DataFrame:
     """doc_id, doc_hash (of the text), line, class_doc_id, class_line, kept: the class of every line that takes part, or of every line, by its earliest line."""
     docs = _named(docs)
-    size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
-    # 100 code points a line is few, so that shards are rather small.
-    plan = Plan(edits, shortest, max(LEAST_SHARDS, int(size / 100 * 4 * (edits + 1)) // SHARD_ROWS), every)
+    plan = planned(docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0], edits, shortest, every)
     lines = settled(docs.mapInArrow(lean(_listed(plan)), "doc_id long, doc_hash long, line int, key long"), "lines")
     shared = docs.mapInArrow(lean(_signed(plan)), "shard int, body binary").groupBy("shard").applyInArrow(lean_group(_shared), "a long, b long, code long, key long, members long")
     shared = settled(shared, "shared")
     pairs = shared.filter("a IS NOT NULL").select("a", "b").distinct()
     crowds = shared.filter("code IS NOT NULL").select("code", "key", "members")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(crowds.select("key")).distinct()
-    places = settled(lines.join(wanted, "key").groupBy("key").agg(F.min(F.struct("doc_id", "doc_hash", "line")).alias("at")).select("key", "at.*"), "places")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc_hash"), F.col("line"))
+    # One row for each different line: its earliest place and how often it occurs.
+    firsts = settled(lines.filter("key IS NOT NULL").groupBy("key").agg(F.min(order).alias("at"), F.count("*").alias("members")), "firsts")
+    places = settled(firsts.join(wanted, "key", "left_semi").select("key", "at.doc_id", "at.doc_hash", "at.line"), "places")
     few = places.count() <= BROADCAST_ROWS
     texts = settled(_fetched(docs, F.broadcast(places) if few else places), "texts")
     text = lambda s: texts.select(F.col("key").alias(s), F.col("text").alias(f"text_{s}"))
@@ -296,14 +307,14 @@ def marked(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, every:
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     second = dealt.join(texts, "key").groupBy("code", "low", "high").applyInArrow(lean_group(_met(edits)), _PAIR)
     roots = components(first.unionByName(second))
-    classed = lines.filter("key IS NOT NULL").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root", "key")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc_hash"), F.col("line"))
-    earliest = classed.groupBy("class").agg(F.min(order).alias("at")).select("class", F.col("at.doc_id").alias("class_doc_id"), F.col("at.doc_hash").alias("class_hash"), F.col("at.line").alias("class_line"))
-    kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("doc_hash") == F.col("class_hash")) & (F.col("line") == F.col("class_line"))
-    found = classed.join(earliest, "class").select("doc_id", "doc_hash", "line", "class_doc_id", "class_line", kept.alias("kept"))
-    if not every:
-        return found
-    return found.unionByName(lines.filter("key IS NULL").select("doc_id", "doc_hash", "line", F.col("doc_id").alias("class_doc_id"), F.col("line").alias("class_line"), F.lit(True).alias("kept")))
+    # Only lines with company need their class's earliest line; the others are their own.
+    classed = firsts.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("class", F.coalesce("root", "key"))
+    earliest = classed.groupBy("class").agg(F.min("at").alias("first"), F.sum("members").alias("lines")).filter("lines > 1")
+    known = settled(classed.join(earliest, "class").select("key", "members", F.col("first.doc_id").alias("class_doc_id"), F.col("first.doc_hash").alias("class_hash"), F.col("first.line").alias("class_line")), "classes")
+    found = joined_by_key(lines, known, ["key"], "members", lines.count())
+    alone = F.col("class_line").isNull()
+    same = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("doc_hash") == F.col("class_hash")) & (F.col("line") == F.col("class_line"))
+    return found.select("doc_id", "doc_hash", "line", F.when(alone, F.col("doc_id")).otherwise(F.col("class_doc_id")).alias("class_doc_id"), F.coalesce("class_line", "line").alias("class_line"), (alone | same).alias("kept"))
 
 
 def _fetched(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -315,8 +326,9 @@ def _fetched(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """docs with the lines that repeat an earlier one removed; documents that lose all their text are dropped."""
-    gone = marked(docs, edits, shortest).filter("NOT kept").groupBy(F.col("doc_id").alias("_of"), F.col("doc_hash").alias("_hash")).agg(F.collect_set("line").alias("_gone"))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_of"]) & (F.xxhash64(docs["text"].cast("string")) == gone["_hash"]), "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i.cast("int"))), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    return joined.withColumn("text", text).filter(F.col("_gone").isNull() | F.col("text").rlike(r"\S")).select(*docs.columns)
+    of, doc_hash, lines = unused(docs.columns, "of", "hash", "gone")
+    gone = marked(docs, edits, shortest).filter("NOT kept").groupBy(F.col("doc_id").alias(of), F.col("doc_hash").alias(doc_hash)).agg(F.collect_set("line").alias(lines))
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[of]) & (F.xxhash64(docs["text"].cast("string")) == gone[doc_hash]), "left")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col(lines), i.cast("int"))), "\n")
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(left)
+    return joined.withColumn("text", text).filter(F.col(lines).isNull() | F.col("text").rlike(r"\S")).select(*every_column(docs))

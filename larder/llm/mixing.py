@@ -11,17 +11,19 @@ that the sweeps move nothing, and are broadcast to the documents; otherwise the
 
 Defined results. Null source, language or topic are values of their own. A null text has no tokens; such a
 document has its cell's factor. A cell without tokens has factor 1. Repeated rows get the same draw. No
-documents give no rows. Other columns pass through `mix` unchanged; column names that it adds start with mix_.
+documents give no rows. Other columns pass through `mix` unchanged; the columns that it adds start with mix_ and
+take the place of columns of the same name (whatever the case of its letters).
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import settled, whole_text
+from larder.llm.common import every, settled, whole_text
 
 MARGINS = ("mix_source", "mix_lang", "mix_topic")
 SWEEPS = 12
@@ -36,10 +38,10 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def topic(text: Column) -> Column:
-    """A coarse topic by the text's form."""
+    """A coarse topic by the whole text's form: its share of capitals, length and lines."""
     n, lines = F.char_length(text), F.char_length(text) - F.char_length(F.replace(text, F.lit("\n")))
-    shouted = F.char_length(F.regexp_replace(F.substring(text, 1, 200), "[^A-Z]", "")) > 60
-    return F.when(shouted, "loud").when(n < 500, "note").when(n >= 10000, "book").when(lines * 200 >= n, "list").otherwise("prose")
+    capitals = F.char_length(text) - F.char_length(F.translate(text, string.ascii_uppercase, ""))
+    return F.when((n > 0) & (capitals * 10 >= n * 3), "loud").when(n < 500, "note").when(n >= 10000, "book").when(lines * 200 >= n, "list").otherwise("prose")
 
 
 def tokens(text: Column) -> Column:
@@ -129,9 +131,11 @@ def _again(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
 
 def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, keep: float = KEEP, sweeps: int = SWEEPS, targets: Callable | None = None, seed: int = 7) -> DataFrame:
     """docs with mix_source, mix_lang, mix_topic, mix_tokens, mix_factor, mix_probability, mix_kept and mix_weight."""
+    added = [*MARGINS, "mix_tokens", "mix_factor", "mix_probability", "mix_kept", "mix_weight"]
+    docs = docs.select(*(x for c, x in zip(docs.columns, every(docs)) if c.lower() not in added))
     known = described(docs)
     cells, n = cells_of(known, temper, keep, sweeps, targets)
     fitted = cells.select(*MARGINS, F.col("factor").alias("mix_factor"), F.col("probability").alias("mix_probability"))
     joined = known.join(F.broadcast(fitted) if n <= SMALL_CELLS else fitted, list(MARGINS), "left")
     draw = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(whole_text().cast("binary"), 256)).cast("binary"), 256), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
-    return joined.withColumn("mix_kept", draw < F.col("mix_probability")).withColumn("mix_weight", F.col("mix_factor") / F.col("mix_probability")).select(*docs.columns, *MARGINS, "mix_tokens", "mix_factor", "mix_probability", "mix_kept", "mix_weight")
+    return joined.withColumn("mix_kept", draw < F.col("mix_probability")).withColumn("mix_weight", F.col("mix_factor") / F.col("mix_probability")).select(*every(docs), *added)

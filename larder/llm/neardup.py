@@ -17,9 +17,12 @@ meets in no bucket with a probability of about (1 - least^2)^SKETCHES, 5 in a mi
 
 Texts are shuffled only for documents in pairs that remain.
 
+Nodes are the different texts (128-bit keys of their words), each by the place of one of its rows in the table
+of sketches; doc_id only names results.
+
 Defined results. Documents without words (null or empty too) have a class of their own. class_id is the least
-doc_id of the class; rows that share a doc_id share a class. Null ids: such a row has the class of its copies,
-null if they have no id, and isn't compared further. Other columns are ignored; no documents give no rows.
+doc_id of the class, null where none of its rows has one. Rows that share a doc_id are told apart by their texts.
+Other columns are ignored; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import settled
+from larder.llm.common import every, joined_by_key, settled, unused
 from larder.llm.components import components
 from larder.llm.memory import lean, lean_group
 from larder.llm.words import Words, mixed, slices
@@ -41,10 +44,10 @@ SKETCHES, PICKED = 12, 2
 LANES = 256
 #: Buckets up to so many members are joined with themselves; larger ones are compared in blocks of so many.
 SMALL, BLOCK = 8, 1024
-#: Up to so many ids of documents in pairs are broadcast (8 bytes each); beyond, the texts are shuffled.
-BROADCAST_IDS = 2_000_000
+#: Up to so many names of documents are broadcast (24 bytes each); beyond, the texts are shuffled.
+BROADCAST_IDS = 500_000
 _MOST = np.uint64(2**64 - 1)
-_SKETCH = "doc_id long, key1 long, key2 long, n int, lanes array<smallint>, sketches array<long>"
+_SKETCH = "doc_id long, doc_hash long, key1 long, key2 long, n int, lanes array<smallint>, sketches array<long>"
 
 
 def sequence(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +96,7 @@ def _picks(labelled: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
 def _sketched(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, words in slices(batch.column(1)):
+            for row, words in slices(batch.column(2)):
                 n = words.counts
                 values, first = sequence(words, shingle)
                 sizes = np.diff(first)
@@ -110,9 +113,9 @@ def _sketched(shingle: int):
                     lanes = np.minimum(lane, 32767).astype(np.int16).reshape(len(n), LANES)
                     labelled = _labelled(values, of)
                     sketches[full] = np.stack([_picks(labelled, starts, s) for s in range(SKETCHES)], axis=1)
-                ids = batch.column(0).slice(row, len(n))
+                ids, hashes = (batch.column(c).slice(row, len(n)) for c in (0, 1))
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield pa.record_batch([ids, pa.array(keys[0].astype(np.int64)), pa.array(keys[1].astype(np.int64)), pa.array(sizes, pa.int32()), lists(lanes), lists(sketches.astype(np.int64))], ["doc_id", "key1", "key2", "n", "lanes", "sketches"])
+                yield pa.record_batch([ids, hashes, pa.array(keys[0].astype(np.int64)), pa.array(keys[1].astype(np.int64)), pa.array(sizes, pa.int32()), lists(lanes), lists(sketches.astype(np.int64))], ["doc_id", "doc_hash", "key1", "key2", "n", "lanes", "sketches"])
 
     return run
 
@@ -193,13 +196,14 @@ _PAIR = "a long, b long"
 
 
 def links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs (a, b) that are near duplicates."""
-    side = lambda s: sketches.select(F.col("doc_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("lanes").alias(f"lanes_{s}"))
+    """The pairs of nodes (a, b) that are near duplicates."""
+    side = lambda s: sketches.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("lanes").alias(f"lanes_{s}"))
     left = settled(pairs.distinct().join(side("a"), "a").join(side("b"), "b").mapInArrow(lean(_may_link(least)), _PAIR), "pairs")
-    ids = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    text = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
+    wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = settled(sketches.select("node", F.col("doc_id").alias("at_id"), F.col("doc_hash").alias("at_hash")).join(wanted, "node", "left_semi"), "named")
+    at = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    texts = docs.join(at, docs["doc_id"].eqNullSafe(at["at_id"]) & (docs["doc_hash"] == at["at_hash"])).select("node", "text").dropDuplicates(["node"])
+    text = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
     return settled(left.join(text("a"), "a").join(text("b"), "b").mapInArrow(lean(_verified(shingle, least)), _PAIR), "links")
 
 
@@ -207,7 +211,7 @@ def _met(least: float):
     """Within a block, or between two blocks, of one bucket: pairs across components that may link."""
 
     def run(rows: pa.Table) -> pa.Table:
-        doc, root, n, block, own = (rows[c].to_numpy() for c in ("doc_id", "root", "n", "block", "own"))
+        doc, root, n, block, own = (rows[c].to_numpy() for c in ("node", "root", "n", "block", "own"))
         lanes = rows["lanes"].combine_chunks().flatten().to_numpy().reshape(-1, LANES)
         low, level = rows["low"][0].as_py(), rows["level"][0].as_py()
         left = np.flatnonzero(block == low)
@@ -229,62 +233,74 @@ def _met(least: float):
 
 def _left_pairs(buckets: DataFrame, sketches: DataFrame, roots: DataFrame, least: float) -> DataFrame:
     """Pairs across components that meet in a bucket."""
-    rooted = buckets.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    rooted = buckets.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     # A level is a bucket's share of documents of a length class and the next smaller one; pairs of like length meet in one.
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1 / least)) + 1e-9)).cast("int")
     rooted = settled(rooted.withColumn("own", own).withColumn("level", F.explode(F.array(own, own + 1))), "rooted")
     sizes = rooted.groupBy("bucket", "level").agg(F.count("*").alias("members"), F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("bucket", "level", "members")
-    open_ = rooted.join(sizes, ["bucket", "level"]).join(sketches.select("doc_id", "lanes"), "doc_id")
-    small = open_.filter(F.col("members") <= SMALL).select("bucket", "level", "doc_id", "root", "n", "own", "lanes")
-    other = small.select("bucket", "level", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "root", "n", "own", "lanes")))
+    open_ = rooted.join(sizes, ["bucket", "level"]).join(sketches.select("node", "lanes"), "node")
+    small = open_.filter(F.col("members") <= SMALL).select("bucket", "level", "node", "root", "n", "own", "lanes")
+    other = small.select("bucket", "level", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "own", "lanes")))
     near = (F.least("n", "n2") >= F.lit(least) * F.greatest("n", "n2")) & ((F.col("own") == F.col("level")) | (F.col("own2") == F.col("level")))
     far = F.aggregate(F.zip_with("lanes", "lanes2", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda acc, v: acc + v)
     near = near & (far <= (F.col("n") + F.col("n2")) * F.lit((1 - least) / (1 + least)) + F.lit(1e-9))
     other = other.withColumnsRenamed({"bucket": "bucket2", "level": "level2"})
     same = (F.col("bucket") == F.col("bucket2")) & (F.col("level") == F.col("level2"))
-    few = small.join(other, same & (F.col("doc_id") < F.col("doc_id2")) & (F.col("root") != F.col("root2")) & near).select(F.col("doc_id").alias("a"), F.col("doc_id2").alias("b"))
+    few = small.join(other, same & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & near).select(F.col("node").alias("a"), F.col("node2").alias("b"))
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    large = open_.filter(F.col("members") > SMALL).withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    large = open_.filter(F.col("members") > SMALL).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     many = large.groupBy("bucket", "level", "low", "high").applyInArrow(lean_group(_met(least)), _PAIR)
     return few.unionByName(many)
 
 
-def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
-    """doc_id, class_id and n_shingles of every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = settled(docs.mapInArrow(lean(_sketched(shingle)), _SKETCH), "sketches")
-    wordless = F.col("n") == 0
-    copies = settled(found.filter(~wordless).groupBy("key1", "key2").agg(F.min("doc_id").alias("rep")), "copies")
-    sketches = settled(found.join(copies.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "key1", "key2"), ["doc_id", "key1", "key2"], "left_semi").dropDuplicates(["doc_id"]), "representatives")
-    rows = sketches.select("doc_id", "n", F.explode("sketches").alias("bucket"))
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("doc_hash"), F.col("text").cast("string").alias("text"))
+
+
+def _classed(docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """doc_id, doc_hash, n, class_id, and first_id, first_hash: the row of the class that comes first, null for rows without company."""
+    docs = _named(docs)
+    found = settled(docs.mapInArrow(lean(_sketched(shingle)), _SKETCH).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc_hash"))
+    copies = settled(found.filter("n > 0").groupBy("key1", "key2").agg(F.min("row").alias("node"), F.min(order).alias("first"), F.count("*").alias("members")), "copies")
+    sketches = settled(found.join(copies.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node"), "nodes")
+    rows = sketches.select("node", "n", F.explode("sketches").alias("bucket"))
     # Copies are nearest to their original, which often is the first, the shortest or the longest.
-    heads = rows.groupBy("bucket").agg(F.min("doc_id").alias("h1"), F.max("doc_id").alias("last"), F.min_by("doc_id", "n").alias("h2"), F.max_by("doc_id", "n").alias("h3")).filter("h1 <> last")
+    heads = rows.groupBy("bucket").agg(F.min("node").alias("h1"), F.max("node").alias("last"), F.min_by("node", "n").alias("h2"), F.max_by("node", "n").alias("h3")).filter("h1 <> last")
     buckets = settled(rows.join(heads.select("bucket", F.array_distinct(F.array("h1", "h2", "h3")).alias("heads")), "bucket"), "buckets")
-    starred = buckets.select("doc_id", F.explode("heads").alias("head")).filter("head <> doc_id")
-    first = links(starred.select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")), sketches, docs, shingle, least)
+    starred = buckets.select("node", F.explode("heads").alias("head")).filter("head <> node")
+    first = links(starred.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")), sketches, docs, shingle, least)
     second = links(_left_pairs(buckets.drop("heads"), sketches, components(first), least), sketches, docs, shingle, least)
     roots = components(first.unionByName(second))
-    named = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key1", "key2", F.coalesce("root", "rep").alias("class_id"))
-    # Rows without words keep their id as class: they meet no key.
-    joined = found.select("doc_id", "key1", "key2", "n").join(named, ["key1", "key2"], "left")
-    return joined.select("doc_id", F.when(wordless, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.col("n").alias("n_shingles"))
+    rooted = copies.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    classes_ = rooted.groupBy("class").agg(F.min("first").alias("first"), F.sum("members").alias("documents")).filter("documents > 1")
+    known = settled(rooted.drop("first").join(classes_, "class").select("key1", "key2", "members", F.col("first.doc_id").alias("first_id"), F.col("first.doc_hash").alias("first_hash")), "classes")
+    joined = joined_by_key(found.select("doc_id", "doc_hash", "key1", "key2", "n"), known, ["key1", "key2"], "members", found.count())
+    # Rows without words have the keys 0 and 0, which no text with words has but by chance.
+    own = (F.col("n") == 0) | F.col("first_hash").isNull()
+    first_of = lambda c: F.when(~own, F.col(c)).alias(c)
+    return joined.select("doc_id", "doc_hash", "n", F.when(own, F.col("doc_id")).otherwise(F.col("first_id")).alias("class_id"), first_of("first_id"), first_of("first_hash"))
+
+
+def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+    """doc_id, class_id and n_shingles of every document."""
+    return _classed(docs, shingle, least).select("doc_id", "class_id", F.col("n").alias("n_shingles"))
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
-    """docs without near duplicates: of each class the row with the least doc_id.
+    """docs without near duplicates: of each class the row of the least doc_id (of equal or no ids, one), whatever else docs holds.
 
-    Documents without words stay. Of rows that share a doc_id one stays, and of rows without one, one of each text.
+    Documents without words stay.
     """
-    found = settled(classes(docs, shingle, least), "classes")
-    gone = found.filter("n_shingles > 0 AND doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct()
-    twice = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
-    ids = settled(gone.withColumn("gone", F.lit(True)).unionByName(twice.withColumn("gone", F.lit(False))), "gone")
-    small = ids.count() <= BROADCAST_IDS
-    sized = lambda df: F.broadcast(df) if small else df
-    known = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    named = known.filter("_id IS NOT NULL")
-    once = named.join(sized(ids), "_id", "left_anti")
-    repeated = named.join(sized(ids.filter("gone").select("_id")), "_id", "left_anti").join(sized(ids.filter("NOT gone").select("_id")), "_id", "left_semi").dropDuplicates(["_id"])
-    unnamed = known.filter("_id IS NULL").dropDuplicates(["text"])
-    return once.unionByName(repeated).unionByName(unnamed).select(*docs.columns)
+    found = settled(_classed(docs, shingle, least).filter("first_hash IS NOT NULL"), "classes")
+    of, doc_hash, gone = unused(docs.columns, "of", "hash", "gone")
+    first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("doc_hash") == F.col("first_hash"))
+    # Of the rows that come first, those that occur twice are cut down to one; all others of a class go.
+    named = found.groupBy(F.col("doc_id").alias(of), F.col("doc_hash").alias(doc_hash)).agg(F.first(~first).alias(gone), F.count("*").alias("times")).filter(F.col(gone) | (F.col("times") > 1)).drop("times")
+    named = settled(named, "gone")
+    sized = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    same = docs["doc_id"].cast("long").eqNullSafe(sized[of]) & (F.xxhash64(docs["text"].cast("string")) == sized[doc_hash])
+    marked = docs.join(sized, same, "left")
+    once = marked.filter(F.col(gone).isNull()).select(*every(docs))
+    return once.unionByName(marked.filter(~F.col(gone)).dropDuplicates([of, doc_hash]).select(*every(docs)))

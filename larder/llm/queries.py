@@ -108,7 +108,7 @@ def _mixing_sql() -> str:
     margins = ["source", "lang", "topic"]
     ctes = [
         r"""d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, t, CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
-        CASE WHEN length(regexp_replace(left(t, 200), '[^A-Z]', '', 'g')) > 60 THEN 'loud' WHEN length(t) < 500 THEN 'note' WHEN length(t) >= 10000 THEN 'book'
+        CASE WHEN t <> '' AND length(regexp_replace(t, '[^A-Z]', '', 'g')) * 10 >= length(t) * 3 THEN 'loud' WHEN length(t) < 500 THEN 'note' WHEN length(t) >= 10000 THEN 'book'
         WHEN (length(t) - length(replace(t, chr(10), ''))) * 200 >= length(t) THEN 'list' ELSE 'prose' END AS topic FROM (SELECT *, coalesce(text, '') AS t FROM documents))""",
         "w0 AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS w FROM d GROUP BY ALL)",
     ]

@@ -11,8 +11,9 @@
 
 What moves is the text once (all passes share one exchange), about 1.5 bytes per window and sketch row,
 and 24 bytes for each distinct repeated window of a chunk. Nothing is broadcast or collected but two
-counts; a window in a third of all documents is one entry per chunk. Chunks and shards have bounded
-size, and both numbers grow with the input.
+counts; a window in a third of all documents is one entry per chunk. A chunk sends each shard one message,
+so beyond `SINCE` bytes chunks and shards grow with the root of the input, and messages in proportion to it:
+at 100 TB, chunks are of 192 MB and shards of 2^28 cells, whose tasks want some 3 GB of Python memory.
 
 Defined results. A null text has no words; texts of under `window` words keep all. Rows with equal
 doc_id aren't smaller than each other, so neither removes the other's words. A null doc_id is larger
@@ -32,22 +33,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import grown, partitions
 from larder.llm.memory import lean, lean_group
 from larder.llm.words import mixed, slices
 
 WINDOW = 13
 #: Rows of the sketch, and cells of each row for every word of the corpus.
 ROWS, CELLS_PER_WORD = 2, 8
-CHUNK_BYTES, LEAST_CHUNKS = 6 << 20, 60
-SHARD_CELLS, LEAST_SHARDS = 1 << 23, 32
+CHUNK_BYTES, MOST_CHUNK_BYTES, LEAST_CHUNKS = 6 << 20, 192 << 20, 60
+SHARD_CELLS, MOST_SHARD_CELLS, LEAST_SHARDS = 1 << 23, 1 << 28, 32
+#: Bytes of text from which on chunks and shards grow.
+SINCE = 32 << 30
+#: Chunks of each partition of the exchange that all passes share.
+TOGETHER = 8
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _NO_ID = np.iinfo(np.int64).max
 
 
-#: Low bits of a sort key that hold a document's place in its chunk.
-_PLACE = 24
-
-
 @dataclass(frozen=True)
 class Plan:
     """Sizes that all passes agree on: cells of a sketch row as a power of two, shards, words of a window."""
@@ -61,7 +63,7 @@ class Plan:
 
     def low(self, shard: int) -> int:
         """The first cell of a shard."""
-        return int(shard * (2.0**self.cell_bits / self.shards))
+        return shard * (1 << self.cell_bits) // self.shards
 
     def bounds(self, row_cells: np.ndarray) -> np.ndarray:
         """Where each shard's part of some sorted cells begins, and the end."""
@@ -127,8 +129,16 @@ class Chunk:
 
     def sketch(self, plan: Plan, row: int) -> tuple[np.ndarray, np.ndarray]:
         """The sorted cells of one sketch row, and which of them several documents of the chunk hit."""
-        x = np.sort((plan.cells(self.keys, row) << np.uint64(_PLACE)) | self.rows.astype(np.uint64))
-        x = x[np.flatnonzero(np.diff(x, prepend=x[:1] + np.uint64(1)))] >> np.uint64(_PLACE)  # once for each document
+        cells, places = plan.cells(self.keys, row), np.uint64(max(1, len(self.ids)).bit_length())
+        if plan.cell_bits + int(places) <= 64:  # cell and document fit one sort key
+            x = np.sort((cells << places) | self.rows.astype(np.uint64))
+            x = x[np.flatnonzero(np.diff(x, prepend=x[:1] + np.uint64(1)))] >> places  # once for each document
+        else:
+            order = np.lexsort((self.rows, cells))
+            cells, rows = cells[order], self.rows[order]
+            once = np.ones(len(cells), bool)
+            once[1:] = (cells[1:] != cells[:-1]) | (rows[1:] != rows[:-1])
+            x = cells[once]
         new = np.flatnonzero(np.diff(x, prepend=x[:1] + np.uint64(1)))
         return x[new], np.diff(new, append=len(x)) > 1
 
@@ -289,15 +299,20 @@ def _removed(plan: Plan):
     return run
 
 
+def planned(size: int, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> tuple[Plan, int]:
+    """The plan for texts of so many bytes, and how many chunks they make."""
+    chunks = max(LEAST_CHUNKS, -(-size // grown(size, SINCE, chunk_bytes, max(chunk_bytes, MOST_CHUNK_BYTES))))
+    cell_bits = max(20, int(size / 5 * CELLS_PER_WORD).bit_length())
+    return Plan(cell_bits, max(LEAST_SHARDS, (1 << cell_bits) // grown(size, SINCE, SHARD_CELLS, MOST_SHARD_CELLS)), window), chunks
+
+
 def marked(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, text, n_words, removed: a bit for each word that an earlier document's window covers; empty for none."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
-    chunks = max(LEAST_CHUNKS, -(-size // chunk_bytes))
-    cell_bits = max(20, int(size / 5 * CELLS_PER_WORD).bit_length())
-    plan = Plan(cell_bits, max(LEAST_SHARDS, (1 << cell_bits) // SHARD_CELLS), window)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    plan, chunks = planned(size, window, chunk_bytes)
+    n = max(partitions(spark), -(-chunks // TOGETHER))
     base = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int")).repartition(n, "chunk")
     sketches = base.groupBy("chunk").applyInArrow(lean_group(_sketched(plan)), _SKETCH)
     flags = sketches.groupBy("part", "shard").applyInArrow(lean_group(_merged(plan)), _FLAGS)

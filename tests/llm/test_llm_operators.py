@@ -106,10 +106,36 @@ def test_fingerprints_ignore_order_and_follow_edits(spark):
 
 
 def test_fingerprint_vectors_add_up(spark):
-    df = spark.createDataFrame([(0, "one two three four.\nfive six", "one two three four.", "five six")], "k long, whole string, first string, second string")
-    v = fingerprints.vectors(df, ["k"], ["whole", "first", "second"])
-    r = v.select("whole", fingerprints.inserted(F.col("first"), F.col("second")).alias("sum"), fingerprints.deleted(F.col("whole"), F.col("second")).alias("left"), "first").first()
-    assert r["whole"] == r["sum"] and r["left"] == r["first"]
+    df = spark.createDataFrame([(0, "one two three four.\nfive six"), (1, "one two three four."), (2, "five six")], "k long, t string")
+    v = fingerprints.vectors(df, ["k"], "t").groupBy().pivot("k", [0, 1, 2]).agg(F.first("vector"))
+    r = v.select("0", fingerprints.inserted(F.col("1"), F.col("2")).alias("sum"), fingerprints.deleted(F.col("0"), F.col("2")).alias("left"), "1").first()
+    assert r["0"] == r["sum"] and r["left"] == r["1"]
+
+
+def test_edited_fingerprints_are_those_of_the_edited_texts(spark):
+    rng = random.Random(21)
+    texts = ["\n".join(prose(rng, rng.randint(0, 60), 60) for _ in range(rng.randint(1, 6))) for _ in range(40)] + ODD_TEXTS
+    rows = {r["doc_id"]: r for r in fingerprints.compare_edits(docs_of(spark, texts)).collect()}
+    whole = [t or "" for t in texts]
+    edited = [t[: len(t) - len(t) // 3] + (whole[i - 1] if i else whole[-1])[: len(t) // 3] for i, t in enumerate(whole)]
+    plain = fingerprints.vectors(spark.createDataFrame(list(enumerate(edited)), "k long, t string"), ["k"], "t").select("k", fingerprints.written(F.col("vector")).alias("f")).collect()
+    assert {r["k"]: r["f"] for r in plain} == {i: rows[i]["edited_fingerprint"] for i in rows}
+
+    def phrases(t):
+        return Counter(p for line in t.split("\n") for p in re.findall(fingerprints.PHRASE, line))
+
+    def cosine(a, b):
+        dot = sum(n * b[p] for p, n in a.items())
+        return dot / max(1e-9, np.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values())))
+
+    off = [rows[i]["near_edited"] - cosine(phrases(t), phrases(e)) for i, (t, e) in enumerate(zip(whole[:40], edited)) if t != e and phrases(t) and phrases(e)]
+    assert abs(np.mean(off)) < 0.06 and np.sqrt(np.mean(np.square(off))) < 0.15
+
+
+def test_fingerprints_of_repeated_and_nameless_rows(spark):
+    df = spark.createDataFrame([(1, "a b\nc"), (1, "a b\nc"), (None, "x y"), (None, "a b\nc")], "doc_id long, text string")
+    got = fingerprints.compare_edits(df).collect()
+    assert len(got) == 4 and len({r["fingerprint"] for r in got}) == 2 and sum(r["doc_id"] is None for r in got) == 2
 
 
 def test_fingerprints_of_one_document_and_of_none(spark):
@@ -166,6 +192,19 @@ def test_mixing_of_odd_rows(spark):
     assert mixing.mix(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_mixing_beside_clashing_columns(spark):
+    df = docs_of(spark, [prose(random.Random(1), 30)]).withColumn("MIX_Source", F.lit("clash")).withColumn("a.b", F.lit("kept"))
+    got = mixing.mix(df)
+    assert [c for c in got.columns if c.lower() == "mix_source"] == ["mix_source"] and got.first()["a.b"] == "kept"
+
+
+def test_topics_are_those_of_whole_texts(spark):
+    rows = [(0, "QUITE LOUD " * 100), (1, "QUITE LOUD " * 10 + "and quiet later on " * 100), (2, "quiet first " * 5 + "VERY LOUD LATER " * 100), (3, ""), (4, "x\n" * 400), (5, "x" * 10000)]
+    df = spark.createDataFrame(rows, "i long, t string")
+    got = {r["i"]: r["x"] for r in df.select("i", mixing.topic(F.col("t")).alias("x")).collect()}
+    assert got == {0: "loud", 1: "prose", 2: "loud", 3: "note", 4: "list", 5: "book"}
+
+
 def test_mixing_beyond_the_small_number_of_cells(spark, monkeypatch):
     df = docs_of(spark, [prose(random.Random(i), 20 + i) for i in range(60)])
     small = {r["doc_id"]: r["mix_factor"] for r in mixing.mix(df, sweeps=2).collect()}
@@ -294,6 +333,21 @@ def test_lines_of_odd_rows(spark):
     assert lines.marked(docs_of(spark, ODD_TEXTS)).count() >= 2 and lines.marked(df.limit(0)).count() == 0
 
 
+def test_lines_beside_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a line that is long enough to count\nx", "k"), (2, "a line that is long enough to count\ny", "k")], "doc_id long, text string, gone string")
+    for c in ("of", "hash", "_gone", "_of", "GONE_"):
+        df = df.withColumn(c, F.lit("k"))
+    got = sorted(tuple(r) for r in lines.without_repeats(df).collect())
+    assert got == [(1, "a line that is long enough to count\nx", *"kkkkkk"), (2, "y", *"kkkkkk")]
+
+
+def test_lines_that_fill_much_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_MEMBERS", 10)
+    texts = [f"the same line in many documents, {'!' * (i % 2)}\nline {i} of its own that nothing else is like {i * 7919}" for i in range(60)]
+    got = {(r["doc_id"], r["line"]): (r["class_doc_id"], r["class_line"], r["kept"]) for r in lines.marked(docs_of(spark, texts)).collect()}
+    assert got == plain_line_classes(list(enumerate(texts)), 2, lines.SHORTEST)
+
+
 def test_every_line_has_a_row(spark):
     long = "a line that is long enough to count"
     texts = [f"All rights reserved.\n{long}\n\nx", f"x\nAll rights reserved.\n \t\n{long}!", "All rights reserved!\n", None, "", "y" * 24 + "\n" + " " * 24, "é\ud83d\ude00\né".encode("utf-16", "surrogatepass").decode("utf-16")]
@@ -511,7 +565,18 @@ def test_near_duplicates_of_odd_rows(spark):
     got = sorted((tuple(r)[:2] for r in neardup.classes(df).collect()), key=str)
     assert got == sorted([(None, 2), (4, 2), (2, 2), (None, None), (2, 2)], key=str)
     assert neardup.classes(df.limit(0)).count() == 0
-    assert sorted((tuple(r) for r in neardup.representatives(df).collect()), key=str) == sorted([(2, t), (None, t), (None, "other text of some five words")], key=str)
+    assert sorted((tuple(r) for r in neardup.representatives(df).collect()), key=str) == sorted([(2, t), (None, "other text of some five words")], key=str)
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    rng = random.Random(22)
+    a, b = (" ".join(f"{c}{rng.randint(0, 10**6)}" for _ in range(80)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, a + " other"), (None, "q " + b)]
+    df = spark.createDataFrame([(i, t, "clash", "clash", "clash") for i, t in rows], "doc_id long, text string, _id string, gone string, node string")
+    got = sorted((r["class_id"] for r in neardup.classes(df).collect()), key=str)
+    assert got == [1] * 6
+    kept = neardup.representatives(df).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, a), (1, b)]) and {r["_id"] for r in kept} == {r["gone"] for r in kept} == {"clash"}
 
 
 def test_components(spark):
@@ -634,6 +699,23 @@ def test_substrings_of_odd_rows(spark):
     assert substrings.digests(substrings.marked(df.limit(0))).count() == 0
 
 
+def test_sketches_of_very_large_corpora_lose_nothing():
+    rng = random.Random(23)
+    docs = pa.table({"doc_id": pa.array(range(30)), "text": pa.array([prose(rng, 200, 10**6) for _ in range(30)])})
+    chunk = substrings.Chunk(docs, 13)
+    for bits in (20, 38, 42, 48, 60):
+        plan = substrings.Plan(bits, 64, 13)
+        for row in range(substrings.ROWS):
+            known, several = chunk.sketch(plan, row)
+            cells = plan.cells(chunk.keys, row)
+            assert np.array_equal(known, np.unique(cells))
+            documents = {}
+            for c, r in zip(cells.tolist(), chunk.rows.tolist()):
+                documents.setdefault(c, set()).add(r)
+            assert several.tolist() == [len(documents[c]) > 1 for c in known.tolist()]
+            assert plan.bounds(known)[-1] == len(known) and plan.low(0) == 0 and plan.low(64) == 1 << bits
+
+
 # --- shared folder
 
 
@@ -641,4 +723,19 @@ def test_scratch_is_below_the_shared_folder_and_goes(spark):
     df = common.settled(spark.range(3), "x")
     assert df.count() == 3 and df.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(common.shared_dir(spark).removeprefix("file:").lstrip("/"))
     common.clear(spark)
-    assert not spark.sparkContext._jvm.java.io.File(common.shared_dir(spark) + "/larder").exists()
+    assert not spark.sparkContext._jvm.java.io.File(common.own_dir(spark).removeprefix("file:")).exists()
+
+
+def test_hot_keys_join_like_others(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_MEMBERS", 5)
+    rows = spark.createDataFrame([(i, i % 7 if i % 3 else 100) for i in range(60)] + [(99, None)], "i long, k long")
+    facts = rows.filter("k IS NOT NULL AND k <> 2").groupBy("k").agg(F.min("i").alias("least"), F.count("*").alias("members"))
+    got = sorted(map(tuple, common.joined_by_key(rows, facts, ["k"], "members", 61).collect()), key=str)
+    want = sorted(map(tuple, rows.join(facts.drop("members"), "k", "left").select("i", "k", "least").collect()), key=str)
+    assert got == want and len(got) == 61
+
+
+def test_messages_grow_with_the_input():
+    for plan, since in ((lambda n: [substrings.planned(n)[1], substrings.planned(n)[0].shards], substrings.SINCE), (lambda n: [n // lines.planned(n).chunk, lines.planned(n).shards], lines.SINCE)):
+        a, b = (np.prod([float(x) for x in plan(n)]) for n in (since * 2, since * 32))
+        assert b / a < 16 * 1.5
