@@ -6,8 +6,10 @@ document frequencies count all documents. Terms that mark toxic examples, chosen
 chi-square over `CHI` and once or twice in a document, weigh `MARKED` times as much; no term is left out.
 A text's terms that no example holds would only scale its cosines, which changes neither order nor votes.
 
-Every text is compared with every example: terms of many examples through a dense matrix, the others through
-their postings. Nothing is left out by that.
+The examples stand in blocks of like ones, and the inverted index keeps, for each term and block, the greatest weight.
+A text's products with these bound its cosines in a block from above. The blocks of the highest bounds are scored
+first; then all whose bound reaches the k-th best cosine so far. What isn't scored can't be among the k nearest.
+Terms of many examples go through dense matrices, the others through their postings.
 
 An example's vote weighs as its squared cosine. Votes of the examples themselves, each without itself,
 give the calibration: isotonic, with the labels' shares in the whole labelled set as weights. The nearest
@@ -17,9 +19,9 @@ The corpus is read for the document frequencies and again for the scores; only t
 terms move. The index is bounded by the sample and travels with the tasks.
 
 Defined results. A null or empty text, or one without a term of any example, gets the share of toxic
-examples among such examples, or that among all labels if there are none. Without labels of both kinds there is no vocabulary, and every score is the
-share of toxic labels (0 without any). Repeated labels count as toxic if any of them is; null labels don't
-count; other columns are ignored.
+examples among such examples, or that among all labels if there are none. Without labels of both kinds nothing can
+be learnt, and every score is 0. Repeated labels count as toxic if any of them is; null labels and ids don't count;
+rows without an id are scored like others; equal cosines go to the smaller id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,10 +51,10 @@ SUPPORT = 0.002
 #: A term may ask for one occurrence in a document, or for up to so many.
 TIMES = 2
 NEIGHBOURS, EVIDENCE = 40, 3
-#: Terms of the most examples that go through a dense matrix, and postings that are added up at once.
-HEAD, POSTINGS = 512, 1 << 20
+#: Terms of the most examples that go through dense matrices, examples of a block, and texts that are searched at once.
+HEAD, BLOCK, TEXTS = 1024, 64, 48
 #: Bytes of a longer word's beginning that are a term.
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (4, 6)
 THRESHOLD = 0.3
 SCORED = "doc_id long, score double, predicted int, evidence array<long>"
 
@@ -103,35 +105,48 @@ def _among(known: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """Terms: hashes, and how often a document must hold each. `filter` is a bitmap that most other hashes miss."""
+    """Terms: hashes, and how often a document must hold each. `first` tells where the hashes of equal high bits begin."""
 
     hashes: np.ndarray
     least: np.ndarray
     known: np.ndarray = field(init=False)
-    filter: np.ndarray = field(init=False)
+    first: np.ndarray = field(init=False)
+    shift: np.uint64 = field(init=False)
     term: np.ndarray = field(init=False)
 
     def __post_init__(self):
         self.known, at = np.unique(self.hashes, return_inverse=True)
         self.term = np.full((max(1, len(self.known)), TIMES), -1)
         self.term[at, self.least - 1] = np.arange(len(self.hashes))
-        self.filter = np.zeros(1 << 22, bool)
-        self.filter[(self.known >> np.uint64(42)).astype(np.int64)] = True
+        bits = min(24, len(self.known).bit_length() + 2)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.known >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are known, and their places among these."""
+        high = (hashes >> self.shift).astype(np.int64)
+        place, end = self.first[high], self.first[high + 1]
+        at, out_at, out = np.flatnonzero(place < end), [], []
+        place, end, sought = place[at], end[at], hashes[at]
+        while len(at):
+            same = self.known[place] == sought
+            out_at.append(at[same])
+            out.append(place[same])
+            on = np.flatnonzero(~same & (place + 1 < end))
+            at, place, end, sought = at[on], place[on] + 1, end[on], sought[on]
+        join = lambda x: np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)
+        return join(out_at), join(out)
 
     def find(self, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document, term and count of each pair that occurs, by document and term; from a row for each occurrence."""
+        """Document, term and count of each pair that occurs; from a row for each occurrence."""
         none = np.zeros(0, np.int64)
         if not len(self.known):
             return none, none, none
-        at = np.flatnonzero(self.filter[(hashes >> np.uint64(42)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.known, hashes[at]), len(self.known) - 1)
-        ok = self.known[place] == hashes[at]
-        key, count = np.unique(doc[at[ok]] * len(self.known) + place[ok], return_counts=True)
+        at, place = self.places(hashes)
+        key, count = np.unique(doc[at] * len(self.known) + place, return_counts=True)
         doc, place = key // len(self.known), key % len(self.known)
         pairs = [(doc[x], self.term[place[x], m], count[x]) for m in range(TIMES) for x in [np.flatnonzero((count > m) & (self.term[place, m] >= 0))]]
-        doc, term, count = (np.concatenate(x) for x in zip(*pairs))
-        order = np.lexsort((term, doc))
-        return doc[order], term[order], count[order]
+        return tuple(np.concatenate(x) for x in zip(*pairs))
 
     def documents(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """Slices of texts: (index of the first, how many), then what find() gives."""
@@ -188,61 +203,111 @@ def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray
     return Vocabulary(hashes[[k % size for k in out]], np.array([k // size + 1 for k in out], np.int64)) if out else none
 
 
+def _expanded(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (many[0] of them), then those from start[1], and so on."""
+    return np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
+
+
 class Index:
-    """Unit vectors of the examples, by term: rows of a dense matrix for the `HEAD` terms of the most examples, postings for the others."""
+    """Unit vectors of the examples, by term: dense rows for the `HEAD` terms of the most examples, postings for the others, in blocks of `BLOCK` examples.
+
+    Examples are named by their number in `docs`; inside, place p is that of example order[p].
+    """
 
     def __init__(self, docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, ids: np.ndarray, size: int):
-        self.order, self.toxic, self.ids = np.arange(len(docs)), toxic, ids
+        self.toxic, self.ids, n = toxic, ids, len(docs)
         terms_ = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in docs)]).astype(np.int64)
         weights = np.concatenate([np.zeros(0), *(w for _, w in docs)])
-        place = np.repeat(np.arange(len(docs), dtype=np.int32), [len(t) for t, _ in docs])
-        often = np.bincount(terms_, minlength=size)
-        top = np.argsort(-often, kind="stable")[:HEAD]
+        of = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in docs])
+        top = np.argsort(-np.bincount(terms_, minlength=size), kind="stable")[:HEAD]
         self.row = np.full(max(1, size), -1, np.int32)
         self.row[top] = np.arange(len(top))
-        self.head = np.zeros((len(top), len(docs)))
-        dense = self.row[terms_] >= 0
-        self.head[self.row[terms_[dense]], place[dense]] = weights[dense]
-        terms_, place, weights = terms_[~dense], place[~dense], weights[~dense]
-        by_term = np.argsort(terms_, kind="stable")
-        self.place, self.weight = place[by_term], weights[by_term]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(terms_, minlength=size))]).astype(np.int64)
+        head, dense = np.zeros((len(top), n)), self.row[terms_] >= 0
+        head[self.row[terms_[dense]], of[dense]] = weights[dense]
+        self.order = self._alike(head)
+        self.blocks = -(-n // BLOCK)
+        self.head = np.zeros((len(top), self.blocks * BLOCK))
+        self.head[:, :n] = head[:, self.order]
+        self.head_most = self.head.reshape(len(top), self.blocks, BLOCK).max(2) if n else np.zeros((len(top), 0))
+        terms_, place, weights = terms_[~dense], np.argsort(self.order)[of[~dense]], weights[~dense]
+        by_term = np.lexsort((place, terms_))
+        terms_, self.place, self.weight = terms_[by_term], place[by_term].astype(np.int32), weights[by_term]
+        # An entry is what a term has in a block.
+        entry = terms_ * max(1, self.blocks) + self.place // BLOCK
+        self.start = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]])) if len(entry) else np.zeros(0, np.int64)
+        self.many = np.diff(np.append(self.start, len(entry)))
+        self.block = (self.place[self.start] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, self.start) if len(entry) else np.zeros(0)
+        self.first = np.searchsorted(terms_[self.start], np.arange(size + 1))
 
-    def cosines(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        """n by examples, for the vectors of n texts: a row (doc, term, weight) for each term."""
-        size = len(self.toxic)
+    @staticmethod
+    def _alike(head: np.ndarray, groups: int = 64) -> np.ndarray:
+        """The examples by the nearest of some that are far from each other."""
+        n = head.shape[1]
+        nearest, best = np.zeros(n, np.int64), np.full(n, -1.0)
+        for g in range(min(groups, n)):
+            now = head[:, int(best.argmin())] @ head
+            nearest[now > best] = g
+            best = np.maximum(best, now)
+        return np.argsort(nearest, kind="stable")
+
+    def _search(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int | None, without: np.ndarray | None = None) -> np.ndarray:
+        """n by places: the cosines of the texts' vectors with the examples, 0 where a bound shows that they aren't among the k greatest."""
         dense = self.row[term] >= 0
         query = np.zeros((n, len(self.head)))
         query[doc[dense], self.row[term[dense]]] = weight[dense]
-        out = query @ self.head
         doc, term, weight = doc[~dense], term[~dense], weight[~dense]
-        start, many = self.first[term], self.first[term + 1] - self.first[term]
-        ends = np.cumsum(many)
-        flat, a = out.reshape(-1), 0
-        while a < len(term):
-            b = max(a + 1, int(np.searchsorted(ends, ends[a] - many[a] + POSTINGS, "right")))
-            k = many[a:b]
-            at = np.arange(k.sum()) + np.repeat(start[a:b] - np.cumsum(k) + k, k)
-            low = int(doc[a]) * size
-            cells = np.bincount(np.repeat(doc[a:b] * size - low, k) + self.place[at], np.repeat(weight[a:b], k) * self.weight[at])
-            flat[low : low + len(cells)] += cells
-            a = b
+        many = self.first[term + 1] - self.first[term]
+        entry, doc, weight = _expanded(self.first[term], many), np.repeat(doc, many), np.repeat(weight, many)
+        block, blocks, width = self.block[entry], self.blocks, self.blocks * BLOCK
+        out = np.zeros((n, width))
+
+        def add(wanted: np.ndarray) -> None:
+            """Cosines of the (text, block) pairs."""
+            for b in np.flatnonzero(wanted.any(0)):
+                q = np.flatnonzero(wanted[:, b])
+                out[q, b * BLOCK : (b + 1) * BLOCK] += query[q] @ self.head[:, b * BLOCK : (b + 1) * BLOCK]
+            at = np.flatnonzero(wanted[doc, block])
+            size = self.many[entry[at]]
+            post = _expanded(self.start[entry[at]], size)
+            cell = np.repeat(doc[at] * width, size) + self.place[post]
+            out.reshape(-1)[:] += np.bincount(cell, np.repeat(weight[at], size) * self.weight[post], minlength=n * width)
+
+        first = np.ones((n, blocks), bool)
+        if k is not None and blocks > -(-k // BLOCK) + 1:
+            bound = query @ self.head_most + np.bincount(doc * blocks + block, weight * self.most[entry], minlength=n * blocks).reshape(n, blocks)
+            high = np.argpartition(-bound, -(-k // BLOCK), axis=1)[:, : -(-k // BLOCK) + 1]
+            first[:] = False
+            first[np.arange(n)[:, None], high] = True
+            add(first)
+            if without is not None:
+                out[np.arange(n), without] = 0.0
+            least = np.partition(out, width - k, axis=1)[:, width - k]
+            add(~first & (bound + 1e-8 >= least[:, None]))  # above rounding
+        else:
+            add(first)
+        if without is not None:
+            out[np.arange(n), without] = 0.0
         return out.round(9)  # so that equal cosines are equal however texts are dealt
 
-    @staticmethod
-    def best(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k greatest over 0; ties go to the smaller place."""
-        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
-        places = np.flatnonzero((cosine >= least) & (cosine > 0))
-        places = places[np.argsort(-cosine[places], kind="stable")][:k]
-        return places, cosine[places]
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples with any common term; ties go to the smaller place."""
-        cosine = self.cosines(np.zeros(len(term), np.int64), term, weight, 1)[0]
-        if without >= 0:
-            cosine[without] = 0.0
-        return self.best(cosine, k)
+    def cosines(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """n by examples: all cosines of the vectors of n texts; a row (doc, term, weight) for each term."""
+        return self._search(doc, term, weight, n, None)[:, np.argsort(self.order)]
+
+    def nearest(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, without: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of n texts the k nearest examples with any common term, and their cosines; equal ones by number. `without` names an example for each text that doesn't count."""
+        by = np.argsort(doc, kind="stable")
+        doc, term, weight = doc[by], term[by], weight[by]
+        place = np.argsort(self.order)
+        edges = np.searchsorted(doc, np.arange(0, n + TEXTS, TEXTS))
+        for a, (low, high) in zip(range(0, n, TEXTS), zip(edges, edges[1:])):
+            m = min(TEXTS, n - a)
+            rows = self._search(doc[low:high] - a, term[low:high], weight[low:high], m, k, None if without is None else place[without[a : a + m]])
+            for cosine in rows:
+                least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+                at = np.flatnonzero((cosine >= least) & (cosine > 0))
+                at = at[np.lexsort((self.order[at], -cosine[at]))][:k]
+                yield self.order[at], cosine[at]
 
     def vote(self, places: np.ndarray, scores: np.ndarray) -> float:
         """The toxic share of the examples, each weighing as its squared cosine."""
@@ -310,8 +375,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     size = len(vocabulary.hashes)
     weight = weight_of[toxic]
     if not size:
-        share = totals.get(1, 0) / max(1, sum(totals.values()))
-        return Model(vocabulary, np.zeros(0), None, np.zeros(1), np.full(1, share), share)
+        return Model(vocabulary, np.zeros(0), None, np.zeros(1), np.zeros(1), 0.0)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(size + 1, np.int64), 0
@@ -335,7 +399,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     del sample, found, counts, few
     trim()
     has = np.array([len(t) > 0 for t, _ in vectors])
-    votes = np.array([index.vote(*index.nearest(t, w, NEIGHBOURS, i)) if len(t) else 0.0 for i, (t, w) in enumerate(vectors)])
+    of = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+    votes = np.array([index.vote(*x) for x in index.nearest(of, *(np.concatenate([v[c] for v in vectors]) for c in (0, 1)), len(vectors), NEIGHBOURS, np.arange(len(vectors)))])
     model.without_terms = float((weight * toxic)[~has].sum() / max(weight[~has].sum(), 1e-9)) if (~has).any() else totals[1] / sum(totals.values())
     if has.any():
         model.votes, model.chances = _isotonic(votes[has], toxic[has], weight[has])
@@ -349,11 +414,11 @@ def scored(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[list[int]]]:
     if index is None:
         return scores, evidence
     for row, n, doc, term, count in model.vocabulary.documents(texts):
-        cosines = index.cosines(doc, term, model.weights(doc, term, count), n)
-        for i in np.unique(doc):
-            places, near = index.best(cosines[i], NEIGHBOURS)
-            scores[row + i] = model.chance(index.vote(places, near))
-            evidence[row + i] = index.ids[places[index.toxic[places] > 0][:EVIDENCE]].tolist()
+        known = np.bincount(doc, minlength=n) > 0
+        for i, (examples, near) in enumerate(index.nearest(doc, term, model.weights(doc, term, count), n, NEIGHBOURS)):
+            if known[i]:
+                scores[row + i] = model.chance(index.vote(examples, near))
+                evidence[row + i] = index.ids[examples[index.toxic[examples] > 0][:EVIDENCE]].tolist()
     return scores, evidence
 
 

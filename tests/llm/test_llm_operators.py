@@ -368,24 +368,36 @@ def test_line_dedup_covers_the_table(spark):
 # --- op6
 
 
-def test_nearest_is_exact():
+def test_nearest_is_exact(monkeypatch):
+    monkeypatch.setattr(toxicity, "HEAD", 100)
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
     rng = np.random.default_rng(9)
-    size, n = 60, 500
+    size, n, k = 620, 500, 10
     docs = []
-    for _ in range(n):
-        t = np.sort(rng.choice(size, rng.integers(0, 9), replace=False))
-        w = rng.random(len(t)) + 0.1
+    for i in range(n):  # in groups of like ones, so that bounds leave blocks out
+        t = np.unique(np.concatenate([rng.integers(0, 60, 20) + 60 * (i % 10), rng.integers(600, 620, 5)])) if i % 50 else np.zeros(0, np.int64)
+        w = (rng.random(len(t)) + 0.1) * np.where(t < 600, 1, 0.1)
         docs.append((t, w / np.sqrt((w * w).sum()) if len(w) else w))
+    docs[5] = docs[15] = docs[25]  # ties
     index = toxicity.Index(docs, rng.integers(0, 2, n), np.arange(n), size)
     dense = np.zeros((n, size))
-    for i, k in enumerate(index.order):
-        dense[i, docs[k][0]] = docs[k][1]
-    for t, w in docs[:80]:
-        if len(t):
-            places, scores = index.nearest(t, w, 10)
-            cosine = dense[:, t] @ w
-            order = [i for i in np.lexsort((np.arange(n), -cosine.round(9))) if cosine[i] > 1e-12][:10]
-            assert np.allclose(np.sort(scores), np.sort(cosine[order])) and len(places) == len(order)
+    for i, (t, w) in enumerate(docs):
+        dense[i, t] = w
+    scored = []
+    add = index._search
+    monkeypatch.setattr(index, "_search", lambda *a: scored.append(add(*a)) or scored[-1])
+    queries = [*docs[:130], (np.zeros(0, np.int64), np.zeros(0))]
+    doc, term, weight = (np.concatenate(x) for x in zip(*((np.full(len(t), i), t, w) for i, (t, w) in enumerate(queries))))
+    for without in (None, np.arange(len(queries))):
+        for i, (places, scores) in enumerate(index.nearest(doc, term, weight, len(queries), k, without)):
+            cosine = (dense[:, queries[i][0]] @ queries[i][1]).round(9)
+            if without is not None:
+                cosine[i] = 0
+            order = [j for j in np.lexsort((np.arange(n), -cosine)) if cosine[j] > 0][:k]
+            assert places.tolist() == order and np.allclose(scores, cosine[order])
+    whole = sum(((dense[:, t] @ w).round(9) > 0).sum() for t, w in queries)
+    assert sum((x > 0).sum() for x in scored[: len(scored) // 2]) < whole  # blocks were left out
+    assert np.allclose(index.cosines(doc, term, weight, len(queries)), np.stack([dense[:, t] @ w for t, w in queries]))
 
 
 def test_toxicity_learns_from_labels_only_where_it_may(spark):
@@ -442,7 +454,8 @@ def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, none, F.lit(True))).collect()} == {0.0}
     one = spark.createDataFrame([(1, 1, 1), (2, 1, 1)], "doc_id long, quality int, toxic int")
-    assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, one, F.lit(True))).collect()} == {1.0}
+    model = toxicity.fit(docs, one, F.lit(True))
+    assert {r["score"] for r in toxicity.score(docs, model).collect()} == {0.0} and toxicity.keep_clean(docs, model).count() == docs.count()
 
 
 # --- op7
