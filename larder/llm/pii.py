@@ -90,8 +90,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-#: Cyrillic and Greek letters that look like Latin ones.
-_ALIKE = dict(zip("АВЕКМНОРСТХаеорсухіјѕΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEKMHOPCTXaeopcyxijsABEZHIKMNOPTYXo"))
+#: Cyrillic and Greek letters that look like Latin ones, and those that regular expressions take for Latin ones of the other case.
+_ALIKE = dict(zip("АВЕКМНОРСТХаеорсухіјѕΑΒΕΖΗΙΚΜΝΟΡΤΥΧοİıſ\u212a", "ABEKMHOPCTXaeopcyxijsABEZHIKMNOPTYXoIisK"))
 #: Other hyphens, blanks that aren't the space, and characters without width.
 _DASHES, _GAPS, _NOTHING = "\u2010\u2011\u2012\u2013\u2014\u2212\ufe63", "\u00a0\u2002\u2003\u2007\u2009\u202f\u3000", "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
@@ -135,15 +135,26 @@ _TOKEN = re.compile(rf"(?<!\w)(?:plus|{_ONE})(?!\w)", re.I)
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _BRACKETED = re.compile(rf"[ \t]{{0,3}}{_OPEN}[ \t]{{0,3}}(?:(at|@)|(dot|punkt|point|punto|\.))[ \t]{{0,3}}{_SHUT}[ \t]{{0,3}}|&#64;|&commat;|%40|&#46;", re.I)
 _LABEL = r"[A-Za-z0-9-]{1,63}"
-#: What the last label must be where "at" and "dot" are plain words, as these occur in prose.
+#: What the last label must be where it stands apart behind a plain dot, as at a sentence's end.
 _LAST = "(?:com|org|net|edu|gov|mil|int|info|biz|name|io|co|me|tv|app|dev|ai|eu|uk|us|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|cz|ie|ru|ua|cn|jp|kr|in|br|mx|ar|ca|au|nz|za)"
-_SAID = re.compile(rf"(?<=[A-Za-z0-9_])[ \t]{{1,3}}at[ \t]{{1,3}}(?={_LABEL}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}{_LABEL})*[ \t]{{1,3}}dot[ \t]{{1,3}}{_LAST}(?![A-Za-z0-9-]))|(?<=[A-Za-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[A-Za-z0-9])", re.I)
-_SPACED = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}[ \t]{{1,3}}@[ \t]{{1,3}}{_LABEL}(?:[ \t]{{0,3}}\.[ \t]{{0,3}}{_LABEL}){{0,4}}[ \t]{{0,3}}\.[ \t]{{0,3}}{_LAST}(?![A-Za-z0-9-])", re.I)
+#: Words that no address ends in, where its last label is a word of no known list.
+_NO_LABEL = "(?:a|about|after|all|also|am|an|and|any|are|as|at|be|been|before|but|by|can|could|did|do|does|dot|down|each|else|for|from|had|has|have|he|her|here|him|his|how|i|if|in|into|is|it|its|just|like|may|me|more|most|much|must|my|no|nor|not|now|of|off|on|one|only|or|our|out|over|she|so|some|such|than|that|the|their|them|then|there|these|they|this|those|to|too|under|until|up|upon|us|very|was|we|were|what|when|where|which|while|who|why|will|with|would|you|your)"
+_SAID = re.compile(rf"(?<=[A-Za-z0-9_])[ \t]{{1,3}}at[ \t]{{1,3}}(?={_LABEL}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}{_LABEL})*[ \t]{{1,3}}dot[ \t]{{1,3}}(?:{_LAST}|(?!{_NO_LABEL}(?![A-Za-z0-9-]))[A-Za-z]{{2,24}})(?![A-Za-z0-9-]))|(?<=[A-Za-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[A-Za-z0-9])", re.I)
+#: A local part has at most 64 characters and an address at most 320.
+_SPACED = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}[ \t]{{1,3}}@[ \t]{{1,3}}{_LABEL}(?:[ \t]{{0,3}}\.[ \t]{{0,3}}{_LABEL}){{0,8}}[ \t]{{0,3}}\.[ \t]{{0,3}}{_LAST}(?![A-Za-z0-9-])", re.I)
+_OCTET, _STOP = rf"(?:{_ONE}(?:[ \t-]{{1,2}}{_ONE}){{0,2}}|[0-9]{{1,3}})", "(?:dot|point|punkt|punto)"
+#: Four numbers of figures or spelled digits with spelled dots between.
+_OCTETS = re.compile(rf"(?<![\w.]){_OCTET}(?:(?:[ \t]{{1,3}}{_STOP}[ \t]{{1,3}}|\.){_OCTET}){{3}}(?!\w)", re.I)
+_OCTET_TOKEN = re.compile(rf"{_STOP}|\.|[0-9]|{_ONE}", re.I)
+
+
 #: What a text must hold for any transducer to change it; every alternative of theirs has one here that is as wide or wider.
+_DIGITLIKE = rf"(?:{_ONE}|[0-9])"
 TRIGGER = (
     "["
     + "".join(f"\\x{{{c:x}}}" for c in sorted(_MAP))
-    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|&#46;|[ \t]@[ \t]|[ \t]dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}}|(?:[0-9]{_BESIDE}{{1,2}}|\+|plus[ \t]+){_ONE}\b|{_ONE}{_BESIDE}{{1,2}}[0-9]|plus[ \t]+[0-9])"
+    + rf"]|(?i:{_OPEN}[ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*{_SHUT}|&#64;|&commat;|%40|&#46;|[ \t]@[ \t]|[ \t]dot[ \t]|(?:{_ONE}[ \t,.-]{{1,2}}){{{SPELLED - 1}}}"
+    + rf"|(?:[0-9]{_BESIDE}{{1,2}}|\+|plus[ \t]+){_ONE}\b|{_ONE}{_BESIDE}{{1,2}}[0-9]|plus[ \t]+[0-9]|{_DIGITLIKE}[ \t]+{_STOP}[ \t]+{_DIGITLIKE}|{_ONE}\.{_DIGITLIKE}|[0-9]\.{_ONE})"
 )
 
 
@@ -197,11 +208,17 @@ def normalised(text: str) -> Mapped:
         x = _said_addresses(x)
     if re.search(r"[ \t]@[ \t]", x.text):
         x = x.rewritten(_SPACED, lambda m: [(c, m.start() + i, m.start() + i + 1) for i, c in enumerate(m[0]) if c not in " \t"])
+    x = x.rewritten(_OCTETS, _numbered)
     return x.rewritten(_SPELLED, _spelled)
 
 
+def _numbered(m: re.Match) -> list[tuple[str, int, int]]:
+    plain = lambda t: t if t.isdigit() else _DIGIT.get(t.lower(), ".")
+    return [(plain(t[0]), m.start() + t.start(), m.start() + t.end()) for t in _OCTET_TOKEN.finditer(m[0])]
+
+
 def _said_addresses(x: Mapped) -> Mapped:
-    """"name at host dot tld" as an address; a lone "dot" counts only after an @ or a spelled at."""
+    """"name at host dot label" as an address; a lone "dot" counts only after an @ or a spelled at."""
     ok = [False]
 
     def to(m: re.Match) -> list[tuple[str, int, int]]:
