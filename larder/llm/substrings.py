@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import grown, partitions
-from larder.llm.memory import lean, lean_group
+from larder.llm.memory import lean, lean_group, lean_pair
 from larder.llm.words import mixed, slices
 
 WINDOW = 13
@@ -316,9 +316,9 @@ def marked(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES
     base = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int")).repartition(n, "chunk")
     sketches = base.groupBy("chunk").applyInArrow(lean_group(_sketched(plan)), _SKETCH)
     flags = sketches.groupBy("part", "shard").applyInArrow(lean_group(_merged(plan)), _FLAGS)
-    entries = base.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(lean_group(_gathered(plan)), _SKETCH)
+    entries = base.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(lean_pair(_gathered(plan)), _SKETCH)
     answers = entries.groupBy("shard").applyInArrow(lean_group(_grouped), _FLAGS)
-    return base.groupBy("chunk").cogroup(flags.unionByName(answers).groupBy("chunk")).applyInArrow(lean_group(_removed(plan)), "doc_id long, removed binary, n_words long, text string")
+    return base.groupBy("chunk").cogroup(flags.unionByName(answers).groupBy("chunk")).applyInArrow(lean_pair(_removed(plan)), "doc_id long, removed binary, n_words long, text string")
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

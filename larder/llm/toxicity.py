@@ -121,6 +121,7 @@ class Vocabulary:
         bits = min(24, len(self.known).bit_length() + 2)
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.known >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        self.term = self.term.astype(np.int32)
 
     def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are known, and their places among these."""
@@ -222,6 +223,7 @@ class Index:
         top = np.argsort(-np.bincount(terms_, minlength=size), kind="stable")[:HEAD]
         self.row = np.full(max(1, size), -1, np.int32)
         self.row[top] = np.arange(len(top))
+        weights = weights.astype(np.float32).astype(np.float64)  # what travels with the tasks is single
         head, dense = np.zeros((len(top), n)), self.row[terms_] >= 0
         head[self.row[terms_[dense]], of[dense]] = weights[dense]
         self.order = self._alike(head)
@@ -240,6 +242,14 @@ class Index:
         self.most = np.maximum.reduceat(self.weight, self.start) if len(entry) else np.zeros(0)
         self.first = np.searchsorted(terms_[self.start], np.arange(size + 1))
 
+    _WIDE = ("head", "head_most", "weight", "most")
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {c: getattr(self, c).astype(np.float32) for c in self._WIDE}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = state | {c: state[c].astype(np.float64) for c in self._WIDE}
+
     @staticmethod
     def _alike(head: np.ndarray, groups: int = 64) -> np.ndarray:
         """The examples by the nearest of some that are far from each other."""

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import pickle
 import random
 import re
 import zlib
@@ -9,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,44 @@ def test_topk_is_exact_with_ties_and_bad_vectors(spark):
     assert got == brute_topk(rows)
 
 
+def test_topk_of_large_components_and_repeated_ids(spark):
+    rows = [(0, [3e6, 0.0]), (1, [2e6, 1.0]), (2, [-1e12, 5.0]), (3, [1e12, -5.0]), (4, [1e15, 1.0]), (5, [1.0, 0.0]), (6, [1e300, 0.0])]
+    scaled = {i: [max(-(1 << 62), min(1 << 62, int(np.floor(x * 64)))) for x in v] for i, v in rows}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.search(df, F.col("vec_id") <= 5).collect()]
+    score = lambda q, c: max(-(1 << 63), min((1 << 63) - 1, sum(x * y for x, y in zip(scaled[q], scaled[c]))))
+    want = [(q, r + 1, c, s) for q in range(6) for r, (s, c) in enumerate(sorted(((score(q, c), c) for c in scaled if c != q), key=lambda x: (-x[0], x[1])))]
+    assert sorted(got) == sorted(want)
+    assert next(s for q, _, c, s in got if (q, c) == (0, 5)) == 12288000000
+    # Two vectors of one id are two queries, a repeated one is one.
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [1.0, 0.0]), (1, [2.0, 1.0]), (2, [1.0, 3.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.search(twice, F.col("vec_id") == 0).collect())
+    assert got == sorted([(0, 1, 1, 8192), (0, 2, 2, 4096), (0, 1, 2, 12288), (0, 2, 1, 4096)])
+
+
+def test_topk_leaves_cells_out(spark):
+    rng = np.random.default_rng(24)
+    centres = rng.normal(size=(6, 8)) * 50
+    rows = [(i, (centres[i % 6] + rng.normal(size=8)).tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0, k=5, sample=300, pivots=6, candidates=50).collect()}
+    assert got == brute_topk(rows, 5)
+    vectors = topk.quantised(pa.array([v for _, v in rows]), 64)[1]
+    table = topk.Pivots(np.arange(300), vectors[:300], 6)
+    x = np.stack(vectors)
+    near = table.near(x)
+    cell = table.cell(near)
+    cells = topk.Cells([(8, int(c), int((cell == c).sum()), near[cell == c].min(0).tolist(), near[cell == c].max(0).tolist()) for c in np.unique(cell)], 50)
+    blocks = cells.block(8, cell, np.arange(900))
+    start = table.start(np.arange(900), x, 5)
+    met = np.zeros((900, int(blocks.max()) + 1), bool)
+    for b, q in cells.met(8, near, start):
+        met[q, b] = True
+    scores = x @ x.T
+    assert met.mean() < 0.8  # some blocks are left out, none that holds a score over the start
+    assert all(met[q, blocks[c]] for q in range(0, 900, 20) for c in np.flatnonzero(scores[q] >= start[q]) if c != q)
+
+
 def test_topk_with_few_rows_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 2048)]
@@ -377,15 +417,15 @@ def test_nearest_is_exact(monkeypatch):
     for i in range(n):  # in groups of like ones, so that bounds leave blocks out
         t = np.unique(np.concatenate([rng.integers(0, 60, 20) + 60 * (i % 10), rng.integers(600, 620, 5)])) if i % 50 else np.zeros(0, np.int64)
         w = (rng.random(len(t)) + 0.1) * np.where(t < 600, 1, 0.1)
-        docs.append((t, w / np.sqrt((w * w).sum()) if len(w) else w))
+        docs.append((t, (w / np.sqrt((w * w).sum())).astype(np.float32).astype(float) if len(w) else w))
     docs[5] = docs[15] = docs[25]  # ties
     index = toxicity.Index(docs, rng.integers(0, 2, n), np.arange(n), size)
     dense = np.zeros((n, size))
     for i, (t, w) in enumerate(docs):
         dense[i, t] = w
     scored = []
-    add = index._search
-    monkeypatch.setattr(index, "_search", lambda *a: scored.append(add(*a)) or scored[-1])
+    add = toxicity.Index._search
+    monkeypatch.setattr(toxicity.Index, "_search", lambda self, *a: scored.append(add(self, *a)) or scored[-1])
     queries = [*docs[:130], (np.zeros(0, np.int64), np.zeros(0))]
     doc, term, weight = (np.concatenate(x) for x in zip(*((np.full(len(t), i), t, w) for i, (t, w) in enumerate(queries))))
     for without in (None, np.arange(len(queries))):
@@ -397,6 +437,7 @@ def test_nearest_is_exact(monkeypatch):
             assert places.tolist() == order and np.allclose(scores, cosine[order])
     whole = sum(((dense[:, t] @ w).round(9) > 0).sum() for t, w in queries)
     assert sum((x > 0).sum() for x in scored[: len(scored) // 2]) < whole  # blocks were left out
+    index = pickle.loads(pickle.dumps(index))
     assert np.allclose(index.cosines(doc, term, weight, len(queries)), np.stack([dense[:, t] @ w for t, w in queries]))
 
 
@@ -646,7 +687,7 @@ def test_disguises_map_back_to_the_source(text, kind, shown):
 
 def test_disguises_are_found_whatever_else_the_text_holds(spark):
     cases = [*test_disguises_map_back_to_the_source.pytestmark[0].args[1], ("jane@example dot com", "email", "jane@example dot com"), ("jane@example&#46;com", "email", "jane@example&#46;com"), ("jane@mail DOT example\tdot\tcom", "email", "jane@mail DOT example\tdot\tcom"), ("jo%40mail.com", "email", "jo%40mail.com")]
-    for end in ("", " \u2013"):  # an en dash calls for the transducers by itself
+    for end in ("", " \u2013", " " + "word " * 20_000 + "x (a) b" * 2_000):  # an en dash calls for the transducers by itself
         got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame([(i, t + end) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")).collect()}
         assert got == {i: f"{kind}:{t.index(shown)}:{t.index(shown) + len(shown)}" for i, (t, kind, shown) in enumerate(cases)}
 
@@ -665,6 +706,47 @@ def test_numbers_of_figures_and_words(spark):
     assert got == {i: f"{kind}:{t.index(shown)}:{t.index(shown) + len(shown)}" for i, (t, kind, shown) in enumerate(cases)} | {99: ""}
 
 
+def test_disguises_without_lists(spark):
+    cases = [
+        ("jane at example dot shop", "email", "jane at example dot shop"),
+        ("write jo.d at mail dot example dot museum today", "email", "jo.d at mail dot example dot museum"),
+        ("host 192 dot 168 dot 1 dot 10 is up", "ip", "192 dot 168 dot 1 dot 10"),
+        ("host one nine two dot one six eight dot one dot one is up", "ip", "one nine two dot one six eight dot one dot one"),
+        ("zehn: eins null punkt null punkt null punkt sieben", "ip", "eins null punkt null punkt null punkt sieben"),
+        ("s\u0131x.s\u0130x.\u017fix.1", "ip", "s\u0131x.s\u0130x.\u017fix.1"),
+    ]
+    clean = ["we looked at the dot of noon", "at home dot and then", "he stood at one dot and another", "at this point in time", "one dot two dot three", "version 1.2 point one", "plus one two three"]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)] + [(100 + i, t) for i, t in enumerate(clean)], "doc_id long, text string")).collect()}
+    assert got == {i: f"{kind}:{t.index(shown)}:{t.index(shown) + len(shown)}" for i, (t, kind, shown) in enumerate(cases)} | {100 + i: "" for i in range(len(clean))}
+
+
+def test_the_trigger_hides_nothing():
+    rng = random.Random(25)
+    bits = ["at", "dot", "[at]", "(dot)", "@", " @ ", ".", "one", "Two", "six", "null", "oh", "plus", "+", "+1", "12", "7", "192", "point", "punkt", "jane", "mail", "com", "shop", "&#64;", "%40", "&#46;", "é", "４", "\u200b", "-", ",", "(", ")", "ſix", "s\u0130x", "\u212a"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "  ", "\t"]) for _ in range(rng.randint(1, 14))) for _ in range(30000)]
+    odd = pa.compute.match_substring_regex(pa.array(texts), pii.TRIGGER).to_pylist()
+    assert 0.2 < sum(odd) / len(odd) < 1
+    for t, o in zip(texts, odd):
+        base = pii.base_spans(t)
+        assert o or pii.all_spans(t, base) == base
+        assert set(base) <= set(pii.all_spans(t, base))
+
+
+def test_base_cards_and_phones_match_the_plain_ones():
+    rng = random.Random(26)
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    hits = 0
+    for _ in range(20000):
+        t = "".join(rng.choice(["+", " ", "-", "(", ")", ".", "x", "4041894974608795", "4539 1488 0343 6467", *"0123456789" * 2]) for _ in range(rng.randint(1, 24)))
+        found = pii.base_spans(t)
+        cards = [m.span() for m in card.finditer(t) if 14 <= len(d := digits(m[0])) <= 19 and sum(int(c) if k % 2 == 0 else (int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) for k, c in enumerate(reversed(d))) % 10 == 0]
+        phones = [m.span() for m in phone.finditer(t) if 10 <= len(digits(m[0])) <= 15]
+        assert [x[1:] for x in found if x[0] == "card"] == cards and [x[1:] for x in found if x[0] == "phone"] == phones
+        hits += len(cards) + len(phones)
+    assert hits > 1000
+
+
 def test_pii_rows(spark):
     texts = ["x a@b.co y 4041894974608795 z +1 (274) 555-9629, 1.2.3.4", "plain words at the dot of noon", *ODD_TEXTS]
     got = {r["doc_id"]: r for r in pii.find(docs_of(spark, texts)).collect()}
