@@ -20,9 +20,9 @@ def basename(path: Column) -> Column:
 
 
 def maybe_number(x: Column) -> Column:
-    """A finite number from lenient text, else null."""
+    """A finite number from lenient text, else null; booleans count as 1 and 0."""
     t = F.trim(text_of(x))
-    value = F.when(t.rlike(NUMERIC), t).try_cast("double")
+    value = F.when(F.typeof(x) == "boolean", F.when(t == "true", 1.0).when(t == "false", 0.0)).otherwise(F.when(t.rlike(NUMERIC), t).try_cast("double"))
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
@@ -40,8 +40,10 @@ def is_blank(x: Column) -> Column:
 
 
 def comparable(x: Column) -> Column:
-    """The grouping key of a value."""
-    return F.coalesce(F.nullif(F.trim(text_of(x)), F.lit("")), F.lit(EMPTY))
+    """The grouping key of a value; numbers that aren't finite count as empty."""
+    number = F.typeof(x).isin("double", "float")
+    text = F.nullif(F.trim(text_of(x)), F.lit(""))
+    return F.coalesce(F.when(~(number & F.lower(text).isin("nan", "infinity", "-infinity")), text), F.lit(EMPTY))
 
 
 def displayed(x: Column) -> Column:

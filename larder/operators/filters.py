@@ -6,7 +6,8 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.fields import is_blank, maybe_number, rule_value, text_of
@@ -21,8 +22,34 @@ def _number(value: object) -> float | None:
     return float(text) if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", text) else None
 
 
+class PatternError(ValueError):
+    """A regular expression that the engine can't read."""
+
+
+def check_pattern(pattern: str) -> None:
+    """Raises PatternError where Java, whose dialect the filters follow, can't compile a pattern."""
+    jvm = SparkSession.active().sparkContext._jvm
+    try:
+        jvm.java.util.regex.Pattern.compile(f"(?i){pattern}")
+    except IllegalArgumentException as e:
+        raise PatternError(f"{pattern!r}: {str(e).splitlines()[0]}") from e
+
+
+def broken_patterns(groups: Mapping[str, Mapping]) -> dict[str, str]:
+    """field: what is wrong, for the fields of grouped() with a regular expression that can't be read."""
+    out = {}
+    for field, group in groups.items():
+        for c in cleaned(group["clauses"]):
+            if c["operator"] == "regex":
+                try:
+                    check_pattern(c["value"])
+                except PatternError as e:
+                    out[field] = str(e)
+    return out
+
+
 def condition(x: Column, operator: str, expected: object = "") -> Column:
-    """Whether a value meets one clause; never null. An unknown operator means contains."""
+    """Whether a value meets one clause; never null. An unknown operator means contains; a broken pattern raises PatternError."""
     wanted = "" if expected is None else str(expected)
     text, low = rule_value(x), wanted.strip().lower()
     number = _number(wanted)
@@ -44,10 +71,7 @@ def condition(x: Column, operator: str, expected: object = "") -> Column:
     if operator == "ends_with":
         return F.endswith(text, F.lit(low))
     if operator == "regex":
-        try:
-            re.compile(wanted)
-        except re.error:
-            return F.lit(False)
+        check_pattern(wanted)
         return F.coalesce(text_of(x), F.lit("")).rlike(f"(?i){wanted}")
     inside = F.contains(text, F.lit(low))
     return ~inside if operator == "not_contains" else inside

@@ -5,6 +5,7 @@ Sequences are told apart by key columns, and every window is over one sequence.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import pandas as pd
@@ -158,11 +159,14 @@ def match_boundaries(gold: DataFrame, found: DataFrame, keys: list[str], pos: st
     """
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        free, hits = sorted(left[pos]), 0
-        for p in sorted(right[pos]):
-            near = [g for g in free if abs(g - p) <= tolerance]
-            if near:
-                free.remove(min(near, key=lambda g: (abs(g - p), g)))
+        free, low, hits = sorted(left[pos]), 0, 0
+        for p in sorted(right[pos]):  # what lies before the window of one lies before those of all later ones
+            while low < len(free) and free[low] < p - tolerance:
+                low += 1
+            high = bisect_right(free, p + tolerance, low)
+            if low < high:
+                at = min(range(low, high), key=lambda i: (abs(free[i] - p), free[i]))
+                del free[at]
                 hits += 1
         first = (left if len(left) else right).iloc[0]
         return pd.DataFrame([{**{k: first[k] for k in keys}, "tp": hits, "fp": len(right) - hits, "fn": len(left) - hits}])

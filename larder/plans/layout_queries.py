@@ -8,13 +8,13 @@ from larder.operators import layout as Y
 from larder.plans.registry import query
 from larder.plans.tables import table
 
-BOXES = "SELECT l_orderkey % 500 AS page, l_orderkey AS k, l_linenumber AS n, CAST(l_partkey % 1000 AS DOUBLE) AS x0, CAST(l_partkey % 1000 + l_quantity * 20 AS DOUBLE) AS x1, CAST(l_suppkey AS DOUBLE) AS y0, 1000.0::DOUBLE AS width FROM lineitem WHERE l_orderkey % 40 < 4"
+BOXES = "SELECT CAST(l_orderkey // 4 AS BIGINT) AS page, l_orderkey AS k, l_linenumber AS n, CAST(l_partkey % 1000 AS DOUBLE) AS x0, CAST(l_partkey % 1000 + l_quantity * 20 AS DOUBLE) AS x1, CAST(l_suppkey AS DOUBLE) AS y0, 1000.0::DOUBLE AS width FROM lineitem"
 
 
 def boxes(spark, sf_dir):
-    d = table(spark, sf_dir, "lineitem").filter("l_orderkey % 40 < 4")
+    d = table(spark, sf_dir, "lineitem")
     x0 = (F.col("l_partkey") % 1000).cast("double")
-    return d.select((F.col("l_orderkey") % 500).alias("page"), F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), x0.alias("x0"), (x0 + F.col("l_quantity") * 20).alias("x1"), F.col("l_suppkey").cast("double").alias("y0"), F.lit(1000.0).alias("width"))
+    return d.select(F.floor(F.col("l_orderkey") / 4).alias("page"), F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), x0.alias("x0"), (x0 + F.col("l_quantity") * 20).alias("x1"), F.col("l_suppkey").cast("double").alias("y0"), F.lit(1000.0).alias("width"))
 
 
 BOUNDS = f"SELECT page, (x0 + nx) / 2 AS boundary FROM (SELECT *, lead(x0) OVER (PARTITION BY page ORDER BY x0) AS nx, count(*) OVER (PARTITION BY page) AS c FROM ({BOXES}) WHERE x1 - x0 < 700) WHERE c >= 4 AND nx - x0 >= 0.04 * width"
@@ -49,7 +49,7 @@ def lay_table_runs(spark, sf_dir):
 
 
 LABELLED = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents), o AS (SELECT doc_id, t, i, coalesce(sum(length(t) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM l),
-lines AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS line, s, s + length(t) AS e FROM o WHERE trim(t) <> ''), k AS (SELECT doc_id, unnest(range(0, least(n_chars, 4000), 300)) AS s FROM documents), blocks AS (SELECT doc_id, s AS bs, s + 200 AS be, CASE s // 300 % 3 WHEN 0 THEN 'OTHER' WHEN 1 THEN 'A' ELSE 'B' END AS label FROM k),
+lines AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS line, s, s + length(t) AS e FROM o WHERE trim(t) <> ''), k AS (SELECT doc_id, unnest(range(0, n_chars, 300)) AS s FROM documents), blocks AS (SELECT doc_id, s AS bs, s + 200 AS be, CASE s // 300 % 3 WHEN 0 THEN 'OTHER' WHEN 1 THEN 'A' ELSE 'B' END AS label FROM k),
 m AS (SELECT l.doc_id, line, label, row_number() OVER (PARTITION BY l.doc_id, line ORDER BY least(e, be) - greatest(s, bs) DESC, label = 'OTHER', bs, be) AS r FROM lines l JOIN blocks b ON l.doc_id = b.doc_id AND s < be AND bs < e)
 SELECT l.doc_id, CAST(l.line AS INTEGER) AS line, coalesce(label, 'OTHER') AS label FROM lines l LEFT JOIN m ON l.doc_id = m.doc_id AND l.line = m.line AND r = 1"""
 
@@ -60,7 +60,7 @@ def join_best_line_label(spark, sf_dir):
 
     d = table(spark, sf_dir, "documents")
     lines = line_offsets(d, "doc_id", "text").select("doc_id", "line", F.col("start").alias("s"), F.col("end").alias("e"))
-    starts = F.when(F.col("n_chars") > 0, F.sequence(F.lit(0).cast("long"), F.least(F.col("n_chars"), F.lit(4000)) - 1, F.lit(300).cast("long")))
+    starts = F.when(F.col("n_chars") > 0, F.sequence(F.lit(0).cast("long"), F.col("n_chars") - 1, F.lit(300).cast("long")))
     blocks = d.select("doc_id", F.explode(starts).alias("s"))
     kind = F.floor(F.col("s") / 300) % 3
     blocks = blocks.select("doc_id", "s", (F.col("s") + 200).alias("e"), F.when(kind == 0, "OTHER").when(kind == 1, "A").otherwise("B").alias("label"))

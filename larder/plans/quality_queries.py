@@ -65,12 +65,12 @@ def flt_recent(spark, sf_dir):
     return e.filter(F.col("ts").isNull() | (F.col("ts") >= F.lit(last) - F.expr("INTERVAL 3 DAYS"))).select("event_id")
 
 
-BOTH = "SELECT coalesce(c.c_custkey, s.s_suppkey) AS k, CASE WHEN c.c_custkey IS NULL THEN s.s_name ELSE c.c_name END AS name, coalesce(nullif(CASE WHEN c.c_custkey % 3 = 0 THEN '' ELSE c.c_mktsegment END, ''), s.s_name) AS info, coalesce(c.c_acctbal, s.s_acctbal) AS bal FROM (SELECT * FROM customer WHERE c_custkey % 2 = 0) c FULL JOIN supplier s ON c.c_custkey = s.s_suppkey"
+BOTH = "SELECT coalesce(c.c_custkey, s.s_suppkey) AS k, CASE WHEN c.c_custkey IS NULL THEN s.s_name ELSE c.c_name END AS name, coalesce(nullif(CASE WHEN c.c_custkey % 3 = 0 THEN '' ELSE c.c_mktsegment END, ''), s.s_name) AS info, coalesce(c.c_acctbal, s.s_acctbal) AS bal FROM (SELECT * FROM customer) c FULL JOIN (SELECT s_suppkey * 40 AS s_suppkey, s_name, s_acctbal FROM supplier) s ON c.c_custkey = s.s_suppkey"
 
 
 def _both(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("info"), F.col("c_acctbal").alias("bal"))
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_name").alias("info"), F.col("s_acctbal").alias("bal"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("info"), F.col("c_acctbal").alias("bal"))
+    s = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 40).alias("k"), F.col("s_name").alias("name"), F.col("s_name").alias("info"), F.col("s_acctbal").alias("bal"))
     return c, s
 
 
@@ -79,7 +79,7 @@ def join_merged_records(spark, sf_dir):
     return M.merged_records(*_both(spark, sf_dir), "k", ["name"])
 
 
-@query("join_appended", "SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)")
+@query("join_appended", "SELECT c_custkey AS k, c_name AS name FROM customer UNION ALL SELECT s_suppkey * 40, s_name FROM supplier WHERE s_suppkey * 40 NOT IN (SELECT c_custkey FROM customer)")
 def join_appended(spark, sf_dir):
     c, s = _both(spark, sf_dir)
     return M.appended(c.select("k", "name"), s.select("k", "name"), ["k"])
@@ -106,13 +106,13 @@ def join_ownership(spark, sf_dir):
 
 @query(
     "join_ranked_identity",
-    """WITH g AS (SELECT event_id AS i, user_id, event_type, event_id // 4 AS b FROM events WHERE event_id % 4 = 0), f AS (SELECT event_id AS j, user_id, event_type, event_id // 4 AS b FROM events WHERE event_id % 4 = 1),
+    """WITH g AS (SELECT event_id AS i, user_id, event_type, event_id // 4 AS b FROM events WHERE event_id % 2 = 0), f AS (SELECT event_id AS j, user_id, event_type, event_id // 4 AS b FROM events WHERE event_id % 2 = 1),
     m AS (SELECT i, j, 'block' AS way, 0 AS r FROM g JOIN f USING (b, event_type) UNION ALL SELECT i, j, 'user', 1 FROM g JOIN f USING (user_id, event_type))
     SELECT i, j, way FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY r, j) AS k FROM m) WHERE k = 1""",
 )
 def join_ranked_identity(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("b", (F.col("event_id") / 4).cast("long"))
-    g, f = e.filter("event_id % 4 = 0").withColumnRenamed("event_id", "i"), e.filter("event_id % 4 = 1").withColumnRenamed("event_id", "j")
+    g, f = e.filter("event_id % 2 = 0").withColumnRenamed("event_id", "i"), e.filter("event_id % 2 = 1").withColumnRenamed("event_id", "j")
     return M.ranked_identity(g, f, [("block", ["b", "event_type"]), ("user", ["user_id", "event_type"])], "i", "j")
 
 

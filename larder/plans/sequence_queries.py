@@ -14,15 +14,16 @@ from larder.plans.views import SPANS_SQL, lines, spans
 
 SEQ = "SELECT CAST(event_id // 500 AS BIGINT) AS src, event_id AS pos, event_type AS label, value FROM events"
 ISLANDS = f"SELECT src, label, min(pos) AS start, max(pos) AS \"end\", count(*) AS n FROM (SELECT *, pos - row_number() OVER (PARTITION BY src, label ORDER BY pos) AS i FROM ({SEQ})) GROUP BY src, label, i"
-HALF = f"SELECT src, s AS start, e + 1 AS \"end\" FROM ({SPANS_SQL}) WHERE id % 11 = 0"
+HALF_OPEN = "SELECT user_id AS src, event_id AS start, event_id + 1 + event_id % 700 AS \"end\" FROM events"
 
 
 def seq(spark, sf_dir):
     return table(spark, sf_dir, "events").select((F.col("event_id") / 500).cast("long").alias("src"), F.col("event_id").alias("pos"), F.col("event_type").alias("label"), "value")
 
 
-def half(spark, sf_dir):
-    return spans(spark, sf_dir).filter("id % 11 = 0").select("src", F.col("s").alias("start"), (F.col("e") + 1).alias("end"))
+def half_open(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("user_id").alias("src"), F.col("event_id").alias("start"), (F.col("event_id") + 1 + F.col("event_id") % 700).alias("end"))
 
 
 @query("seq_islands", ISLANDS)
@@ -64,12 +65,12 @@ def seq_counted_ahead(spark, sf_dir):
 
 
 MERGED = f"""SELECT src, min(start) AS start, max("end") AS "end" FROM (SELECT *, sum(n) OVER (PARTITION BY src ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS g FROM
-(SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY src ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM ({HALF}))) GROUP BY src, g"""
+(SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY src ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM ({HALF_OPEN}))) GROUP BY src, g"""
 
 
 @query("seq_merged", MERGED)
 def seq_merged(spark, sf_dir):
-    return S.merged(half(spark, sf_dir), ["src"])
+    return S.merged(half_open(spark, sf_dir), ["src"])
 
 
 @query(
@@ -78,7 +79,7 @@ def seq_merged(spark, sf_dir):
     g AS (SELECT src, coalesce(lag("end") OVER (PARTITION BY src ORDER BY start, "end"), 0) AS start, start AS "end" FROM u) SELECT * FROM g WHERE start < "end" """,
 )
 def seq_complement(spark, sf_dir):
-    h = half(spark, sf_dir)
+    h = half_open(spark, sf_dir)
     totals = h.groupBy("src").agg((F.max("end") + 5).alias("total"))
     return S.complement(h, ["src"], totals)
 
@@ -152,14 +153,14 @@ def seq_boundary_scores(spark, sf_dir):
     return scores.withColumns({c: F.round(c, 6) for c in ("precision", "f1")})
 
 
-G, P = f"SELECT * FROM ({SPANS_SQL}) WHERE gold AND id % 3 = 0", f"SELECT * FROM ({SPANS_SQL}) WHERE NOT gold"
+G, P = f"SELECT * FROM ({SPANS_SQL}) WHERE gold", f"SELECT * FROM ({SPANS_SQL}) WHERE NOT gold"
 PAIRS = f"""SELECT g.id, p.id AS found_id, g.s, g.e, p.s AS fs, p.e AS fe, (least(g.e, p.e) - greatest(g.s, p.s) + 1) AS o FROM ({G}) g JOIN ({P}) p ON g.src = p.src AND g.label = p.label AND g.s <= p.e AND p.s <= g.e"""
 BEST = f"SELECT *, o / ((e - s + 1) + (fe - fs + 1) - o) AS iou FROM ({PAIRS})"
 
 
 def gold_and_found(spark, sf_dir):
     s = spans(spark, sf_dir)
-    return s.filter("gold AND id % 3 = 0"), s.filter("NOT gold")
+    return s.filter("gold"), s.filter("NOT gold")
 
 
 @query("join_overlap", f"SELECT id, found_id, CAST(o AS BIGINT) AS o FROM ({PAIRS})")
@@ -194,12 +195,12 @@ def join_overlap_anti(spark, sf_dir):
 
 @query(
     "join_span_labels",
-    f"""WITH r AS (SELECT DISTINCT src, s AS pos FROM ({SPANS_SQL}) WHERE id % 5 = 0), h AS (SELECT r.src, r.pos, list_sort(list_distinct(list(p.label))) AS l FROM r JOIN ({G}) p ON r.src = p.src AND r.pos BETWEEN p.s AND p.e GROUP BY ALL)
+    f"""WITH r AS (SELECT DISTINCT src, s AS pos FROM ({SPANS_SQL})), h AS (SELECT r.src, r.pos, list_sort(list_distinct(list(p.label))) AS l FROM r JOIN ({G}) p ON r.src = p.src AND r.pos BETWEEN p.s AND p.e GROUP BY ALL)
     SELECT src, pos, array_to_string(coalesce(l, ['OTHER']), ',') AS labels FROM r LEFT JOIN h USING (src, pos)""",
 )
 def join_span_labels(spark, sf_dir):
     g, _ = gold_and_found(spark, sf_dir)
-    rows = spans(spark, sf_dir).filter("id % 5 = 0").select("src", F.col("s").alias("pos")).distinct()
+    rows = spans(spark, sf_dir).select("src", F.col("s").alias("pos")).distinct()
     return I.labels_of(rows, g, ["src"], "pos", width=8).withColumn("labels", F.array_join("labels", ","))
 
 
@@ -380,17 +381,23 @@ def ded_line_offsets(spark, sf_dir):
     return line_offsets(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "line", "start", "end")
 
 
-CLUSTERS = f"""SELECT *, sum(n) OVER (PARTITION BY src ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) - 1 AS cluster FROM (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY src ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM ({SPANS_SQL}) WHERE id % 11 = 0)"""
+CLUSTERS = """SELECT *, sum(n) OVER (PARTITION BY src ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) - 1 AS cluster FROM (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY src ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM
+(SELECT event_id AS id, user_id AS src, event_id AS s, event_id + event_id % 700 AS e FROM events))"""
+
+
+def spread(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_id").alias("id"), F.col("user_id").alias("src"), F.col("event_id").alias("s"), (F.col("event_id") + F.col("event_id") % 700).alias("e"))
 
 
 @query("seq_clusters", f"SELECT src, CAST(cluster AS BIGINT) AS cluster, count(*) AS n FROM ({CLUSTERS}) GROUP BY ALL")
 def seq_clusters(spark, sf_dir):
-    return S.clusters(spans(spark, sf_dir).filter("id % 11 = 0"), ["src"], "s", "e").groupBy("src", "cluster").agg(F.count("*").alias("n"))
+    return S.clusters(spread(spark, sf_dir), ["src"], "s", "e").groupBy("src", "cluster").agg(F.count("*").alias("n"))
 
 
 @query("seq_best_of_clusters", f"SELECT id FROM (SELECT *, row_number() OVER (PARTITION BY src, cluster ORDER BY id % 5 DESC, s, e - s, id) AS r FROM ({CLUSTERS})) WHERE r = 1")
 def seq_best_of_clusters(spark, sf_dir):
-    d = spans(spark, sf_dir).filter("id % 11 = 0").withColumn("score", F.col("id") % 5)
+    d = spread(spark, sf_dir).withColumn("score", F.col("id") % 5)
     return S.best_of_clusters(d, ["src"], "s", "e", "score", ["id"]).select("id")
 
 

@@ -61,9 +61,10 @@ def txt_keyword_score(spark, sf_dir):
     return _on_docs(spark, sf_dir, s=F.round(T.keyword_score(F.col("text"), {r"\bthe\b": (0.02, 0.6), "[.]": (0.1, 0.5)}), 6))
 
 
-@query("txt_jaccard", "WITH w AS (SELECT doc_id, list_distinct(string_split(left(text, 400), ' ')) AS a, list_distinct(string_split(right(text, 400), ' ')) AS b FROM documents) SELECT doc_id, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS j FROM w")
+@query("txt_jaccard", "WITH w AS (SELECT doc_id, list_distinct(string_split(left(text, length(text) // 2), ' ')) AS a, list_distinct(string_split(substr(text, length(text) // 2 + 1), ' ')) AS b FROM documents) SELECT doc_id, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS j FROM w")
 def txt_jaccard(spark, sf_dir):
-    a, b = F.split(F.substring("text", 1, 400), " "), F.split(F.right("text", F.lit(400)), " ")
+    middle = F.floor(F.char_length("text") / 2).cast("int")
+    a, b = F.split(F.substring("text", F.lit(1), middle), " "), F.split(F.substring("text", middle + 1, F.char_length("text")), " ")
     return _on_docs(spark, sf_dir, j=F.round(T.jaccard(a, b), 6))
 
 
@@ -143,11 +144,12 @@ def src_markdown_blocks(spark, sf_dir):
     return markdown_blocks(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("src_line_ranges", r"SELECT doc_id, CAST(length(left(text, 200)) - length(replace(left(text, 200), chr(10), '')) + 1 AS INTEGER) AS first_line, CAST(length(left(text, 600)) - length(replace(left(text, 600), chr(10), '')) + 1 AS INTEGER) AS last_line FROM documents")
+@query("src_line_ranges", r"SELECT doc_id, CAST(length(left(text, length(text) // 3)) - length(replace(left(text, length(text) // 3), chr(10), '')) + 1 AS INTEGER) AS first_line, CAST(length(left(text, length(text) // 3 * 2)) - length(replace(left(text, length(text) // 3 * 2), chr(10), '')) + 1 AS INTEGER) AS last_line FROM documents")
 def src_line_ranges(spark, sf_dir):
     from larder.sources.lines import line_at
 
-    return _on_docs(spark, sf_dir, first_line=line_at(F.col("text"), F.lit(200)), last_line=line_at(F.col("text"), F.lit(600)))
+    third = F.floor(F.char_length("text") / 3).cast("int")
+    return _on_docs(spark, sf_dir, first_line=line_at(F.col("text"), third), last_line=line_at(F.col("text"), third * 2))
 
 
 @query("src_wrapped_lines", r"""WITH l AS (SELECT doc_id, line, trim(text) AS t FROM (""" + LINES + r""") WHERE trim(text) <> ''), s AS (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR regexp_matches(lag(t) OVER w, '[.!?]$') OR regexp_matches(t, '^(\d+[.)]|[-*•])') THEN 1 ELSE 0 END AS b FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY line)),

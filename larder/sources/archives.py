@@ -11,7 +11,9 @@ import json
 import posixpath
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from larder.sources.html import _parsed
 
 _HTML_TYPES = ("application/xhtml+xml", "text/html")
+#: What unreadable files raise.
+_BROKEN = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, KeyError, StopIteration, IndexError, ValueError, AttributeError, OSError, RuntimeError, NotImplementedError)
 _SKIPPED = re.compile(r"(?:^|[/_.-])(?:nav|toc|contents)(?:[/_.-]|$)", re.I)
 
 
@@ -29,22 +33,27 @@ def binary(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def _mapped(df: DataFrame, parse, columns: str) -> DataFrame:
-    names = ["path", *(c.split()[0] for c in columns.split(", "))]
+    """The rows that parse() finds in each file; of a file that it can't read one row, with the error."""
+    names = ["path", *(c.split()[0] for c in columns.split(", ")), "error"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                yield pd.DataFrame([(path, *r) for r in parse(content)], columns=names)
+                try:
+                    rows = [(path, *r, None) for r in parse(content)]
+                except (*_BROKEN,) as e:
+                    rows = [(path, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return df.mapInPandas(run, f"path string, {columns}")
+    return df.mapInPandas(run, f"path string, {columns}, error string")
 
 
 def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
 
-def spine(content: bytes) -> list[tuple[str, bytes]]:
-    """(name, bytes) of an EPUB's reading order, without navigation and tables of contents."""
+def spine(content: bytes) -> list[tuple[str, bytes | None]]:
+    """(name, bytes) of an EPUB's reading order, without navigation and tables of contents; no bytes where the book lacks the file."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
         container = ElementTree.fromstring(z.read("META-INF/container.xml"))
@@ -56,17 +65,20 @@ def spine(content: bytes) -> list[tuple[str, bytes]]:
             item = items.get(ref)
             if item is None or item.get("media-type") not in _HTML_TYPES or "nav" in (item.get("properties") or "").split():
                 continue
-            name = posixpath.normpath(posixpath.join(posixpath.dirname(package), item.get("href")))
-            if name in names and not _SKIPPED.search(posixpath.basename(name)) and ref.lower() not in ("nav", "toc"):
-                out.append((name, z.read(name)))
+            name = posixpath.normpath(posixpath.join(posixpath.dirname(package), unquote(item.get("href").partition("#")[0])))
+            if not _SKIPPED.search(posixpath.basename(name)) and ref.lower() not in ("nav", "toc"):
+                out.append((name, z.read(name) if name in names else None))
         return out
 
 
 def epub_blocks(files: DataFrame) -> DataFrame:
-    """path, spine, document, block, tag, depth, text of every EPUB of path, content."""
+    """path, spine, document, block, tag, depth, text, error of every EPUB of path, content; a file that the book lacks is a row of tag "missing"."""
 
     def parse(content: bytes) -> Iterator[tuple]:
         for i, (name, data) in enumerate(spine(content)):
+            if data is None:
+                yield i, name, 0, "missing", 0, None
+                continue
             for k, (tag, depth, text) in enumerate(_parsed(data.decode("utf-8", "replace"))):
                 yield i, name, k, tag, depth, text
 
@@ -110,7 +122,7 @@ def grid(content: bytes) -> Iterator[tuple[str, int, int, str]]:
 
 
 def sheet_cells(files: DataFrame) -> DataFrame:
-    """path, sheet, row, col, text of every workbook of path, content."""
+    """path, sheet, row, col, text, error of every workbook of path, content."""
     return _mapped(files, grid, "sheet string, row int, col int, text string")
 
 
@@ -166,7 +178,7 @@ def tall_records(cells: DataFrame) -> DataFrame:
 
 
 def app_records(files: DataFrame) -> DataFrame:
-    """path, entry, name, ingredients, directions, servings, source of exports that zip a compressed JSON for each recipe."""
+    """path, entry, name, ingredients, directions, servings, source, error of exports that zip a compressed JSON for each recipe."""
 
     def parse(content: bytes) -> Iterator[tuple]:
         with zipfile.ZipFile(io.BytesIO(content)) as z:

@@ -49,6 +49,11 @@ def _texts(value: object) -> list[str]:
     return [t for t in (" ".join(str(x).split()) for x in found) if t]
 
 
+def _first(value: object) -> str | None:
+    """The first text of a value that may be a text, a number, or a list of these."""
+    return next(iter(_texts(value)), None)
+
+
 def schema_recipes(pages: DataFrame, key: str, html: str) -> DataFrame:
     """key, recipe, signature, name, ingredients, steps, yield, total_time: a row for each different recipe object of a page."""
 
@@ -67,7 +72,7 @@ def schema_recipes(pages: DataFrame, key: str, html: str) -> DataFrame:
                         sign = canonical_hash(r)
                         if sign not in seen:
                             seen.add(sign)
-                            rows.append((k, len(seen) - 1, sign, r.get("name"), _texts(r.get("recipeIngredient")), list(dict.fromkeys(_steps(r.get("recipeInstructions")))), next(iter(_texts(r.get("recipeYield"))), None), r.get("totalTime")))
+                            rows.append((k, len(seen) - 1, sign, _first(r.get("name")), _texts(r.get("recipeIngredient")), list(dict.fromkeys(_steps(r.get("recipeInstructions")))), _first(r.get("recipeYield")), _first(r.get("totalTime"))))
             yield pd.DataFrame(rows, columns=names)
 
     kind = pages.schema[key].dataType.simpleString()

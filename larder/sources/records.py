@@ -61,13 +61,17 @@ def with_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns))
 
 
+_CSV = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def append_history(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    with_columns(df, columns).write.mode("append").option("header", "true").option("emptyValue", "").csv(path)
+    """Adds rows; cells may hold quotes and line breaks."""
+    with_columns(df, columns).write.mode("append").options(**_CSV).option("quoteAll", "true").csv(path)
 
 
 def read_history(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    return spark.read.schema(schema).options(**_CSV).option("multiLine", "true").csv(path)
 
 
 def backfilled(history: DataFrame, more: DataFrame, key: str) -> DataFrame:

@@ -83,3 +83,22 @@ def test_texts_with_several_recipes(spark):
     texts = [(1, "Apple Pie\nServes 4\napples\n\nBean Soup\n\nServes six\nbeans"), (2, "# One\na\n===\n# Two\nb"), (3, "# One\na\n# Two\nb"), (4, "just\ntext"), (5, "Only One\nServes 2\nx")]
     got = recipes.split_texts(spark.createDataFrame(texts, "id int, t string"), "id", "t").orderBy("id", "part").collect()
     assert [(r["id"], r["part"], r["text"]) for r in got] == [(1, 0, "Apple Pie\nServes 4\napples"), (1, 1, "Bean Soup\n\nServes six\nbeans"), (2, 0, "# One\na"), (2, 1, "# Two\nb"), (3, 0, "# One\na"), (3, 1, "# Two\nb"), (4, 0, "just\ntext"), (5, 0, "Only One\nServes 2\nx")]
+
+
+def test_books_with_encoded_names_missing_files_and_no_book(spark, tmp_path):
+    opf = """<package xmlns="http://www.idpf.org/2007/opf"><manifest><item id="a" href="chapter%201.xhtml#top" media-type="application/xhtml+xml"/><item id="b" href="lost.xhtml" media-type="application/xhtml+xml"/></manifest>
+    <spine><itemref idref="a"/><itemref idref="b"/></spine></package>"""
+    book = zipped({"META-INF/container.xml": '<container><rootfiles><rootfile full-path="p.opf"/></rootfiles></container>', "p.opf": opf, "chapter 1.xhtml": "<p>A</p>"})
+    as_files(spark, tmp_path, "good.epub", book)
+    as_files(spark, tmp_path, "bad.epub", b"no zip")
+    as_files(spark, tmp_path, "odd.epub", zipped({"x": "y"}))
+    got = archives.epub_blocks(archives.binary(spark, str(tmp_path), "*.epub")).collect()
+    assert sorted((r["document"], r["tag"], r["text"]) for r in got if r["error"] is None) == [("chapter 1.xhtml", "p", "A"), ("lost.xhtml", "missing", None)]
+    assert sorted((r["path"].rsplit("/", 1)[1], r["error"].split(":")[0]) for r in got if r["error"]) == [("bad.epub", "BadZipFile"), ("odd.epub", "KeyError")]
+
+
+def test_schema_fields_that_are_lists(spark):
+    ld = json.dumps({"@type": "Recipe", "name": ["Pie", "Tart"], "totalTime": ["PT5M"], "recipeYield": 4, "recipeIngredient": "salt", "recipeInstructions": "Mix."})
+    page = f'<script type="application/ld+json">{ld}</script>'
+    r = recipes.schema_recipes(spark.createDataFrame([(1, page)], "id int, html string"), "id", "html").first()
+    assert (r["name"], r["total_time"], r["yield"], r["ingredients"]) == ("Pie", "PT5M", "4", ["salt"])

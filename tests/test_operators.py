@@ -98,3 +98,41 @@ def test_queries_that_cannot_be_answered(spark):
     assert [r["field"] for r in facade.analyze(df, {"compare": "c"}, ["g", "c", "o"]).collect()] == ["g"]
     assert facade.weak_coverage(100, 10, 10, 2) == ["under 60 % of the rows are compared", "under 60 % of the strata hold several groups", "under 20 rows are compared", "under 3 strata are compared"]
     assert facade.weak_coverage(100, 90, 10, 9) == []
+
+
+def test_semi_and_anti_keep_rows_as_they_are(spark):
+    from larder.operators import intervals as I
+
+    left = spark.createDataFrame([("a", 0, 3, None), ("a", 0, 3, None), ("a", 50, 60, None), ("a", 50, 60, "x"), (None, 0, 3, "n"), ("a", None, 3, "n")], "k string, s long, e long, note string")
+    right = spark.createDataFrame([("a", 2, 10**9), ("a", 100, 200), ("b", 0, 5)], "k string, s2 long, e2 long").filter("s2 <> 2 OR k = 'b'").unionByName(spark.createDataFrame([("a", 3, 20)], "k string, s2 long, e2 long"))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    semi = rows(I.overlap_join(left, right, ["k"], ("s", "e", "s2", "e2"), 4, how="left_semi"))
+    anti = rows(I.overlap_join(left, right, ["k"], ("s", "e", "s2", "e2"), 4, how="left_anti"))
+    assert semi == [("a", 0, 3, None)] * 2 and sorted(semi + anti, key=str) == rows(left)
+
+
+def test_intervals_of_all_lengths_meet_once(spark):
+    import random
+
+    from larder.operators import intervals as I
+
+    rng = random.Random(1)
+    make = lambda n: [(i, rng.choice("ab"), s, s + rng.choice([0, 3, 50, 4000, 10**6])) for i in range(n) for s in [rng.randint(-2000, 10**6)]]
+    a, b = make(150) + [(999, "a", 0, 10**9)], make(150)
+    got = sorted((r["i"], r["j"]) for r in I.overlap_join(spark.createDataFrame(a, "i long, k string, s long, e long"), spark.createDataFrame(b, "j long, k string, s2 long, e2 long"), ["k"], ("s", "e", "s2", "e2"), 8).collect())
+    assert got == sorted((i, j) for i, k, s, e in a for j, k2, s2, e2 in b if k == k2 and s <= e2 and s2 <= e)
+
+
+def test_broken_patterns_are_errors(spark):
+    from larder.operators import filters as P
+
+    with pytest.raises(P.PatternError):
+        P.condition(F.lit("x"), "regex", "(")
+    groups = {"a": {"clauses": [{"operator": "regex", "value": "["}]}, "b": {"clauses": [{"operator": "regex", "value": "ok+"}]}}
+    assert list(P.broken_patterns(groups)) == ["a"]
+
+
+def test_numbers_of_booleans_and_groups_of_no_number(spark):
+    df = spark.createDataFrame([(True, 1.0), (False, float("nan")), (None, float("inf"))], "b boolean, x double")
+    assert [r[0] for r in df.select(X.maybe_number(F.col("b"))).collect()] == [1.0, 0.0, None]
+    assert len({r[0] for r in df.select(X.comparable(F.col("x"))).collect()}) == 2

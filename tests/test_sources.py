@@ -40,6 +40,14 @@ def test_history(spark, tmp_path):
     assert sorted((r["run"], r["note"]) for r in filled.collect()) == [("r1", "from"), ("r2", "n")]
 
 
+def test_history_cells_with_breaks_and_quotes(spark, tmp_path):
+    path, columns = str(tmp_path / "history"), ["run", "note"]
+    notes = ["one\ntwo", 'say "x", then\r\ny', "  blanks  ", "", None, "a,b"]
+    records.append_history(spark.createDataFrame(list(zip(map(str, range(6)), notes)), "run string, note string"), path, columns)
+    got = {r["run"]: r["note"] or "" for r in records.read_history(spark, path, columns).collect()}
+    assert got == {str(i): n or "" for i, n in enumerate(notes)}
+
+
 def test_files_and_ranges(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.txt").write_text("abc")
