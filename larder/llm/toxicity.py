@@ -40,7 +40,7 @@ from larder.llm.memory import lean, trim
 from larder.llm.words import NOT_LETTERS, slices
 
 #: Labelled documents of each label that the index holds at most.
-PER_CLASS = 2000
+PER_CLASS = 1500
 VOCABULARY = 4096
 #: How much more the chosen terms weigh.
 MARKED = 16.0
