@@ -23,7 +23,7 @@ def standard_whitespace(x: Column) -> Column:
     """No-break spaces and carriage returns replaced, blanks collapsed within lines, lines stripped."""
     t = F.regexp_replace(F.regexp_replace(x, " ", " "), r"\r\n?", "\n")
     t = F.regexp_replace(t, r"[ \t\x0B\f]+", " ")
-    return F.trim(F.regexp_replace(t, r" ?\n ?", "\n"))
+    return F.regexp_replace(F.regexp_replace(t, r" ?\n ?", "\n"), r"^\s+|\s+$", "")
 
 
 def joined_hyphens(x: Column) -> Column:
