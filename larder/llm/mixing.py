@@ -17,7 +17,6 @@ take the place of columns of the same name (whatever the case of its letters).
 
 from __future__ import annotations
 
-import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -40,7 +39,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 def topic(text: Column) -> Column:
     """A coarse topic by the whole text's form: its share of capitals, length and lines."""
     n, lines = F.char_length(text), F.char_length(text) - F.char_length(F.replace(text, F.lit("\n")))
-    capitals = F.char_length(text) - F.char_length(F.translate(text, string.ascii_uppercase, ""))
+    capitals = F.regexp_count(text, F.lit("[A-Z]"))
     return F.when((n > 0) & (capitals * 10 >= n * 3), "loud").when(n < 500, "note").when(n >= 10000, "book").when(lines * 200 >= n, "list").otherwise("prose")
 
 
