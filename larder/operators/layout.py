@@ -68,3 +68,33 @@ def peer_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     middle = df.agg(F.percentile(value, 0.5).alias("m")).first()["m"]  # one value
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(value), group))
     return df.select(group, value, place.alias("place"), (F.col(value) / F.lit(middle) if middle and middle > 0 else F.lit(None).cast("double")).alias("ratio"))
+
+
+def with_headers(cells: Column, second: Column, divider: Column) -> Column:
+    """A struct of headers (null for none) and why, from the first row's cells, the second's, and whether the second is a divider of dashes.
+
+    Without a divider the first row is a header where none of its cells has a digit and some cell of the second has one.
+    """
+    digit = lambda c: F.exists(c, lambda v: v.rlike(r"\d"))
+    looks = ~digit(cells) & digit(second) & ~F.exists(cells, lambda v: F.trim(v) == "")
+    named = F.transform(cells, lambda v, i: F.when(F.trim(v) == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).otherwise(F.trim(v)))
+    why = F.when(F.coalesce(divider, F.lit(False)), "divider").when(F.coalesce(looks, F.lit(False)), "first row")
+    return F.struct(F.when(why.isNotNull(), named).alias("headers"), why.alias("why"))
+
+
+def flattened_table(text: Column, least: int = 3) -> Column:
+    """A struct of headers and rows of a table of two columns that was run into one line, such as 'Fahrenheit Celsius 300 150 350 175 400 205'; null where it isn't one.
+
+    Headers are the words before the first number, in halves; values are numbers with their units.
+    """
+    t = F.trim(F.regexp_replace(text, r"\s+", " "))
+    value = r"\d+(?:[./]\d+)?(?:\s*(?:°[FC]?|%|[a-zA-Z]{1,12}\.?))?"
+    head = F.filter(F.split(F.regexp_extract(t, r"^([^\d]+?)\s*(?=\d)", 1), " "), lambda w: w != "")
+    values = F.regexp_extract_all(t, F.lit(value), F.lit(0))
+    body = F.regexp_replace(t, r"^[^\d]+", "")
+    left = F.regexp_replace(F.regexp_replace(body, value, ""), r"\s+", "")
+    half = F.floor(F.size(head) / 2).cast("int")
+    headers = F.array(F.array_join(F.slice(head, F.lit(1), half), " "), F.array_join(F.slice(head, half + 1, F.size(head)), " "))
+    rows = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.size(values) / 2).cast("int") - 1)), lambda i: F.array(F.trim(F.get(values, 2 * i)), F.trim(F.get(values, 2 * i + 1))))
+    ok = (F.size(head) >= 2) & (F.size(head) % 2 == 0) & (F.size(values) % 2 == 0) & (F.size(values) >= 2 * least) & (left == "")
+    return F.when(ok, F.struct(headers.alias("headers"), rows.alias("rows")))
