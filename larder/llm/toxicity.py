@@ -27,7 +27,7 @@ rows without an id are scored like others; equal cosines go to the smaller id; o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import settled
-from larder.llm.memory import lean, trim
+from larder.llm.memory import lean, settle_in, trim
 from larder.llm.words import NOT_LETTERS, slices
 
 #: Labelled documents of each label that the index holds at most.
@@ -103,25 +103,17 @@ def _among(known: np.ndarray, found: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found if len(known) else np.zeros(len(found), bool)
 
 
-@dataclass
 class Vocabulary:
     """Terms: hashes, and how often a document must hold each. `first` tells where the hashes of equal high bits begin."""
 
-    hashes: np.ndarray
-    least: np.ndarray
-    known: np.ndarray = field(init=False)
-    first: np.ndarray = field(init=False)
-    shift: np.uint64 = field(init=False)
-    term: np.ndarray = field(init=False)
-
-    def __post_init__(self):
-        self.known, at = np.unique(self.hashes, return_inverse=True)
-        self.term = np.full((max(1, len(self.known)), TIMES), -1)
-        self.term[at, self.least - 1] = np.arange(len(self.hashes))
+    def __init__(self, hashes: np.ndarray, least: np.ndarray):
+        self.size = len(hashes)
+        self.known, at = np.unique(hashes, return_inverse=True)
+        self.term = np.full((max(1, len(self.known)), TIMES), -1, np.int32)
+        self.term[at, least - 1] = np.arange(len(hashes))
         bits = min(24, len(self.known).bit_length() + 2)
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.known >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
-        self.term = self.term.astype(np.int32)
 
     def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are known, and their places among these."""
@@ -155,14 +147,14 @@ class Vocabulary:
             yield row, n, *self.find(of, hashes)
 
 
-def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, wholes: list[int], chi_least: float = CHI) -> Vocabulary:
-    """The terms that mark toxic examples, by sequential covering.
+def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray, wholes: list[int], chi_least: float = CHI) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the terms that mark toxic examples, and how often a document must hold each, by sequential covering.
 
     The best term by chi-square is taken and the examples that hold it leave; so words that only go along
     with it, as those of documents copied many times, don't count. Examples with equal terms (`wholes`: hashes
     of all their terms) count once. A term must be toxic in at least half of its examples, counted with the labels' weights.
     """
-    none = Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     distinct = {(w, int(t)): i for i, (w, t) in reversed(list(enumerate(zip(wholes, toxic))))}
     kept = sorted(distinct.values())
     found, counts, toxic = [found[i] for i in kept], [counts[i] for i in kept], toxic[kept]
@@ -201,7 +193,7 @@ def _chosen(found: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray
         out.append(int(ids[best]))
         stays = ~np.isin(doc, doc[at == ids[best]])
         at, doc = at[stays], doc[stays]
-    return Vocabulary(hashes[[k % size for k in out]], np.array([k // size + 1 for k in out], np.int64)) if out else none
+    return (hashes[[k % size for k in out]], np.array([k // size + 1 for k in out], np.int64)) if out else none
 
 
 def _expanded(start: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -217,38 +209,45 @@ class Index:
 
     def __init__(self, docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, ids: np.ndarray, size: int):
         self.toxic, self.ids, n = toxic, ids, len(docs)
-        terms_ = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in docs)]).astype(np.int64)
-        weights = np.concatenate([np.zeros(0), *(w for _, w in docs)])
+        # Weights are single: products and sums of them are double, and exactly those of the same numbers as doubles.
+        terms_ = np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in docs)])
+        weights = np.concatenate([np.zeros(0, np.float32), *(w.astype(np.float32) for _, w in docs)])
         of = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in docs])
         top = np.argsort(-np.bincount(terms_, minlength=size), kind="stable")[:HEAD]
         self.row = np.full(max(1, size), -1, np.int32)
         self.row[top] = np.arange(len(top))
-        weights = weights.astype(np.float32).astype(np.float64)  # what travels with the tasks is single
-        head, dense = np.zeros((len(top), n)), self.row[terms_] >= 0
+        head, dense = np.zeros((len(top), n), np.float32), self.row[terms_] >= 0
         head[self.row[terms_[dense]], of[dense]] = weights[dense]
         self.order = self._alike(head)
         self.blocks = -(-n // BLOCK)
         self.head = np.zeros((len(top), self.blocks * BLOCK))
         self.head[:, :n] = head[:, self.order]
-        self.head_most = self.head.reshape(len(top), self.blocks, BLOCK).max(2) if n else np.zeros((len(top), 0))
-        terms_, place, weights = terms_[~dense], np.argsort(self.order)[of[~dense]], weights[~dense]
+        del head
+        terms_, place, weights = terms_[~dense], np.argsort(self.order).astype(np.int32)[of[~dense]], weights[~dense]
         by_term = np.lexsort((place, terms_))
-        terms_, self.place, self.weight = terms_[by_term], place[by_term].astype(np.int32), weights[by_term]
+        terms_, self.place, self.weight = terms_[by_term], place[by_term], weights[by_term]
+        del by_term, place, weights
         # An entry is what a term has in a block.
-        entry = terms_ * max(1, self.blocks) + self.place // BLOCK
-        self.start = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]])) if len(entry) else np.zeros(0, np.int64)
-        self.many = np.diff(np.append(self.start, len(entry)))
-        self.block = (self.place[self.start] // BLOCK).astype(np.int32)
-        self.most = np.maximum.reduceat(self.weight, self.start) if len(entry) else np.zeros(0)
-        self.first = np.searchsorted(terms_[self.start], np.arange(size + 1))
-
-    _WIDE = ("head", "head_most", "weight", "most")
+        block, new = self.place // BLOCK, np.ones(len(terms_), bool)
+        new[1:] = (terms_[1:] != terms_[:-1]) | (block[1:] != block[:-1])
+        self.start = np.flatnonzero(new).astype(np.int32)
+        self.first = np.searchsorted(terms_[self.start], np.arange(size + 1, dtype=np.int32)).astype(np.int32)
+        self._derive()
+
+    def _derive(self) -> None:
+        """What follows from the rest, and so doesn't travel."""
+        self.head_most = self.head.reshape(len(self.head), self.blocks, BLOCK).max(2) if self.blocks else np.zeros((len(self.head), 0))
+        self.many = np.diff(np.append(self.start, np.int32(len(self.place))))
+        self.block = self.place[self.start] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, self.start) if len(self.start) else np.zeros(0, np.float32)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {c: getattr(self, c).astype(np.float32) for c in self._WIDE}
+        kept = {c: v for c, v in self.__dict__.items() if c not in ("head_most", "many", "block", "most")}
+        return kept | {"head": self.head.astype(np.float32)}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__ = state | {c: state[c].astype(np.float64) for c in self._WIDE}
+        self.__dict__ = state | {"head": state["head"].astype(np.float64)}
+        self._derive()
 
     @staticmethod
     def _alike(head: np.ndarray, groups: int = 64) -> np.ndarray:
@@ -358,6 +357,7 @@ def _isotonic(vote: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS) -> Model:
     """Learns from the labels of documents for which `learn` (over doc_id) holds."""
+    settle_in()  # the driver too gives memory back
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(learn)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(texts.select("doc_id"), "doc_id", "left_semi")
@@ -376,13 +376,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     found = [np.frombuffer(x.as_py(), np.uint64) for x in sample["terms"]]
     counts = [np.frombuffer(x.as_py(), np.uint32) for x in sample["counts"]]
     few = [_among(candidates, h) for h in found]
-    marks = _chosen([h[ok] for h, ok in zip(found, few)], [c[ok] for c, ok in zip(counts, few)], toxic, weight_of, sample["whole"].to_pylist())
+    marks, least = _chosen([h[ok] for h, ok in zip(found, few)], [c[ok] for c, ok in zip(counts, few)], toxic, weight_of, sample["whole"].to_pylist())
     both = len(toxic) and toxic.min() < toxic.max()
     every = np.unique(np.concatenate(found)) if both else np.zeros(0, np.uint64)
-    again = marks.least > 1
-    vocabulary = Vocabulary(np.concatenate([every, marks.hashes[again]]), np.concatenate([np.ones(len(every), np.int64), marks.least[again]]))
-    marked = np.concatenate([np.isin(every, marks.hashes[~again]), np.ones(int(again.sum()), bool)])
-    size = len(vocabulary.hashes)
+    again = least > 1
+    vocabulary = Vocabulary(np.concatenate([every, marks[again]]), np.concatenate([np.ones(len(every), np.int64), least[again]]))
+    marked = np.concatenate([np.isin(every, marks[~again]), np.ones(int(again.sum()), bool)])
+    size = vocabulary.size
+    del pairs, few, marks, every
+    trim()
     weight = weight_of[toxic]
     if not size:
         return Model(vocabulary, np.zeros(0), None, np.zeros(1), np.zeros(1), 0.0)
@@ -405,8 +407,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     for h, c in zip(found, counts):
         doc, term, count = vocabulary.find(np.zeros(int(c.sum()), np.int64), np.repeat(h, c))
         vectors.append((term, model.weights(doc, term, count)))
+    del sample, found, counts
+    trim()
     model.index = index = Index(vectors, toxic, ids, size)
-    del sample, found, counts, few
     trim()
     has = np.array([len(t) > 0 for t, _ in vectors])
     of = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])

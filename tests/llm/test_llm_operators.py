@@ -479,7 +479,7 @@ def test_toxicity_compares_whole_texts(spark):
     found = {i: Counter(x for w in t.lower().split() for x in (w, *(f"{w[:p]}|" for p in toxicity.PREFIXES if len(w) > p))) for i, t in rows}
     df = Counter(x for c in found.values() for x in c)
     marks = int((model.idf > np.log(1 + len(rows)) + 1).sum())
-    assert marks and len(model.vocabulary.hashes) >= len({x for i in range(200) for x in found[i]})
+    assert marks and model.vocabulary.size >= len({x for i in range(200) for x in found[i]})
     plain = {i: {x: (1 + np.log(n)) * np.log(1 + len(rows) / df[x]) for x, n in c.items()} for i, c in found.items()}
     norm = {i: np.sqrt(sum(w * w for w in v.values())) for i, v in plain.items()}
     for i in (1, 1000):  # neither holds a marking term, nor do the clean examples
