@@ -32,7 +32,7 @@ def binary(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
-def _mapped(df: DataFrame, parse, columns: str) -> DataFrame:
+def mapped(df: DataFrame, parse, columns: str) -> DataFrame:
     """The rows that parse() finds in each file; of a file that it can't read one row, with the error."""
     names = ["path", *(c.split()[0] for c in columns.split(", ")), "error"]
 
@@ -48,7 +48,7 @@ def _mapped(df: DataFrame, parse, columns: str) -> DataFrame:
     return df.mapInPandas(run, f"path string, {columns}, error string")
 
 
-def _local(tag: str) -> str:
+def local_name(tag: str) -> str:
     return tag.rpartition("}")[2]
 
 
@@ -57,11 +57,11 @@ def spine(content: bytes) -> list[tuple[str, bytes | None]]:
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
         container = ElementTree.fromstring(z.read("META-INF/container.xml"))
-        package = next(e.get("full-path") for e in container.iter() if _local(e.tag) == "rootfile")
+        package = next(e.get("full-path") for e in container.iter() if local_name(e.tag) == "rootfile")
         opf = ElementTree.fromstring(z.read(package))
-        items = {e.get("id"): e for e in opf.iter() if _local(e.tag) == "item"}
+        items = {e.get("id"): e for e in opf.iter() if local_name(e.tag) == "item"}
         out = []
-        for ref in (e.get("idref") for e in opf.iter() if _local(e.tag) == "itemref"):
+        for ref in (e.get("idref") for e in opf.iter() if local_name(e.tag) == "itemref"):
             item = items.get(ref)
             if item is None or item.get("media-type") not in _HTML_TYPES or "nav" in (item.get("properties") or "").split():
                 continue
@@ -82,7 +82,7 @@ def epub_blocks(files: DataFrame) -> DataFrame:
             for k, (tag, depth, text) in enumerate(_parsed(data.decode("utf-8", "replace"))):
                 yield i, name, k, tag, depth, text
 
-    return _mapped(files, parse, "spine int, document string, block int, tag string, depth int, text string")
+    return mapped(files, parse, "spine int, document string, block int, tag string, depth int, text string")
 
 
 def _cell_place(ref: str) -> tuple[int, int]:
@@ -99,19 +99,19 @@ def grid(content: bytes) -> Iterator[tuple[str, int, int, str]]:
         names = set(z.namelist())
         shared = []
         if "xl/sharedStrings.xml" in names:
-            shared = ["".join(t.text or "" for t in s.iter() if _local(t.tag) == "t") for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")) if _local(s.tag) == "si"]
+            shared = ["".join(t.text or "" for t in s.iter() if local_name(t.tag) == "t") for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")) if local_name(s.tag) == "si"]
         links = {e.get("Id"): e.get("Target") for e in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        for sheet in (e for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if _local(e.tag) == "sheet"):
-            target = next(links[v] for k, v in sheet.attrib.items() if _local(k) == "id" and v in links)
+        for sheet in (e for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if local_name(e.tag) == "sheet"):
+            target = next(links[v] for k, v in sheet.attrib.items() if local_name(k) == "id" and v in links)
             root = ElementTree.fromstring(z.read(posixpath.normpath(posixpath.join("xl", target.removeprefix("/xl/")))))
             cells = {}
-            for c in (e for e in root.iter() if _local(e.tag) == "c"):
-                text = "".join(x.text or "" for x in c.iter() if _local(x.tag) in ("v", "t"))
+            for c in (e for e in root.iter() if local_name(e.tag) == "c"):
+                text = "".join(x.text or "" for x in c.iter() if local_name(x.tag) in ("v", "t"))
                 if c.get("t") == "s" and text:
                     text = shared[int(text)]
                 if text.strip():
                     cells[_cell_place(c.get("r"))] = text.strip()
-            for m in (e.get("ref") for e in root.iter() if _local(e.tag) == "mergeCell"):
+            for m in (e.get("ref") for e in root.iter() if local_name(e.tag) == "mergeCell"):
                 (r1, c1), (r2, c2) = map(_cell_place, m.split(":"))
                 for r in range(r1, r2 + 1):
                     for c in range(c1, c2 + 1):
@@ -123,7 +123,7 @@ def grid(content: bytes) -> Iterator[tuple[str, int, int, str]]:
 
 def sheet_cells(files: DataFrame) -> DataFrame:
     """path, sheet, row, col, text, error of every workbook of path, content."""
-    return _mapped(files, grid, "sheet string, row int, col int, text string")
+    return mapped(files, grid, "sheet string, row int, col int, text string")
 
 
 #: Header names and the field they stand for.
@@ -133,14 +133,14 @@ HEADERS = {
 }
 
 
-def _field(text):
+def field_of(text):
     key = F.regexp_replace(F.lower(F.trim(text)), r"[:\s]+$", "")
     return F.element_at(F.create_map(*(F.lit(x) for kv in HEADERS.items() for x in kv)), key)
 
 
 def header_rows(cells: DataFrame, first: int = 30) -> DataFrame:
     """path, sheet, row, score: of the first rows, that with most cells, unlike labels and words; two cells at least."""
-    scored = cells.filter(F.col("row") <= first).groupBy("path", "sheet", "row").agg(F.count("*").alias("n"), F.count_distinct(F.lower("text")).alias("d"), F.count_if(~F.col("text").rlike(r"^[\d.,\s]+$")).alias("w"), F.count(_field(F.col("text"))).alias("known"))
+    scored = cells.filter(F.col("row") <= first).groupBy("path", "sheet", "row").agg(F.count("*").alias("n"), F.count_distinct(F.lower("text")).alias("d"), F.count_if(~F.col("text").rlike(r"^[\d.,\s]+$")).alias("w"), F.count(field_of(F.col("text"))).alias("known"))
     scored = scored.filter("n >= 2").withColumn("score", F.col("n") + F.col("d") / F.col("n") + F.col("w") / F.col("n") + F.col("known"))
     w = Window.partitionBy("path", "sheet").orderBy(F.desc("score"), "row")
     return scored.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("path", "sheet", "row", "score")
@@ -150,7 +150,7 @@ def wide_records(cells: DataFrame) -> DataFrame:
     """path, sheet, row, title, ingredients, instructions, yield, tags, notes: a record for each row under the header."""
     head = header_rows(cells).select("path", "sheet", F.col("row").alias("_h"))
     joined = cells.join(head, ["path", "sheet"])
-    fields = joined.filter("row = _h").select("path", "sheet", "col", _field(F.col("text")).alias("field")).filter("field IS NOT NULL")
+    fields = joined.filter("row = _h").select("path", "sheet", "col", field_of(F.col("text")).alias("field")).filter("field IS NOT NULL")
     body = joined.filter("row > _h").join(fields, ["path", "sheet", "col"])
     wide = body.groupBy("path", "sheet", "row").pivot("field", ["title", "ingredients", "instructions", "yield", "tags", "notes"]).agg(F.first("text"))
     items = lambda c, by: F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("")), by), lambda x: F.trim(x)), lambda x: x != "")
@@ -159,7 +159,7 @@ def wide_records(cells: DataFrame) -> DataFrame:
 
 def template_records(cells: DataFrame) -> DataFrame:
     """path, sheet and the fields of sheets that hold a label in a cell and its value in the next one."""
-    labels = cells.select("path", "sheet", "row", "col", _field(F.col("text")).alias("field")).filter("field IS NOT NULL")
+    labels = cells.select("path", "sheet", "row", "col", field_of(F.col("text")).alias("field")).filter("field IS NOT NULL")
     values = cells.select("path", "sheet", "row", (F.col("col") - 1).alias("col"), "text")
     return labels.join(values, ["path", "sheet", "row", "col"]).groupBy("path", "sheet").pivot("field", ["title", "ingredients", "instructions", "yield", "notes"]).agg(F.min_by("text", "row"))
 
@@ -168,7 +168,7 @@ def tall_records(cells: DataFrame) -> DataFrame:
     """path, sheet, title, first_row, ingredients, instructions of sheets of recipe, section and text columns; blank titles repeat the last one."""
     head = header_rows(cells).select("path", "sheet", F.col("row").alias("_h"))
     joined = cells.join(head, ["path", "sheet"])
-    fields = joined.filter("row = _h").select("path", "sheet", "col", _field(F.col("text")).alias("field")).filter("field IS NOT NULL")
+    fields = joined.filter("row = _h").select("path", "sheet", "col", field_of(F.col("text")).alias("field")).filter("field IS NOT NULL")
     body = joined.filter("row > _h").join(fields, ["path", "sheet", "col"])
     rows = body.groupBy("path", "sheet", "row").pivot("field", ["title", "section", "text"]).agg(F.first("text"))
     w = Window.partitionBy("path", "sheet").orderBy("row")
@@ -191,4 +191,4 @@ def app_records(files: DataFrame) -> DataFrame:
                 if isinstance(data, dict):
                     yield (name, *(None if data.get(k) is None else str(data[k]) for k in ("name", "ingredients", "directions", "servings", "source")))
 
-    return _mapped(files, parse, "entry string, name string, ingredients string, directions string, servings string, source string")
+    return mapped(files, parse, "entry string, name string, ingredients string, directions string, servings string, source string")
