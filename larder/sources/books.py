@@ -49,7 +49,7 @@ class _Book:
         self.flag = {f: df[f].to_numpy(bool) for f in FLAGS}
 
     def stops(self, i: int) -> bool:
-        return bool(self.flag["excluded"][i] or self.flag["ingredients"][i])
+        return bool(self.flag["excluded"][i] or self.flag["ingredients"][i] or self.flag["section"][i])
 
     def passed(self, i: int) -> bool:
         return bool(self.flag["is_yield"][i] or self.flag["is_time"][i])
