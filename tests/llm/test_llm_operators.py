@@ -502,7 +502,7 @@ def test_toxicity_without_labels(spark):
 # --- op7
 
 
-def test_warc_round_trip(spark, tmp_path):
+def test_warc_round_trip(spark, tmp_path, monkeypatch):
     long = "<p>" + "é" * 200 + "</p>"
     rows = [(5, "http://a", long), (3, "http://b", long), (9, "http://c\r\nX: y", long), (1, None, "short"), (2, "u", "short"), (4, "u", None), (6, "u", ""), (7, "u", "z" * 500_000), (None, "u", long), (3, "http://b", long)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
@@ -516,6 +516,11 @@ def test_warc_round_trip(spark, tmp_path):
         want.append((i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None))
     assert got == sorted(want, key=str)
     assert warc.round_trip(pages.limit(0)).count() == 0
+    assert warc.broken_revisits(warc.read_archives(spark, path)).count() == 0
+    odd = warc.read_archives(spark, path).withColumn("payload_digest", F.when(F.col("record_type") == "response", "x").otherwise(F.col("payload_digest")))
+    assert [r["refers_to"] for r in warc.broken_revisits(odd).collect()] == [3]
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    assert sorted((tuple(r) for r in warc.round_trip(pages).collect()), key=str) == got
 
 
 def test_warc_reader_refuses_broken_archives():
@@ -528,6 +533,19 @@ def test_warc_reader_refuses_broken_archives():
             list(warc.read_records(io.BytesIO(bad)))
 
 
+def test_warc_reader_holds_little(monkeypatch):
+    payload = b"spam and eggs " * 2_000_000  # 28 MB that inflate from a small file
+    digest = hashlib.sha256(payload).hexdigest()
+    archive = warc.write_info() + warc.write_record(1, "u", payload, "response", None, digest, len(payload)) + warc.write_record(2, "u", b"", "response", None, hashlib.sha256(b"").hexdigest(), 0) + warc._EMPTY
+    sizes = []
+    more = warc._Member._more
+    monkeypatch.setattr(warc._Member, "_more", lambda self, most: sizes.append(out := more(self, most)) or out)
+    found = list(warc.read_records(io.BytesIO(archive), keep=False))
+    assert [(r.headers["warc-type"], r.length, r.block) for r in found] == [("warcinfo", len(warc.zlib.decompress(warc.write_info(), 31).split(b"\r\n\r\n", 1)[1]) - 4, b""), ("response", len(payload), b""), ("response", 0, b"")]
+    assert found[1].digest == digest and max(map(len, sizes)) <= warc.CHUNK
+    assert [r.offset for r in found] == [0, len(warc.write_info()), len(archive) - len(warc._EMPTY) - len(warc.write_record(2, "u", b"", "response", None, hashlib.sha256(b"").hexdigest(), 0))]
+
+
 # --- op8
 
 
