@@ -87,10 +87,16 @@ def field_catalog(df: DataFrame, fields: list[str], categories: int = 120) -> Da
     """field, filled, n_distinct, numeric, low, high and the most frequent values of every field with two values at least."""
     long = df.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("e")).select("e.field", "e.value").filter(~is_blank(F.col("value")))
     counted = long.groupBy("field", "value").agg(F.count("*").alias("n")).withColumn("number", maybe_number(F.col("value")))
+    stats = counted.groupBy("field").agg(F.sum("n").alias("filled"), F.count("*").alias("n_distinct"), F.every(F.col("number").isNotNull()).alias("numeric"), F.min("number").alias("low"), F.max("number").alias("high"))
+    stats = stats.filter("n_distinct >= 2").select("field", "filled", "n_distinct", "numeric", F.when(F.col("numeric"), F.col("low")).alias("low"), F.when(F.col("numeric"), F.col("high")).alias("high"))
+    none = F.array().cast("array<string>")
+    if not categories:
+        return stats.withColumn("values", none)
+    # The filter on the rank lets each partition keep only so many of a field before it shuffles.
     top = Window.partitionBy("field").orderBy(F.desc("n"), "value")
-    ranked = counted.withColumn("_r", F.row_number().over(top))
-    out = ranked.groupBy("field").agg(F.sum("n").alias("filled"), F.count("*").alias("n_distinct"), F.every(F.col("number").isNotNull()).alias("numeric"), F.min("number").alias("low"), F.max("number").alias("high"), F.array_sort(F.collect_list(F.when(F.col("_r") <= categories, F.struct("_r", "value", "n")))).alias("_top"))
-    return out.filter("n_distinct >= 2").select("field", "filled", "n_distinct", "numeric", F.when(F.col("numeric"), F.col("low")).alias("low"), F.when(F.col("numeric"), F.col("high")).alias("high"), F.transform("_top", lambda t: t["value"]).alias("values"))
+    ranked = counted.select("field", "value", "n").withColumn("_r", F.row_number().over(top)).filter(F.col("_r") <= categories)
+    tops = ranked.groupBy("field").agg(F.array_sort(F.collect_list(F.struct("_r", "value"))).alias("_t")).select("field", F.transform("_t", lambda t: t["value"]).alias("values"))
+    return stats.join(tops, "field", "left").withColumn("values", F.coalesce("values", none))
 
 
 def explained(df: DataFrame, outcome: str, field: str) -> DataFrame:
@@ -110,7 +116,11 @@ def best_and_worst(groups: DataFrame) -> DataFrame:
 
 def split_segments(df: DataFrame, field: str, bins: int = 4, most: int = 8) -> DataFrame:
     """segment, low, high, n by inclusive ranges of a numeric field's equal-count bins; rows on a shared edge count in both; and the missing."""
-    edges = equal_count_bins(df, field, field, bins).select("bin", "low", "high").limit(most)
-    inside = df.join(F.broadcast(edges), (F.col(field) >= F.col("low")) & (F.col(field) <= F.col("high"))).groupBy("bin", "low", "high").agg(F.count("*").alias("n"))  # at most `most` rows are broadcast
+    edges = sorted(tuple(r) for r in equal_count_bins(df, field, field, bins).select("bin", "low", "high").collect())[:most]  # a few rows
+    if not edges:
+        hits = df.sparkSession.createDataFrame([], "bin int, low double, high double, n long")
+    else:
+        at = F.array(*(F.when((F.col(field) >= low) & (F.col(field) <= high), F.struct(F.lit(b).alias("bin"), F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))) for b, low, high in edges))
+        hits = df.select(F.explode(at).alias("e")).filter("e IS NOT NULL").groupBy("e.bin", "e.low", "e.high").agg(F.count("*").alias("n"))
     missing = df.filter(F.col(field).isNull()).agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(-1).alias("bin"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), "n")
-    return inside.unionByName(missing)
+    return hits.unionByName(missing)

@@ -79,6 +79,23 @@ def hold_suggestions(df: DataFrame, outcome: str, compared: str, fields: Mapping
     return every.select("field", score.alias("score")).orderBy(F.desc("score"), "field").limit(most)
 
 
+def numeric_raw(df: DataFrame, outcome: str, compared: str, bins: int = 5) -> DataFrame:
+    """One row: n, slope, intercept, r2, rho and bins (an array of n, low, high and mean)."""
+    line, rho = C.regression(df, compared, outcome), C.spearman(df, compared, outcome)
+    rows = C.equal_count_bins(df, compared, outcome, bins).agg(F.array_sort(F.collect_list(F.struct("bin", "n", "low", "high", "mean"))).alias("_b"))
+    shown = F.transform("_b", lambda b: F.struct(b["n"].alias("n"), b["low"].alias("low"), b["high"].alias("high"), b["mean"].alias("mean")))
+    return line.join(rho, "n").crossJoin(rows).withColumn("bins", shown).drop("_b")  # one row each
+
+
+def numeric_controlled(df: DataFrame, outcome: str, compared: str, hold: Sequence[str]) -> DataFrame:
+    """One row: n, slope, intercept, r2 and rho within strata, and how many rows and strata of all these rest on."""
+    within = C.within_strata(df, outcome, compared, list(hold))
+    known = df.filter(F.col(compared).isNotNull() & F.col(outcome).isNotNull())
+    strata = F.count_distinct(F.struct(*(F.coalesce(F.col(h).cast("string"), F.lit("")) for h in hold)))
+    total, used = known.agg(F.count("*").alias("rows"), strata.alias("strata")), within.agg(strata.alias("strata_used"))
+    return C.regression(within, "x", "y").join(C.spearman(within, "x", "y"), "n").crossJoin(total).crossJoin(used)  # one row each
+
+
 def analyze(df: DataFrame, query: Mapping, fields: Sequence[str]) -> DataFrame:
     """The view that a query asks for; discovery where it names no known field to compare."""
     kept = df.filter(grouped(query.get("filters", {}), query.get("filter_mode", "and")))
@@ -93,9 +110,8 @@ def analyze(df: DataFrame, query: Mapping, fields: Sequence[str]) -> DataFrame:
         return discovery(kept, outcome, known, p.get("prefer", ()), p.get("demote", ()), p.get("exclude", ()), p.get("most", 20))
     if known[compared]:
         if view == "controlled" and hold:
-            return C.regression(C.within_strata(kept, outcome, compared, hold), "x", "y")
-        line, rho = C.regression(kept, compared, outcome), C.spearman(kept, compared, outcome)
-        return line.join(rho, "n")
+            return numeric_controlled(kept, outcome, compared, hold)
+        return numeric_raw(kept, outcome, compared)
     if view == "controlled":
         return C.grouped_controlled(kept, outcome, compared, hold)
     return C.grouped_raw(kept, outcome, compared)

@@ -23,14 +23,15 @@ def merged_records(left: DataFrame, right: DataFrame, key: str, order: Sequence[
 
     Of several left (or right) records with one key the first is matched, the others of the left stay as they are.
     """
+    # Records without a key would meet in one task, so they don't enter the window.
     w = Window.partitionBy(key).orderBy(*order)
-    numbered = left.withColumn("_n", F.when(F.col(key).isNotNull(), F.row_number().over(w)))
-    first = right.withColumn("_n", F.row_number().over(w)).filter((F.col("_n") == 1) & F.col(key).isNotNull()).drop("_n")
+    numbered = left.filter(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(w))
+    first = right.filter(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
     names = {c: f"_r_{c}" for c in right.columns}
     joined = numbered.join(first.withColumnsRenamed(names), (F.col(key) == F.col(names[key])) & (F.col("_n") == 1), "full")
     columns = [filled(F.col(c), F.col(names[c]), left.schema[c].dataType).alias(c) if c in names else F.col(c) for c in left.columns]
     unkeyed = right.filter(F.col(key).isNull()).select(*(F.col(c) if c in right.columns else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns))
-    return joined.select(*columns).unionByName(unkeyed)
+    return joined.select(*columns).unionByName(left.filter(F.col(key).isNull())).unionByName(unkeyed)
 
 
 def appended(seen: DataFrame, more: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -212,12 +212,18 @@ def cmp_analyze_filtered(spark, sf_dir):
     return rounded(facade.analyze(runs(spark, sf_dir), asked, FIELDS), "mean")
 
 
-@query("cmp_analyze_numeric", f"SELECT count(*) AS n, round(regr_slope(outcome, x), 4) AS slope, round(regr_intercept(outcome, x), 4) AS intercept, round(regr_r2(outcome, x), 6) AS r2, round(corr(rx, ry), 6) AS rho FROM ({RANKS})")
+@query("cmp_analyze_numeric", f"SELECT count(*) AS n, round(regr_slope(outcome, x), 4) AS slope, round(regr_intercept(outcome, x), 4) AS intercept, round(regr_r2(outcome, x), 6) AS r2, round(corr(rx, ry), 6) AS rho, 5 AS bins FROM ({RANKS})")
 def cmp_analyze_numeric(spark, sf_dir):
-    out = facade.analyze(runs(spark, sf_dir), {"outcome": "outcome", "compare": "x"}, FIELDS)
+    out = facade.analyze(runs(spark, sf_dir), {"outcome": "outcome", "compare": "x"}, FIELDS).withColumn("bins", F.size("bins"))
     return rounded(rounded(out, "slope", "intercept"), "r2", "rho", digits=6)
 
 
+@query("cmp_analyze_strata", f"SELECT count(*) AS n, count(*) AS rows, count(DISTINCT grp || stratum) AS strata, count(DISTINCT grp || stratum) AS strata_used FROM ({RUNS})")
+def cmp_analyze_strata(spark, sf_dir):
+    asked = {"view": "controlled", "outcome": "outcome", "compare": "x", "hold": ["grp", "stratum"]}
+    return facade.analyze(runs(spark, sf_dir), asked, FIELDS).select("n", "rows", "strata", "strata_used")
+
+
 @query("cmp_hold_suggestions")
 def cmp_hold_suggestions(spark, sf_dir):
     r = runs(spark, sf_dir)

@@ -136,3 +136,33 @@ def test_numbers_of_booleans_and_groups_of_no_number(spark):
     df = spark.createDataFrame([(True, 1.0), (False, float("nan")), (None, float("inf"))], "b boolean, x double")
     assert [r[0] for r in df.select(X.maybe_number(F.col("b"))).collect()] == [1.0, 0.0, None]
     assert len({r[0] for r in df.select(X.comparable(F.col("x"))).collect()}) == 2
+
+
+def test_ranks_and_positions_with_heavy_values(spark, monkeypatch):
+    import random
+
+    from larder.functions import ranks
+
+    rng = random.Random(3)
+    values = [rng.choice([0.0, 0.0, 5.0, rng.uniform(-10, 10)]) for _ in range(3000)] + [-10.5, 10.5]
+    rows = [(i, v, rng.randint(0, 50)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i int, v double, t int")
+    ordered = sorted(values)
+    first, n = {}, {}
+    for k, v in enumerate(ordered):
+        first.setdefault(v, k)
+        n[v] = n.get(v, 0) + 1
+    want = {i: first[v] + (n[v] + 1) / 2 for i, v, _ in rows}
+    for few in (200_000, 0):
+        monkeypatch.setattr(ranks, "BROADCAST_VALUES", few)
+        assert {r["i"]: r["r"] for r in ranks.average_ranks(df, "v", "r").collect()} == want
+    got = {r["i"]: r["position"] for r in ranks.numbered(df.unionByName(spark.createDataFrame([(-1, None, 3)], df.schema)), "v", ["t", "i"]).collect()}
+    assert got == {i: k for k, (i, _, _) in enumerate([(-1, None, 3), *sorted(rows, key=lambda r: (r[1], r[2], r[0]))])}
+
+
+def test_records_without_keys_stay_apart(spark):
+    from larder.operators import merging as M
+
+    left = spark.createDataFrame([("a", 1, ""), (None, 2, "x"), (None, 3, None), ("a", 4, "y")], "k string, i int, s string")
+    right = spark.createDataFrame([("a", 9, "r"), ("b", 8, "q"), (None, 7, "p")], "k string, i int, s string")
+    assert sorted(map(tuple, M.merged_records(left, right, "k", ["i"]).collect()), key=str) == sorted([("a", 1, "r"), ("a", 4, "y"), (None, 2, "x"), (None, 3, None), ("b", 8, "q"), (None, 7, "p")], key=str)
