@@ -40,12 +40,19 @@ def trim() -> None:
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """run over batches, in a worker that is set up, with memory given back at the end."""
+    """run over batches, in a worker that is set up, with memory given back after large batches and at the end."""
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            large = batch.nbytes > LEAST
+            yield batch
+            if large:
+                trim()
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle_in()
-        yield from run(batches)
+        yield from run(trimmed(batches))
         trim()
 
     return wrapped

@@ -51,8 +51,10 @@ SUPPORT = 0.002
 #: A term may ask for one occurrence in a document, or for up to so many.
 TIMES = 2
 NEIGHBOURS, EVIDENCE = 40, 3
+#: Documents that the filter gives at once.
+ROWS = 1000
 #: Terms of the most examples that go through dense matrices, examples of a block, and texts that are searched at once.
-HEAD, BLOCK, TEXTS = 1024, 64, 48
+HEAD, BLOCK, TEXTS = 1024, 64, 24
 #: Bytes of a longer word's beginning that are a term.
 PREFIXES = (4, 6)
 THRESHOLD = 0.3
@@ -452,6 +454,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.select(names).filter(pa.array(scored(batch.column(at).cast(pa.string()), model)[0] < threshold))
+            for part in (batch.slice(i, ROWS) for i in range(0, len(batch), ROWS)):  # so that less is held at once
+                yield part.select(names).filter(pa.array(scored(part.column(at).cast(pa.string()), model)[0] < threshold))
 
     return docs.mapInArrow(lean(run), schema)
