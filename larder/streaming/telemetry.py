@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SCHEMA = "ts timestamp, worker string, status string, done long, active long"
 
@@ -26,3 +30,30 @@ def windowed(rows: DataFrame, late: str = "10 minutes", size: str = "5 minutes")
 def run_once(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Everything that is there now, written as Parquet; a later call with the same checkpoint goes on from there."""
     df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+
+
+def watched(rows: DataFrame, repeats: int = 3, idle: str = "10 minutes") -> DataFrame:
+    """worker, events, streak (of equal states in a row), state: each worker's state after every batch that brings events of it, and once it has been quiet too long.
+
+    State is held by worker and time goes by the events' watermark, so a lost executor's workers go on from the checkpoint.
+    """
+    quiet = int(pd.Timedelta(idle).total_seconds() * 1000)
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        events, last, streak = state.get if state.exists else (0, "", 0)
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([(key[0], events, streak, "idle")], columns=["worker", "events", "streak", "state"])
+            return
+        latest = 0
+        for batch in batches:
+            for ts, status in batch.sort_values("ts")[["ts", "status"]].itertuples(index=False):
+                status = status if isinstance(status, str) else ""
+                events, streak, last = events + 1, streak + 1 if status == last else 1, status
+                latest = max(latest, int(ts.timestamp() * 1000))
+        state.update((events, last, streak))
+        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + quiet)
+        name = "complete" if last == "done" else "looping" if streak >= repeats else "working"
+        yield pd.DataFrame([(key[0], events, streak, name)], columns=["worker", "events", "streak", "state"])
+
+    return rows.withWatermark("ts", "1 minute").groupBy("worker").applyInPandasWithState(run, "worker string, events long, streak long, state string", "events long, last string, streak long", "append", GroupStateTimeout.EventTimeTimeout)
