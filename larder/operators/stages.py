@@ -209,6 +209,6 @@ def watchdog(events: DataFrame, keys: Sequence[str], when: str, message: str, no
     runs = events.withColumns({"_f": fresh, "_done": done.cast("int")}).withColumn("_g", F.sum("_f").over(w))
     last = runs.groupBy(*keys).agg(F.count("*").alias("events"), F.max(when).alias("last"), F.max("_done").alias("_d"), F.max("_g").alias("_g"))
     streak = runs.groupBy(*keys, "_g").agg(F.count("*").alias("streak"))
-    out = last.join(streak, [*keys, "_g"]).withColumn("quiet", (F.unix_micros(now) - F.unix_micros("last")) / 1e6)
+    out = last.join(streak, [*keys, "_g"]).withColumn("quiet", (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last").cast("timestamp"))) / 1e6)
     state = F.when(F.col("_d") == 1, "complete").when(F.col("streak") >= repeats, "looping").when(F.col("quiet") >= idle_after, "idle").otherwise("working")
     return out.withColumn("state", state).drop("_d", "_g")
