@@ -54,7 +54,7 @@ NEIGHBOURS, EVIDENCE = 40, 3
 #: Documents that the filter gives at once.
 ROWS = 1000
 #: Terms of the most examples that go through dense matrices, examples of a block, and texts that are searched at once.
-HEAD, BLOCK, TEXTS = 1024, 64, 24
+HEAD, BLOCK, TEXTS = 1024, 64, 48
 #: Bytes of a longer word's beginning that are a term.
 PREFIXES = (4, 6)
 THRESHOLD = 0.3
@@ -222,8 +222,10 @@ class Index:
         head[self.row[terms_[dense]], of[dense]] = weights[dense]
         self.order = self._alike(head)
         self.blocks = -(-n // BLOCK)
-        self.head = np.zeros((len(top), self.blocks * BLOCK))
-        self.head[:, :n] = head[:, self.order]
+        self.head = np.zeros((self.blocks, len(top), BLOCK), np.float32)
+        for b in range(self.blocks):
+            mine = self.order[b * BLOCK : (b + 1) * BLOCK]
+            self.head[b, :, : len(mine)] = head[:, mine]
         del head
         terms_, place, weights = terms_[~dense], np.argsort(self.order).astype(np.int32)[of[~dense]], weights[~dense]
         by_term = np.lexsort((place, terms_))
@@ -238,17 +240,15 @@ class Index:
 
     def _derive(self) -> None:
         """What follows from the rest, and so doesn't travel."""
-        self.head_most = self.head.reshape(len(self.head), self.blocks, BLOCK).max(2) if self.blocks else np.zeros((len(self.head), 0))
-        self.many = np.diff(np.append(self.start, np.int32(len(self.place))))
-        self.block = self.place[self.start] // BLOCK
+        self.head_most = self.head.max(2).T.astype(np.float64) if self.blocks else np.zeros((self.head.shape[1], 0))
         self.most = np.maximum.reduceat(self.weight, self.start) if len(self.start) else np.zeros(0, np.float32)
+        self.ends = np.append(self.start, np.int32(len(self.place)))
 
     def __getstate__(self) -> dict:
-        kept = {c: v for c, v in self.__dict__.items() if c not in ("head_most", "many", "block", "most")}
-        return kept | {"head": self.head.astype(np.float32)}
+        return {c: v for c, v in self.__dict__.items() if c not in ("head_most", "most", "ends")}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__ = state | {"head": state["head"].astype(np.float64)}
+        self.__dict__ = state
         self._derive()
 
     @staticmethod
@@ -265,22 +265,23 @@ class Index:
     def _search(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int | None, without: np.ndarray | None = None) -> np.ndarray:
         """n by places: the cosines of the texts' vectors with the examples, 0 where a bound shows that they aren't among the k greatest."""
         dense = self.row[term] >= 0
-        query = np.zeros((n, len(self.head)))
+        query = np.zeros((n, self.head.shape[1]))
         query[doc[dense], self.row[term[dense]]] = weight[dense]
         doc, term, weight = doc[~dense], term[~dense], weight[~dense]
         many = self.first[term + 1] - self.first[term]
         entry, doc, weight = _expanded(self.first[term], many), np.repeat(doc, many), np.repeat(weight, many)
-        block, blocks, width = self.block[entry], self.blocks, self.blocks * BLOCK
+        block, blocks, width = self.place[self.start[entry]] // BLOCK, self.blocks, self.blocks * BLOCK
         out = np.zeros((n, width))
 
         def add(wanted: np.ndarray) -> None:
             """Cosines of the (text, block) pairs."""
             for b in np.flatnonzero(wanted.any(0)):
                 q = np.flatnonzero(wanted[:, b])
-                out[q, b * BLOCK : (b + 1) * BLOCK] += query[q] @ self.head[:, b * BLOCK : (b + 1) * BLOCK]
+                out[q, b * BLOCK : (b + 1) * BLOCK] += query[q] @ self.head[b].astype(np.float64)
             at = np.flatnonzero(wanted[doc, block])
-            size = self.many[entry[at]]
-            post = _expanded(self.start[entry[at]], size)
+            start = self.start[entry[at]]
+            size = self.ends[entry[at] + 1] - start
+            post = _expanded(start, size)
             cell = np.repeat(doc[at] * width, size) + self.place[post]
             out.reshape(-1)[:] += np.bincount(cell, np.repeat(weight[at], size) * self.weight[post], minlength=n * width)
 
@@ -391,10 +392,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     if not size:
         return Model(vocabulary, np.zeros(0), None, np.zeros(1), np.zeros(1), 0.0)
 
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by the sample, as is the model below
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(size + 1, np.int64), 0
         for batch in batches:
-            for _, m, _, term, _ in vocabulary.documents(batch.column(0)):
+            for _, m, _, term, _ in shared.value.documents(batch.column(0)):
                 total[:size] += np.bincount(term, minlength=size)
                 n += m
         total[size] = n
@@ -440,9 +443,11 @@ def scored(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[list[int]]]:
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted and, as evidence, the ids of the nearest toxic examples; see SCORED."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a worker loads it once, whatever the number of its tasks
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, evidence = scored(batch.column(1), model)
+            scores, evidence = scored(batch.column(1), shared.value)
             yield pa.record_batch([batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "predicted", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), SCORED)
@@ -451,10 +456,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs whose score is under the threshold: a filter of the rows themselves, which moves nothing."""
     schema, names, at = docs.schema, docs.columns, docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, ROWS) for i in range(0, len(batch), ROWS)):  # so that less is held at once
-                yield part.select(names).filter(pa.array(scored(part.column(at).cast(pa.string()), model)[0] < threshold))
+                yield part.select(names).filter(pa.array(scored(part.column(at).cast(pa.string()), shared.value)[0] < threshold))
 
     return docs.mapInArrow(lean(run), schema)
