@@ -105,7 +105,7 @@ def secondary_metrics(df: DataFrame, fields: Sequence[str], preferred: Sequence[
         return df.sparkSession.createDataFrame([], "field string, n long, low double, high double, place int")
     value = {f: maybe_number(F.col(f)) for f in wanted}
     sums = df.agg(*(x for i, f in enumerate(wanted) for x in (F.count(value[f]).alias(f"n{i}"), F.min(value[f]).alias(f"l{i}"), F.max(value[f]).alias(f"h{i}"))))
-    rows = sums.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"n{i}").alias("n"), F.col(f"l{i}").alias("low"), F.col(f"h{i}").alias("high"), F.lit(i).alias("place")) for i, f in enumerate(wanted)))).alias("r")).select("r.*")
+    rows = sums.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"n{i}").alias("n"), (F.col(f"l{i}") + 0.0).alias("low"), (F.col(f"h{i}") + 0.0).alias("high"), F.lit(i).alias("place")) for i, f in enumerate(wanted)))).alias("r")).select("r.*")
     return rows.filter((F.col("n") >= 2) & (F.col("high") - F.col("low") > 1e-12)).orderBy("place").limit(most)
 
 

@@ -72,7 +72,7 @@ def prj_setting(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", X.setting(config, summary, "x", "y").alias("value"))
 
 
-@query("cmp_secondary_metrics", "SELECT * FROM (SELECT 'l_tax' AS field, count(l_tax) AS n, min(l_tax) AS low, max(l_tax) AS high, 0 AS place FROM lineitem UNION ALL SELECT 'l_discount', count(l_discount), min(l_discount), max(l_discount), 2 FROM lineitem UNION ALL SELECT 'l_quantity', count(l_quantity), min(l_quantity), max(l_quantity), 3 FROM lineitem) WHERE n >= 2 AND high > low")
+@query("cmp_secondary_metrics", "SELECT field, n, low + 0.0 AS low, high + 0.0 AS high, place FROM (SELECT 'l_tax' AS field, count(l_tax) AS n, min(l_tax) AS low, max(l_tax) AS high, 0 AS place FROM lineitem UNION ALL SELECT 'l_discount', count(l_discount), min(l_discount), max(l_discount), 2 FROM lineitem UNION ALL SELECT 'l_quantity', count(l_quantity), min(l_quantity), max(l_quantity), 3 FROM lineitem) WHERE n >= 2 AND high > low")
 def cmp_secondary_metrics(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").withColumn("l_same", F.lit(1.0))
     return X.secondary_metrics(d, ["l_same", "l_discount", "l_quantity", "l_shipdate", "l_extendedprice", "l_tax"], ["l_tax"], "same|discount|quantity|price", ["l_extendedprice"])
