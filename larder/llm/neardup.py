@@ -1,18 +1,20 @@
-"""Near-duplicate documents by order MinHash over word shingles, verified by banded alignment.
+"""Near-duplicate documents by order MinHash over word shingles, verified by banded alignment of the words.
 
-A document is the sequence of its runs of `shingle` words (all words, where it has fewer). Two documents are
-near duplicates where the longest common subsequence of these sequences, L, gives L / (n + m - L) >= `least`.
-Classes are the connected components, and copies with the same words are one node.
+Two documents are near duplicates where the longest common subsequence of their words, L, gives L / (n + m - L) >=
+`least` for n and m words: at 0.8 about one word in nine may differ. Classes are the connected components, and copies
+with the same words are one node.
 
-Order MinHash: shingles are labelled by their occurrence; each of `SKETCHES` random orders picks the `PICKED`
-least, kept in text order. Documents whose picks agree in any sketch meet in a bucket. At the threshold a pair
-meets in no bucket with a probability of about (1 - least^2)^SKETCHES, 5 in a million.
+Order MinHash: shingles (runs of `shingle` words; all words, where there are fewer) are labelled by their occurrence;
+each of `SKETCHES` random orders picks the `PICKED` least, kept in text order. Documents whose picks agree in any sketch
+meet in a bucket. A changed word changes `shingle` shingles, so evenly spread changes at the threshold leave a share of
+some 0.38 of them in common; such a pair meets in no bucket with a probability of about (1 - 0.38^2)^SKETCHES, 2 in a
+hundred, one with 0.85 with 2 in a thousand, one with 0.9 with 1 in a hundred thousand.
 
 1. Every member of a bucket is compared to the bucket's first, shortest and longest document.
 2. Where a bucket still holds several components, all its pairs across them are compared: by a join where it is
    small, else in blocks of bounded size, by length class. So no pair that meets is left out, and a large
    group of copies costs a few pairs a member.
-3. A pair is excluded by lengths and by the distance of two histograms of hashed shingles, which the alignment
+3. A pair is excluded by lengths and by the distance of two histograms of hashed words, which the alignment
    distance cannot be under; the rest is aligned within the band that the threshold leaves.
 
 Texts are shuffled only for documents in pairs that remain.
@@ -40,7 +42,7 @@ from larder.llm.memory import lean, lean_group
 from larder.llm.words import Words, mixed, slices
 
 SHINGLE, LEAST = 5, 0.8
-SKETCHES, PICKED = 12, 2
+SKETCHES, PICKED = 24, 2
 LANES = 256
 #: Buckets up to so many members are joined with themselves; larger ones are compared in blocks of so many.
 SMALL, BLOCK = 8, 1024
@@ -97,31 +99,30 @@ def _sketched(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, words in slices(batch.column(2)):
-                n = words.counts
-                values, first = sequence(words, shingle)
-                sizes = np.diff(first)
-                full = np.flatnonzero(sizes)
+                n, hashed = words.counts, mixed(words.hashes(0))
+                full = np.flatnonzero(n)
                 keys = np.zeros((2, len(n)), np.uint64)
                 lanes, sketches = np.zeros((len(n), LANES), np.int16), np.zeros((len(n), SKETCHES), np.uint64)
                 if len(full):
-                    of = np.repeat(np.arange(len(n)), sizes)
-                    starts = np.append(first[full], len(values))
-                    place = (np.arange(len(values)) - np.repeat(first[:-1], sizes)).astype(np.uint64)
+                    of = np.repeat(np.arange(len(n)), n)
+                    place = (np.arange(len(hashed)) - np.repeat(words.first[:-1], n)).astype(np.uint64)
                     for k in range(2):
-                        keys[k, full] = mixed(np.add.reduceat(mixed(values ^ mixed(place * np.uint64(2 * k + 3) + np.uint64(k))), first[full]) + n[full].astype(np.uint64))
-                    lane = np.bincount(of * LANES + (values % np.uint64(LANES)).astype(np.int64), minlength=len(n) * LANES)
+                        keys[k, full] = mixed(np.add.reduceat(mixed(hashed ^ mixed(place * np.uint64(2 * k + 3) + np.uint64(k))), words.first[full]) + n[full].astype(np.uint64))
+                    lane = np.bincount(of * LANES + (hashed % np.uint64(LANES)).astype(np.int64), minlength=len(n) * LANES)
                     lanes = np.minimum(lane, 32767).astype(np.int16).reshape(len(n), LANES)
-                    labelled = _labelled(values, of)
+                    values, first = sequence(words, shingle)
+                    labelled = _labelled(values, np.repeat(np.arange(len(n)), np.diff(first)))
+                    starts = np.append(first[full], len(values))
                     sketches[full] = np.stack([_picks(labelled, starts, s) for s in range(SKETCHES)], axis=1)
                 ids, hashes = (batch.column(c).slice(row, len(n)) for c in (0, 1))
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield pa.record_batch([ids, hashes, pa.array(keys[0].astype(np.int64)), pa.array(keys[1].astype(np.int64)), pa.array(sizes, pa.int32()), lists(lanes), lists(sketches.astype(np.int64))], ["doc_id", "doc_hash", "key1", "key2", "n", "lanes", "sketches"])
+                yield pa.record_batch([ids, hashes, pa.array(keys[0].astype(np.int64)), pa.array(keys[1].astype(np.int64)), pa.array(n, pa.int32()), lists(lanes), lists(sketches.astype(np.int64))], ["doc_id", "doc_hash", "key1", "key2", "n", "lanes", "sketches"])
 
     return run
 
 
 def room(n: int, least: float) -> int:
-    """The alignment distance that documents of n shingles together may have."""
+    """The alignment distance that documents of n words together may have."""
     return int(n * (1 - least) / (1 + least) + 1e-9)
 
 
@@ -176,15 +177,15 @@ def _may_link(least: float):
     return run
 
 
-def _verified(shingle: int, least: float):
+def _verified(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
             for c in ("text_a", "text_b"):
                 parts: list[np.ndarray] = []
                 for _, words in slices(batch.column(c)):
-                    values, first = sequence(words, shingle)
-                    parts += [values[i:j] for i, j in zip(first, first[1:])]
+                    values = words.hashes(0)
+                    parts += [values[i:j] for i, j in zip(words.first, words.first[1:])]
                 sides.append(parts)
             ok = pa.array([similarity(x, y, least) > 0 for x, y in zip(*sides)], pa.bool_())
             yield pa.record_batch([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
@@ -195,7 +196,7 @@ def _verified(shingle: int, least: float):
 _PAIR = "a long, b long"
 
 
-def links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+def links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The pairs of nodes (a, b) that are near duplicates."""
     side = lambda s: sketches.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("lanes").alias(f"lanes_{s}"))
     left = settled(pairs.distinct().join(side("a"), "a").join(side("b"), "b").mapInArrow(lean(_may_link(least)), _PAIR), "pairs")
@@ -204,7 +205,7 @@ def links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, shingle: int,
     at = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
     texts = docs.join(at, docs["doc_id"].eqNullSafe(at["at_id"]) & (docs["doc_hash"] == at["at_hash"])).select("node", "text").dropDuplicates(["node"])
     text = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
-    return settled(left.join(text("a"), "a").join(text("b"), "b").mapInArrow(lean(_verified(shingle, least)), _PAIR), "links")
+    return settled(left.join(text("a"), "a").join(text("b"), "b").mapInArrow(lean(_verified(least)), _PAIR), "links")
 
 
 def _met(least: float):
@@ -270,8 +271,8 @@ def _classed(docs: DataFrame, shingle: int, least: float) -> DataFrame:
     heads = rows.groupBy("bucket").agg(F.min("node").alias("h1"), F.max("node").alias("last"), F.min_by("node", "n").alias("h2"), F.max_by("node", "n").alias("h3")).filter("h1 <> last")
     buckets = settled(rows.join(heads.select("bucket", F.array_distinct(F.array("h1", "h2", "h3")).alias("heads")), "bucket"), "buckets")
     starred = buckets.select("node", F.explode("heads").alias("head")).filter("head <> node")
-    first = links(starred.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")), sketches, docs, shingle, least)
-    second = links(_left_pairs(buckets.drop("heads"), sketches, components(first), least), sketches, docs, shingle, least)
+    first = links(starred.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")), sketches, docs, least)
+    second = links(_left_pairs(buckets.drop("heads"), sketches, components(first), least), sketches, docs, least)
     roots = components(first.unionByName(second))
     rooted = copies.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
     classes_ = rooted.groupBy("class").agg(F.min("first").alias("first"), F.sum("members").alias("documents")).filter("documents > 1")
@@ -284,8 +285,8 @@ def _classed(docs: DataFrame, shingle: int, least: float) -> DataFrame:
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
-    """doc_id, class_id and n_shingles of every document."""
-    return _classed(docs, shingle, least).select("doc_id", "class_id", F.col("n").alias("n_shingles"))
+    """doc_id, class_id and n_words of every document."""
+    return _classed(docs, shingle, least).select("doc_id", "class_id", F.col("n").alias("n_words"))
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:

@@ -569,8 +569,8 @@ def plain_classes(seq, least):
 def sequences(texts):
     out = {}
     for row, w in slices(pa.array(texts, pa.string())):
-        values, first = neardup.sequence(w, neardup.SHINGLE)
-        out |= {row + k: values[i:j] for k, (i, j) in enumerate(zip(first, first[1:]))}
+        values = w.hashes(0)
+        out |= {row + k: values[i:j] for k, (i, j) in enumerate(zip(w.first, w.first[1:]))}
     return out
 
 
