@@ -9,8 +9,9 @@ and their pieces packed together across groups.
 
 What is shuffled is one short row a piece, never ids or texts. Nothing is collected.
 
-Ids come from the byte-level BPE in its tiktoken form, which has the same vocabulary and several times
-the speed; a text that names the special token goes through tokenizers itself.
+Ids are those of tokenizers for the vocabulary's file. They come from its tiktoken form, which has the same vocabulary
+and several times the speed; a text that names the special token goes through tokenizers itself, and so does one in
+`CHECKED` (by a checksum of the text), whose ids must be equal, or the task fails.
 
 Defined results. A null or empty text is its end mark alone. Rows with a null or repeated doc_id are
 packed like others. Other columns are ignored; no documents make no sequences.
@@ -39,6 +40,8 @@ GROUP, LEAST_GROUPS, SMALLEST = 16384, 16, 512
 #: Groups whose under-full sequences are packed together, and up to which fill a sequence counts as such.
 MERGED_GROUPS, FULL = 256, 0.95
 TOKENS = "byte_bpe_50k"
+#: One text in so many is encoded both ways.
+CHECKED = 256
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -60,7 +63,10 @@ def encode(text: str, name: str = TOKENS) -> list[int]:
     whole, special, plain = _encoders(name)
     if any(t in text for t in special):
         return whole.encode(text, add_special_tokens=False).ids
-    return plain.encode_ordinary(text)
+    ids = plain.encode_ordinary(text)
+    if zlib.crc32(text.encode("utf-8", "surrogatepass")) % CHECKED == 0 and ids != whole.encode(text, add_special_tokens=False).ids:
+        raise ValueError(f"the two forms of {name} give different ids for a text of {len(text)} code points")
+    return ids
 
 
 def _cut(size: int, name: str):

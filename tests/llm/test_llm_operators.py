@@ -284,6 +284,19 @@ def test_encoding_is_that_of_the_tokenizer():
         assert packing.encode(t) == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_other_ids_are_an_error(monkeypatch):
+    whole, special, plain = packing._encoders(packing.TOKENS)
+
+    class Odd:
+        def encode_ordinary(self, text):
+            return [1]
+
+    monkeypatch.setattr(packing, "_encoders", lambda name: (whole, special, Odd()))
+    monkeypatch.setattr(packing, "CHECKED", 1)
+    with pytest.raises(ValueError, match="different ids"):
+        packing.encode("some text")
+
+
 def test_packing_places_every_piece_once(spark):
     rng = random.Random(6)
     texts = [prose(rng, rng.choice([3, 50, 400, 1500])) for _ in range(120)] + ODD_TEXTS
