@@ -114,7 +114,7 @@ _TITLES = "CASE WHEN {0} IN ({1}) THEN {2} ELSE 0 END"
 
 @query(
     "know_noise",
-    f"""SELECT doc_id, round(greatest(0, least(1, {_scored(_C.noise, '1.0')} + {_TITLES.format(_FIRST, ', '.join(repr(t) for t in _C.front_titles), 0.3)} + {_TITLES.format(_FIRST, ', '.join(repr(t) for t in _C.navigation_titles), 0.85)} + CASE WHEN {_ANY.format(_C.marketing)} THEN 0.45 ELSE 0 END
+    f"""SELECT doc_id, round(greatest(0, least(1, 0.0::DOUBLE + {_scored(_C.noise, '1.0')} + {_TITLES.format(_FIRST, ', '.join(repr(t) for t in _C.front_titles), 0.3)} + {_TITLES.format(_FIRST, ', '.join(repr(t) for t in _C.navigation_titles), 0.85)} + CASE WHEN {_ANY.format(_C.marketing)} THEN 0.45 ELSE 0 END
     + CASE WHEN q > 0.5 THEN 0.3 ELSE 0 END + CASE WHEN length(text) < 300 AND {_ANY.format(next(iter(_C.noise)))} AND NOT ({_ANY.format(next(iter(_C.knowledge)))}) THEN 0.2 ELSE 0 END)), 6) AS s
     FROM (SELECT *, len(list_filter(l, lambda v: regexp_matches(v, '^["“].*["”]$'))) / greatest(len(l), 1) AS q FROM (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda v: trim(v)), lambda v: v <> '') AS l FROM documents))""",
 )

@@ -118,7 +118,7 @@ def src_schema_recipes(spark, sf_dir):
     return out.select("p_partkey", "recipe", "name", F.array_join("ingredients", "|").alias("ingredients"), F.array_join("steps", "|").alias("steps"), "yield")
 
 
-@query("src_schema_confidence", "SELECT p_partkey, round(CASE WHEN p_partkey % 2 = 0 THEN 0.3 ELSE 0 END + CASE p_partkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 0.2 ELSE 0.4 END + CASE WHEN p_partkey % 5 > 0 THEN 0.3 ELSE 0 END, 6) AS c FROM part")
+@query("src_schema_confidence", "SELECT p_partkey, round(0.0::DOUBLE + CASE WHEN p_partkey % 2 = 0 THEN 0.3 ELSE 0 END + CASE p_partkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 0.2 ELSE 0.4 END + CASE WHEN p_partkey % 5 > 0 THEN 0.3 ELSE 0 END, 6) AS c FROM part")
 def src_schema_confidence(spark, sf_dir):
     k = F.col("p_partkey")
     items = F.when(k % 3 == 0, F.array().cast("array<string>")).when(k % 3 == 1, F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b")))
@@ -154,7 +154,7 @@ def src_sections(spark, sf_dir):
 BOOK = ("Words of the author that open this book.", "Apple Pie", "Serves 6", "2 cups flour", "1 tsp salt", "Mix and bake.", "Chapter Two", "Pear Tart", "Serves 4", "3 pears", "Cook it.")
 
 
-@query("src_book_recipes", 'SELECT o_orderkey, s AS start, e AS "end" FROM orders, (VALUES (1, 6), (7, 11)) t(s, e)')
+@query("src_book_recipes", 'SELECT o_orderkey, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS "end" FROM orders, (VALUES (1, 6), (7, 11)) t(s, e)')
 def src_book_recipes(spark, sf_dir):
     d = orders(spark, sf_dir).select("o_orderkey", F.posexplode(F.array(*map(F.lit, BOOK))).alias("o", "t"))
     return books.candidates(books.flagged(d, "o_orderkey", "o", "t"), "o_orderkey").select("o_orderkey", "start", "end")
