@@ -10,8 +10,8 @@ meet in a bucket. A changed word changes `shingle` shingles, so evenly spread ch
 some 0.38 of them in common; such a pair meets in no bucket with a probability of about (1 - 0.38^2)^SKETCHES, 2 in a
 hundred, one with 0.85 with 2 in a thousand, one with 0.9 with 1 in a hundred thousand.
 
-1. Every member of a bucket is compared to the bucket's first document; where that leaves several components, to its
-   shortest and longest ones too.
+1. Every document is compared to the first of those that it shares a bucket with. Where a bucket then holds several
+   components, its members are compared to its first, then to its shortest, then to its longest document, but never two of one component.
 2. Where a bucket still holds several components, all its pairs across them are compared: by a join where it is
    small, else in blocks of bounded size, by length class. So no pair that meets is left out, and a large
    group of copies costs a few pairs a member.
@@ -268,16 +268,19 @@ def _classed(docs: DataFrame, shingle: int, least: float) -> DataFrame:
     copies = settled(found.filter("n > 0").groupBy("key1", "key2").agg(F.min("row").alias("node"), F.min(order).alias("first"), F.count("*").alias("members")), "copies")
     sketches = settled(found.join(copies.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node"), "nodes")
     rows = sketches.select("node", "n", F.explode("sketches").alias("bucket"))
-    # Copies are nearest to their original, which often is the first, the shortest or the longest.
-    heads = rows.groupBy("bucket").agg(F.min("node").alias("h1"), F.max("node").alias("last"), F.min_by("node", "n").alias("h2"), F.max_by("node", "n").alias("h3")).filter("h1 <> last").drop("last")
-    buckets = settled(rows.join(heads, "bucket"), "buckets")
-    star = lambda df, head: df.filter(F.col(head) != F.col("node")).select(F.least(head, "node").alias("a"), F.greatest(head, "node").alias("b"))
-    first = links(star(buckets, "h1"), sketches, docs, least)
-    rooted = buckets.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("bucket")
-    more = rooted.join(open_, "bucket").select("node", "h1", F.explode(F.array("h2", "h3")).alias("head")).filter("head <> h1")
-    first = first.unionByName(links(star(more, "head"), sketches, docs, least))
-    second = links(_left_pairs(buckets.select("node", "n", "bucket"), sketches, components(first), least), sketches, docs, least)
+    shared = rows.groupBy("bucket").agg(F.min("node").alias("h1"), F.max("node").alias("last")).filter("h1 <> last").drop("last")
+    buckets = settled(rows.join(shared, "bucket"), "buckets")
+    pair = lambda head: [F.least(head, "node").alias("a"), F.greatest(head, "node").alias("b")]
+    # One pair a document: with the first document that it shares a bucket with.
+    one = buckets.filter("h1 <> node").groupBy("node").agg(F.min("h1").alias("h1")).select(*pair("h1"))
+    first = links(one, sketches, docs, least)
+    # Copies are nearest to their original, which often is the first, the shortest or the longest of a bucket.
+    for chosen in (lambda c: F.min_by(c, "node"), lambda c: F.min_by(c, "n"), lambda c: F.max_by(c, "n")):
+        rooted = buckets.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        heads = rooted.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), chosen(F.struct("node", "root")).alias("head")).filter("r1 <> r2").select("bucket", F.col("head.node").alias("head"), F.col("head.root").alias("head_root"))
+        apart = rooted.join(heads, "bucket").filter("root <> head_root").select(*pair("head"))
+        first = settled(first.unionByName(links(apart, sketches, docs, least)), "links")
+    second = links(_left_pairs(buckets.drop("h1"), sketches, components(first), least), sketches, docs, least)
     roots = components(first.unionByName(second))
     rooted = copies.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
     classes_ = rooted.groupBy("class").agg(F.min("first").alias("first"), F.sum("members").alias("documents")).filter("documents > 1")
