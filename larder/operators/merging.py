@@ -92,7 +92,8 @@ def contained_phrases(texts: DataFrame, phrases: DataFrame, keys: Sequence[str],
     runs = [_runs(n) for n in range(1, most_words + 1)]
     grams = texts.withColumn("_w", words).withColumn("_g", F.explode(F.array_distinct(F.flatten(F.array(*runs))))).drop("_w")
     named = phrases.withColumn("_g", F.array_join(F.filter(F.split(F.lower(F.col(phrase)), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " "))
-    return grams.join(named, [*keys, "_g"]).drop("_g")
+    # Sizes are estimated before runs are exploded, so a side that looks small may be far too large to broadcast.
+    return grams.join(named.hint("merge"), [*keys, "_g"]).drop("_g")
 
 
 def _runs(n: int) -> Column:

@@ -183,3 +183,14 @@ def test_leaderboard_works_its_means_out_once(spark, request):
         got = leaderboard(df, ["c"], "s", "q", "p", partial).collect()
         assert {r["config"] for r in got if r["on_frontier"]} == front
         assert [r["config"] for r in sorted(got, key=lambda r: r["place"])] == ["c=a", "c=b", "c=c", "c=d", "c=e"][: len(got)]
+
+
+def test_contained_phrases_without_broadcast(spark):
+    """Runs of words are many more than the rows that sizes are estimated from, so neither side may be broadcast."""
+    from larder.operators.merging import contained_phrases
+
+    texts = spark.createDataFrame([(1, "A cup of Red-Hot soup"), (2, "red"), (3, None)], "k int, t string")
+    phrases = spark.createDataFrame([(1, "red hot"), (1, "hot soup"), (1, "of hot"), (2, "red hot"), (3, "red")], "k int, p string")
+    found = contained_phrases(texts, phrases, ["k"], "t", "p")
+    assert sorted((r["k"], r["p"]) for r in found.collect()) == [(1, "hot soup"), (1, "red hot")]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
