@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,9 +173,9 @@ def highlights(chunks: DataFrame, keys: Sequence[str], text: str, lane_of: str,
 def topic_containers(blocks: DataFrame, keys: Sequence[str], order: str, words: str, anchors: str, header: str, long: int = 25) -> DataFrame:
     """keys, order, container: a new one begins at a header, where a block's anchors (array) share none with the container's, and at long blocks (words) without anchors in a container that has some."""
 
-    def fold(df: pd.DataFrame) -> Iterator[tuple]:
+    def fold(rows: list[tuple]) -> Iterator[tuple]:
         n, known, begun = -1, set(), False
-        for place, size, found, head in df.sort_values(order)[[order, words, anchors, header]].itertuples(index=False):
+        for place, size, found, head in rows:
             found = set(found) if found is not None else set()
             apart = bool(found and known and not found & known) or bool(not found and known and size > long)
             if head or not begun or apart:
@@ -185,7 +184,7 @@ def topic_containers(blocks: DataFrame, keys: Sequence[str], order: str, words:
             yield place, n
 
     kind = blocks.schema[order].dataType.simpleString()
-    return per_sequence(blocks, keys, [order, words, anchors, header], fold, f"{order} {kind}, container int")
+    return per_sequence(blocks, keys, order, [order, words, anchors, header], fold, f"{order} {kind}, container int")
 
 
 def bridged(chunks: DataFrame, keys: Sequence[str], order: str, start: str, end: str, text: str, has_table: str, most: int = 120) -> DataFrame:
@@ -194,9 +193,9 @@ def bridged(chunks: DataFrame, keys: Sequence[str], order: str, start: str, end:
     What is joined is judged as a whole again, so several headings in a row go together.
     """
 
-    def fold(df: pd.DataFrame) -> Iterator[tuple]:
+    def fold(rows: list[tuple]) -> Iterator[tuple]:
         n, pending = -1, None  # pending: end, text, whether it has a table
-        for place, a, b, t, table in df.sort_values(order)[[order, start, end, text, has_table]].itertuples(index=False):
+        for place, a, b, t, table in rows:
             if pending is not None and pending[0] + 1 == a and not table and not pending[2] and _bridge(pending[1], most):
                 pending = (b, f"{pending[1]}\n{t}", table)
             else:
@@ -204,7 +203,7 @@ def bridged(chunks: DataFrame, keys: Sequence[str], order: str, start: str, end:
             yield place, n
 
     kind = chunks.schema[order].dataType.simpleString()
-    return per_sequence(chunks, keys, [order, start, end, text, has_table], fold, f"{order} {kind}, merged int")
+    return per_sequence(chunks, keys, order, [order, start, end, text, has_table], fold, f"{order} {kind}, merged int")
 
 
 def _bridge(text: str, most: int) -> bool:

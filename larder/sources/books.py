@@ -1,12 +1,12 @@
-"""Recipes in the blocks of a book: where each begins and ends. One book's blocks are one task's frame."""
+"""Recipes in the blocks of a book: where each begins and ends. One book's blocks are one task's list."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.recipes import line_kind, starts_with_quantity
@@ -29,30 +29,43 @@ class Reach:
 
 def flagged(blocks: DataFrame, key: str, order: str, text: str, level: str | None = None, excluded: str | None = None) -> DataFrame:
     """key, place (from 0), text and FLAGS: what the search for recipes looks at. level: a block's heading level, if known."""
-    t, kind = F.trim(F.coalesce(text, F.lit(""))), line_kind(F.trim(F.coalesce(text, F.lit(""))))
-    low, depth = F.regexp_replace(F.lower(t), ":+$", ""), F.col(level) if level else F.lit(None).cast("int")
+    # A row works out its text, kind and lower case once, not for each flag; and after the shuffle, as a small file is read by few tasks.
+    given = {"_level": F.col(level) if level else F.lit(None).cast("int"), "_excluded": F.col(excluded) if excluded else F.lit(False)}
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    lines = blocks.select(key, place.cast("long").alias("place"), F.trim(F.coalesce(text, F.lit(""))).alias("text"), *(c.alias(n) for n, c in given.items()))
+    lines = lines.withColumns({"_kind": line_kind(F.col("text")), "_low": F.regexp_replace(F.lower("text"), ":+$", "")})
+    t, kind, low, depth = (F.col(c) for c in ("text", "_kind", "_low", "_level"))
     flags = {
         "is_yield": kind == "yield", "is_time": kind == "time", "ingredients": low.isin("ingredients", "ingredient"), "section": F.coalesce(depth == 1, F.lit(False)) | low.rlike(r"^(?:chapter|part)\s+(?:\d+|[ivxlc]+|one|two|three|four|five|six|seven|eight|nine|ten)\b"),
         "variation": low.rlike(r"^(?:variations?|variants?)\b.{0,30}$"), "title": (title_like(t) & (kind == "prose")) | F.coalesce(depth > 1, F.lit(False)), "ingredient": (kind == "ingredient") | (starts_with_quantity(t) & ~t.rlike("[.!?]$")),
-        "instruction": kind.isin("instruction", "numbered"), "excluded": F.coalesce(F.col(excluded), F.lit(False)) if excluded else F.lit(False),
+        "instruction": kind.isin("instruction", "numbered"), "excluded": F.col("_excluded"),
     }
-    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    return blocks.select(key, place.cast("long").alias("place"), t.alias("text"), *(F.coalesce(c, F.lit(False)).alias(n) for n, c in flags.items()))
+    return lines.select(key, "place", "text", *(F.coalesce(c, F.lit(False)).alias(n) for n, c in flags.items()))
+
+
+#: A flag's bit in what _Book gets.
+BITS = {f: 1 << i for i, f in enumerate(FLAGS)}
+_STOPS, _PASSED = BITS["excluded"] | BITS["ingredients"] | BITS["section"], BITS["is_yield"] | BITS["is_time"]
 
 
 class _Book:
-    """One book's flags, by place."""
+    """One book's flags and lengths of texts, by place. rows: tuples that begin with the length and the flags' bits, in order."""
 
-    def __init__(self, df: pd.DataFrame, reach: Reach):
-        df = df.sort_values("place")
-        self.text, self.n, self.reach = df["text"].tolist(), len(df), reach
-        self.flag = {f: df[f].to_numpy(bool) for f in FLAGS}
+    def __init__(self, rows: list[tuple], reach: Reach):
+        self.length, self.bits = [r[0] for r in rows], [r[1] for r in rows]
+        self.n, self.reach = len(rows), reach
+
+    def has(self, flag: str, i: int) -> bool:
+        return bool(self.bits[i] & BITS[flag])
+
+    def count(self, flag: str, start: int, end: int) -> int:
+        return sum(1 for b in self.bits[start:end] if b & BITS[flag])
 
     def stops(self, i: int) -> bool:
-        return bool(self.flag["excluded"][i] or self.flag["ingredients"][i] or self.flag["section"][i])
+        return bool(self.bits[i] & _STOPS)
 
     def passed(self, i: int) -> bool:
-        return bool(self.flag["is_yield"][i] or self.flag["is_time"][i])
+        return bool(self.bits[i] & _PASSED)
 
     def title_before(self, anchor: int, limit: int) -> int | None:
         """The nearest title before an anchor, from the first of adjoining ones; else the nearest short line that is neither ingredient nor instruction."""
@@ -62,11 +75,11 @@ class _Book:
                 break
             if self.passed(i):
                 continue
-            if self.flag["title"][i]:
-                while i > max(0, anchor - limit) and self.flag["title"][i - 1] and not self.stops(i - 1) and not self.passed(i - 1):
+            if self.has("title", i):
+                while i > max(0, anchor - limit) and self.has("title", i - 1) and not self.stops(i - 1) and not self.passed(i - 1):
                     i -= 1
                 return i
-            if spare is None and len(self.text[i]) <= self.reach.title and not self.flag["ingredient"][i] and not self.flag["instruction"][i]:
+            if spare is None and self.length[i] <= self.reach.title and not self.has("ingredient", i) and not self.has("instruction", i):
                 spare = i
         return spare
 
@@ -74,9 +87,9 @@ class _Book:
         """Whether a title has a run of ingredients close behind."""
         run = 0
         for j in range(i + 1, min(self.n, i + 1 + self.reach.within)):
-            if self.flag["title"][j] and not self.flag["title"][j - 1]:  # adjoining titles are one
+            if self.has("title", j) and not self.has("title", j - 1):  # adjoining titles are one
                 return False
-            run = run + 1 if self.flag["ingredient"][j] else 0
+            run = run + 1 if self.has("ingredient", j) else 0
             if run >= self.reach.run:
                 return True
         return False
@@ -84,23 +97,23 @@ class _Book:
     def end_after(self, anchor: int) -> int:
         """Where the recipe of an anchor ends: at what is excluded, at a section, at the next recipe's title or ingredients; variations belong to it."""
         for i in range(anchor + 1, self.n):
-            if self.flag["excluded"][i] or (self.flag["section"][i] and not self.flag["variation"][i]):
+            if self.has("excluded", i) or (self.has("section", i) and not self.has("variation", i)):
                 return i
-            if self.flag["variation"][i]:
+            if self.has("variation", i):
                 continue
-            if self.flag["ingredients"][i]:
+            if self.has("ingredients", i):
                 before = self.title_before(i, self.reach.from_header)
                 if before is not None and before > anchor:
                     return before
-                if any(self.flag["ingredient"][anchor:i]):
+                if self.count("ingredient", anchor, i):
                     return i
-            elif self.flag["title"][i] and self.begins_recipe(i):
+            elif self.has("title", i) and self.begins_recipe(i):
                 return i
         return self.n
 
     def candidates(self) -> Iterator[tuple[int, int, int, float]]:
         """(start, end, anchor, score) by yields, where there are any, else by headings of ingredients and titles with a run of them."""
-        yields = [i for i in range(self.n) if self.flag["is_yield"][i] and not self.flag["excluded"][i]]
+        yields = [i for i in range(self.n) if self.has("is_yield", i) and not self.has("excluded", i)]
         end = 0
         if yields:
             starts = {}
@@ -109,12 +122,12 @@ class _Book:
                 starts.setdefault(i if start is None else start, i)
             anchors = sorted(starts.items())
         else:
-            anchors = [(None, i) for i in range(self.n) if not self.flag["excluded"][i] and (self.flag["ingredients"][i] or (self.flag["title"][i] and self.begins_recipe(i)))]
+            anchors = [(None, i) for i in range(self.n) if not self.has("excluded", i) and (self.has("ingredients", i) or (self.has("title", i) and self.begins_recipe(i)))]
         for start, anchor in anchors:
             if anchor < end:
                 continue
             if start is None:
-                before = None if self.flag["title"][anchor] else self.title_before(anchor, self.reach.from_header)
+                before = None if self.has("title", anchor) else self.title_before(anchor, self.reach.from_header)
                 start = anchor if before is None else before
             if start < end:
                 continue
@@ -123,28 +136,34 @@ class _Book:
 
     def score(self, start: int, end: int) -> float:
         """A third each for a title, for two ingredients and for an instruction."""
-        has = (self.flag["title"][start], self.flag["ingredient"][start:end].sum() >= 2, self.flag["instruction"][start:end].any())
+        has = (self.has("title", start), self.count("ingredient", start, end) >= 2, self.count("instruction", start, end) > 0)
         return round(sum(map(bool, has)) / 3, 6)
 
 
+def _packed(rows: DataFrame, key: str) -> DataFrame:
+    """key, place, _n, _b: the length of each text and its flags as bits, which is all that the search looks at."""
+    bits = reduce(Column.bitwiseOR, (F.when(F.col(f), bit).otherwise(0) for f, bit in BITS.items()))
+    return rows.select(key, "place", F.char_length("text").alias("_n"), bits.alias("_b"))
+
+
 def candidates(rows: DataFrame, key: str, reach: Reach = Reach()) -> DataFrame:
     """key, start, end (exclusive), anchor, score of the recipes of each book; rows: from flagged()."""
-    return per_sequence(rows, [key], ["place", "text", *FLAGS], lambda df: _Book(df, reach).candidates(), "start long, end long, anchor long, score double")
+    return per_sequence(_packed(rows, key), [key], "place", ["_n", "_b"], lambda found: _Book(found, reach).candidates(), "start long, end long, anchor long, score double")
 
 
 def split_sections(rows: DataFrame, key: str, least: int = 2) -> DataFrame:
     """key, place, part: a block of lines that may hold several recipes, cut before each title that has evidence on both sides: `least` ingredients or instructions since the last cut, and a run of ingredients or a yield soon after."""
 
-    def fold(df: pd.DataFrame) -> Iterator[tuple[int, int]]:
-        book, part, seen = _Book(df, Reach()), 0, 0
-        for i, place in enumerate(df.sort_values("place")["place"]):
-            soon = book.begins_recipe(i) or any(book.flag["is_yield"][i + 1 : i + 2])
-            if i and book.flag["title"][i] and seen >= least and soon:
+    def fold(found: list[tuple]) -> Iterator[tuple[int, int]]:
+        book, part, seen = _Book(found, Reach()), 0, 0
+        for i, (_, _, place) in enumerate(found):
+            soon = book.begins_recipe(i) or book.count("is_yield", i + 1, i + 2) > 0
+            if i and book.has("title", i) and seen >= least and soon:
                 part, seen = part + 1, 0
-            seen += int(book.flag["ingredient"][i] or book.flag["instruction"][i])
+            seen += int(book.has("ingredient", i) or book.has("instruction", i))
             yield place, part
 
-    return per_sequence(rows, [key], ["place", "text", *FLAGS], fold, "place long, part int")
+    return per_sequence(_packed(rows, key), [key], "place", ["_n", "_b", "place"], fold, "place long, part int")
 
 
 def owned(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.operators import folds
-from larder.sources import records
+from larder.sources import books, records
 from larder.streaming import telemetry
 
 
@@ -94,3 +94,16 @@ def test_telemetry_stream(spark, tmp_path):
     assert ("a", 0, 5, 1) in got and ("b", 35, 5, 0) in got and not any(n == 6 for _, _, n, _ in got)
     batch = telemetry.read(spark, source, streaming=False)
     assert batch.count() == 82 and batch.agg(F.min("active")).first()[0] == 0
+
+
+def test_short_sequences_share_batches(spark, request):
+    """Sequences may be nearly as many as rows: none gets a frame of its own, and one may go on over several batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    keys = [float("nan"), None, *map(float, range(9))]
+    rows = [(k, 9 - i, "T" if i == 9 else "i") for k in keys for i in range(10)]
+    found = folds.sessions(spark.createDataFrame(rows, "k double, pos long, label string").repartition(4), ["k"], "pos", "label", "T", ["i"], ["i"])
+    assert sorted(map(str, found.collect())) == sorted(f"Row(k={k}, start=0, end=9, accepted=True)" for k in keys)
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    lines = spark.createDataFrame([(k, i, t) for k in range(40) for i, t in enumerate(["Apple Pie", "Serves 6", "2 cups flour", "1 tsp salt", "Mix it."])], "k int, o int, t string")
+    assert {tuple(r)[1:] for r in books.candidates(books.flagged(lines, "k", "o", "t"), "k").collect()} == {(0, 5, 1, 1.0)}
