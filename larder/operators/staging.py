@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from larder.functions.recipes import UNITS, VERBS, line_kind, servings
 from larder.functions.text import title_like
 from larder.operators.folds import sessions
-from larder.operators.intervals import overlap_join
 from larder.operators.sequences import named_spans
 from larder.sources.recipes import json_ld_text
 
@@ -32,9 +31,15 @@ class Staged:
 
 def labelled(lines: DataFrame, key: str, line: str, text: str, units=UNITS, verbs=VERBS) -> DataFrame:
     """key, line, text, label: the line's kind; prose that looks like a title, and before ingredients or a yield, is the title."""
-    rows = lines.filter(F.trim(text) != "").select(key, line, F.trim(text).alias("text")).withColumn("_k", line_kind(F.col("text"), units, verbs))
+    return _labelled(lines, key, line, text, units, verbs).drop("place")
+
+
+def _labelled(lines: DataFrame, key: str, line: str, text: str, units, verbs) -> DataFrame:
+    # Places come first, so that kinds are worked out after the shuffle: a small file is read by few tasks.
+    place = (F.row_number().over(Window.partitionBy(key).orderBy(line)) - 1).cast("long")
+    rows = lines.filter(F.trim(text) != "").select(key, line, F.trim(text).alias("text"), place.alias("place")).withColumn("_k", line_kind(F.col("text"), units, verbs))
     ahead = Window.partitionBy(key).orderBy(line).rowsBetween(1, 2)
-    soon = F.array_contains(F.collect_list("_k").over(ahead), "ingredient") | F.array_contains(F.collect_list("_k").over(ahead), "yield")
+    soon = F.coalesce(F.max(F.col("_k").isin("ingredient", "yield")).over(ahead), F.lit(False))
     title = (F.col("_k") == "prose") & title_like(F.col("text")) & soon
     return rows.withColumn("label", F.when(title, "title").when(F.col("_k") == "numbered", "instruction").otherwise(F.col("_k"))).drop("_k")
 
@@ -49,12 +54,13 @@ def recipe_spans(rows: DataFrame, key: str, line: str) -> DataFrame:
 
 def stage(lines: DataFrame, key: str, line: str, text: str, units=UNITS, verbs=VERBS) -> Staged:
     """All tables for lines of documents (key, line, text)."""
-    rows = labelled(lines, key, line, text, units, verbs)
-    rows = rows.withColumn("place", (F.row_number().over(Window.partitionBy(key).orderBy(line)) - 1).cast("long"))
+    rows = _labelled(lines, key, line, text, units, verbs)
     spans = recipe_spans(rows.select(key, line, "text", "label"), key, line)
-    accepted = spans.filter("accepted").select(key, "recipe", F.col("start").alias("_s"), F.col("end").alias("_e"))
-    owned = overlap_join(rows.withColumn("_q", F.col("place")), accepted, [key], ("place", "_q", "_s", "_e")).select(key, "place", "recipe")
-    full = rows.join(owned, [key, "place"], "left")
+    # Accepted spans don't overlap: a row belongs to the last that has begun, unless that has ended.
+    begun = F.last("_s", ignorenulls=True).over(Window.partitionBy(key).orderBy("place", F.col("_s").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    marks = spans.filter("accepted").select(key, F.col("start").alias("place"), F.struct("end", "recipe").alias("_s"))
+    full = rows.unionByName(marks, allowMissingColumns=True).withColumn("_in", begun).filter("_s IS NULL")
+    full = full.withColumn("recipe", F.when(F.col("place") <= F.col("_in.end"), F.col("_in.recipe"))).drop("_s", "_in")
     category = F.when(F.col("label").isin("note", "prose"), "candidate").otherwise("exclude")
     outside = named_spans(full.filter("recipe IS NULL").select(key, "place", category.alias("category")), [key], "place", "category")
     part = lambda label: F.transform(F.array_sort(F.collect_list(F.when(F.col("label") == label, F.struct("place", "text")))), lambda r: r["text"])
