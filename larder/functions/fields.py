@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ EMPTY = "__EMPTY__"
 NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that each row works out once, however often body uses it; a plain column would be copied to each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_of(x: Column) -> Column:
     return x.cast("string")
 

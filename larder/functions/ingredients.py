@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larder.functions.fields import let
 from larder.functions.recipes import servings
 
 #: Short and plural forms of units.
@@ -21,6 +22,7 @@ UNIT_NAMES = {
 CONTAINERS = ("can", "cans", "tin", "tins", "jar", "jars", "clove", "cloves", "stalk", "stalks", "bunch", "bunches", "sprig", "sprigs", "package", "packages", "packet", "packets", "stick", "sticks", "bottle", "bottles", "bag", "bags", "box", "boxes", "slice", "slices", "head", "heads")
 SIZES = ("small", "medium", "large", "extra-large", "jumbo")
 _FRACTIONS = {"½": "1/2", "⅓": "1/3", "⅔": "2/3", "¼": "1/4", "¾": "3/4", "⅛": "1/8", "⅜": "3/8", "⅝": "5/8", "⅞": "7/8"}
+_TASTE = r"(?i)\b(?:to taste|as needed|as desired)\b"
 _N = r"\d+\s+\d+/\d+|\d+/\d+|\d+(?:\.\d+)?"
 
 
@@ -56,6 +58,10 @@ def packaging(x: Column) -> Column:
 
 def number(x: Column) -> Column:
     """'1 1/2', '3/4' or '2.5' as a number; null for others."""
+    return let(x, _number)
+
+
+def _number(x: Column) -> Column:
     whole, top, bottom = (F.regexp_extract(x, r"^(?:(\d+)\s+)?(\d+)/(\d+)$", g) for g in (1, 2, 3))
     fraction = F.try_divide(F.nullif(top, F.lit("")).cast("double"), F.nullif(bottom, F.lit("")).cast("double"))
     return F.when(x.rlike(r"^\d+(?:\.\d+)?$"), x.try_cast("double")).when(top != "", F.coalesce(F.nullif(whole, F.lit("")).cast("double"), F.lit(0.0)) + fraction)
@@ -67,35 +73,52 @@ def ingredient(x: Column, units: Mapping[str, Sequence[str]] = UNIT_NAMES, conta
     A range counts as its midpoint rounded up. What follows the first comma is the preparation, what is in parentheses a
     note, and so is a size that stands as a unit. 'to taste' and the like make a line approximate.
     """
-    raw = F.trim(F.coalesce(x, F.lit("")))
-    tidy = tidy_line(raw)
-    packed = packaging(tidy)
-    line, pack = (packed["text"], packed["note"]) if with_packaging else (tidy, F.lit(None).cast("string"))
-    low = F.lower(line)
-    header = F.endswith(raw, F.lit(":")) | (low.rlike(r"^for the [a-z ]{2,40}$"))
-    inside = F.regexp_extract_all(line, F.lit(r"\(([^)]*)\)"), F.lit(1))
+    split = lambda raw: let(tidy_line(raw), lambda tidy: let(packaging(tidy) if with_packaging else F.struct(tidy.alias("text"), F.lit(None).cast("string").alias("note")), lambda p: _split(raw, p["text"], p["note"])))
+    named = lambda p: let(_worded(p, units, containers, sizes), lambda w: _ingredient(p, w, units, containers))
+    return let(F.trim(F.coalesce(x, F.lit(""))), lambda raw: let(split(raw), named))
+
+
+def _split(raw: Column, line: Column, pack: Column) -> Column:
+    """A struct of a line's parts: what is in parentheses, the numbers that it begins with, and the rest."""
     body = F.trim(F.regexp_replace(F.regexp_replace(line, r"\([^)]*\)", " "), r"\s+", " "))
-    first, second = (F.regexp_extract(body, rf"^({_N})(?:\s*(?:-|to)\s*({_N}))?(?=\s|$|[A-Za-z])", g) for g in (1, 2))
-    a, b = number(first), number(F.nullif(second, F.lit("")))
-    quantity = F.when(b.isNotNull() & (a != b), F.ceil((a + b) / 2).cast("double")).otherwise(a)
-    rest = F.trim(F.regexp_replace(body, rf"^(?:{_N})(?:\s*(?:-|to)\s*(?:{_N}))?(?=\s|$|[A-Za-z])", ""))
-    word = F.regexp_extract(rest, r"^([A-Za-z-]+\.?)(?=\s|$)", 1)
+
+    def parts(body: Column) -> Column:
+        first, second = (F.regexp_extract(body, rf"^({_N})(?:\s*(?:-|to)\s*({_N}))?(?=\s|$|[A-Za-z])", g) for g in (1, 2))
+        rest = F.trim(F.regexp_replace(body, rf"^(?:{_N})(?:\s*(?:-|to)\s*(?:{_N}))?(?=\s|$|[A-Za-z])", ""))
+        inside = F.regexp_extract_all(line, F.lit(r"\(([^)]*)\)"), F.lit(1))
+        return F.struct(raw.alias("raw"), F.lower(line).alias("low"), pack.alias("pack"), inside.alias("inside"), number(first).alias("a"), number(F.nullif(second, F.lit(""))).alias("b"), rest.alias("rest"))
+
+    return let(body, parts)
+
+
+def _worded(p: Column, units: Mapping[str, Sequence[str]], containers: Sequence[str], sizes: Sequence[str]) -> Column:
+    """A struct of the word after the numbers, whether it is a unit or a size, and what follows, without words of vagueness."""
     forms = sorted({f for full, fs in units.items() for f in (full, *fs)} | set(containers))
-    is_unit, is_size = a.isNotNull() & F.lower(word).isin(*forms), a.isNotNull() & F.lower(word).isin(*sizes)
-    after = F.when(is_unit | is_size, F.trim(F.substring(rest, F.length(word) + 1, F.length(rest)))).otherwise(rest)
-    after = F.when(is_unit, F.regexp_replace(after, r"(?i)^of\s+", "")).otherwise(after)
-    taste = r"(?i)\b(?:to taste|as needed|as desired)\b"
+
+    def after(word: Column) -> Column:
+        is_unit, is_size = p["a"].isNotNull() & F.lower(word).isin(*forms), p["a"].isNotNull() & F.lower(word).isin(*sizes)
+        left = F.when(is_unit | is_size, F.trim(F.substring(p["rest"], F.length(word) + 1, F.length(p["rest"])))).otherwise(p["rest"])
+        left = F.when(is_unit, F.regexp_replace(left, r"(?i)^of\s+", "")).otherwise(left)
+        clean = F.trim(F.regexp_replace(F.regexp_replace(left, rf"{_TASTE}|(?i)\boptional\b", ""), r"\s+", " "))
+        return F.struct(word.alias("word"), is_unit.alias("is_unit"), is_size.alias("is_size"), clean.alias("clean"))
+
+    return let(F.regexp_extract(p["rest"], r"^([A-Za-z-]+\.?)(?=\s|$)", 1), after)
+
+
+def _ingredient(p: Column, w: Column, units: Mapping[str, Sequence[str]], containers: Sequence[str]) -> Column:
+    raw, low, a, b, clean = p["raw"], p["low"], p["a"], p["b"], w["clean"]
+    header = F.endswith(raw, F.lit(":")) | (low.rlike(r"^for the [a-z ]{2,40}$"))
+    quantity = F.when(b.isNotNull() & (a != b), F.ceil((a + b) / 2).cast("double")).otherwise(a)
     vague = low.rlike(r"\b(?:to taste|as needed|as desired|a few|a handful|some)\b")
     optional = low.rlike(r"\boptional\b")
-    clean = F.trim(F.regexp_replace(F.regexp_replace(after, rf"{taste}|(?i)\boptional\b", ""), r"\s+", " "))
     name = F.regexp_replace(F.trim(F.substring_index(clean, ",", 1)), r"^[\s,;:-]+|[\s,;:-]+$", "")
     preparation = F.nullif(F.regexp_replace(F.trim(F.substring(clean, F.length(F.substring_index(clean, ",", 1)) + 2, F.length(clean))), r"^[\s,;:-]+|[\s,;:-]+$", ""), F.lit(""))
-    notes = F.filter(F.concat(F.transform(inside, lambda n: F.trim(n)), F.array(F.when(is_size, F.lower(word)), F.nullif(F.regexp_extract(low, taste, 0), F.lit("")), pack)), lambda n: n.isNotNull() & (n != "") & (F.lower(n) != "optional"))
+    notes = F.filter(F.concat(F.transform(p["inside"], lambda n: F.trim(n)), F.array(F.when(w["is_size"], F.lower(w["word"])), F.nullif(F.regexp_extract(low, _TASTE, 0), F.lit("")), p["pack"])), lambda n: n.isNotNull() & (n != "") & (F.lower(n) != "optional"))
     kind = F.when(raw == "", "empty").when(header, "header").when(quantity.isNotNull(), "exact").when(vague, "approximate").otherwise("unquantified")
     plain = header | (raw == "")
     given = lambda c: F.when(~plain, c)
     return F.struct(
-        kind.alias("kind"), given(quantity).alias("quantity"), given(F.when(is_unit, unit_name(word, units, containers))).alias("unit"), F.when(header, F.regexp_replace(raw, r"\s*:+$", "")).otherwise(F.nullif(name, F.lit(""))).alias("name"),
+        kind.alias("kind"), given(quantity).alias("quantity"), given(F.when(w["is_unit"], unit_name(w["word"], units, containers))).alias("unit"), F.when(header, F.regexp_replace(raw, r"\s*:+$", "")).otherwise(F.nullif(name, F.lit(""))).alias("name"),
         given(preparation).alias("preparation"), given(F.nullif(F.array_join(notes, "; "), F.lit(""))).alias("note"), given(optional).alias("optional"),
     )
 

@@ -66,3 +66,13 @@ def test_headers_and_flattened_tables(spark):
     texts = ["Fahrenheit Celsius 300 150 350 175 400 205", "Cup size Grams used 1 cup 200 g 2 cups 400 g 3 cups 600 g", "no table 1 2", "A B 1 2 3 4 5"]
     got = column(spark, texts, Y.flattened_table)
     assert got[0]["headers"] == ["Fahrenheit", "Celsius"] and got[0]["rows"][1] == ["350", "175"] and got[1]["headers"] == ["Cup size", "Grams used"] and got[1]["rows"][2] == ["3 cups", "600 g"] and got[2] is None and got[3] is None
+
+
+def test_ingredients_work_out_each_part_once(spark):
+    """What several fields are made of isn't copied to each of them: the plan of a line stays small."""
+    from larder.functions.ingredients import ingredient
+
+    df = spark.createDataFrame([("2-4 large eggs (beaten), sifted",), (None,), ("1 1/2 tbsp. of oil, to taste",)], "t string").select(ingredient(F.col("t"), with_packaging=True).alias("i"))
+    assert df._jdf.queryExecution().analyzed().toString().lower().count("regexp_replace") < 60
+    got = [(r["i"]["kind"], r["i"]["quantity"], r["i"]["unit"], r["i"]["name"], r["i"]["preparation"], r["i"]["note"]) for r in df.collect()]
+    assert got == [("exact", 3.0, None, "eggs", "sifted", "beaten; large"), ("empty", None, None, None, None, None), ("exact", 1.5, "tablespoon", "oil", None, "to taste")]
