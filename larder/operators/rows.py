@@ -6,15 +6,17 @@ Features, roles and labels are column expressions and windows; splitting is a fu
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions import recipes as R
-from larder.functions.fields import cascade
+from larder.functions.fields import cascade, let
 from larder.functions.text import title_like
 
 INGREDIENT_HEADERS = ("ingredients", "ingredient list", "you will need", "for the ingredients")
@@ -54,6 +56,7 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
     return spans + [(start, len(text))] if start < len(text) else spans
 
 
+@lru_cache
 def _cues(s: Splitting) -> list[re.Pattern]:
     """What a new row begins with: notes, yields with an amount, headings of components, numbered steps."""
     amount = r"(?=\W+(?:about |around |approximately )?(?:\d|a |an |one|two|three|four|five|six|eight|ten|twelve))"
@@ -150,18 +153,33 @@ def _cut(row: str, starts: Sequence[int]) -> list[str]:
 
 def offsets(text: str, rows: Sequence[str]) -> list[tuple[int, int]]:
     """Where the rows stand in the text, one after another, white space aside; a row that isn't found stands at the end of the one before, empty."""
-    out, cursor = [], 0
+    out, cursor, bare, places = [], 0, None, []
     for row in rows:
-        pattern = r"\s*".join(re.escape(c) for c in row if not c.isspace())
-        m = re.compile(pattern).search(text, cursor)
-        out.append(m.span() if m else (cursor, cursor))
-        cursor = out[-1][1]
+        row_bare = "".join(row.split())
+        if not row_bare:
+            out.append((cursor, cursor))
+            continue
+        at = cursor
+        while at < len(text) and text[at].isspace():
+            at += 1
+        if text.startswith(row, at) and not row[0].isspace():  # nothing can match earlier
+            end = at + len(row.rstrip())
+        else:
+            if bare is None:  # the text without white space, and where its characters stand
+                bare, places = "".join(text.split()), [i for i, c in enumerate(text) if not c.isspace()]
+            found = bare.find(row_bare, bisect_left(places, cursor))
+            at, end = (places[found], places[found + len(row_bare) - 1] + 1) if found >= 0 else (cursor, cursor)
+        out.append((at, end))
+        cursor = end
     return out
 
 
 def rule_tags(x: Column, units: Sequence[str] = R.UNITS, verbs: Sequence[str] = R.VERBS) -> Column:
     """What a row looks like by itself, as names; several may hold."""
-    kind, low = R.line_kind(x, units, verbs), F.lower(F.trim(x))
+    return let(R.line_kind(x, units, verbs), lambda kind: let(F.lower(F.trim(x)), lambda low: _rule_tags(x, kind, low)))
+
+
+def _rule_tags(x: Column, kind: Column, low: Column) -> Column:
     words = F.size(F.split(F.trim(x), r"\s+"))
     timed = low.rlike(r"\b\d+\s*(?:seconds?|secs?|minutes?|mins?|hours?|hrs?)\b")
     prose = (words >= 10) & F.trim(x).rlike(r"[.!?][\"')]*$")

@@ -89,3 +89,12 @@ def test_line_roles_look_around(spark):
 def test_variants(spark):
     got = column(spark, [["Mix.", "Variation", "- use pears", "For the sauce", "Stir.", "Variant: no salt"], [], None], lambda x: R.split_variants(x), "array<string>")
     assert got[0] == (["- use pears", "Variant: no salt"], ["Mix.", "For the sauce", "Stir."]) and got[1] == ([], []) and got[2] == ([], [])
+
+
+def test_offsets_compile_no_pattern(monkeypatch):
+    """Rows are found by a search for their characters, white space aside, whatever their length."""
+    from larder.operators import rows as W
+
+    monkeypatch.setattr(W.re, "compile", None)
+    assert W.offsets("2 / 3 cup\tflour, 1 egg; a b ab", ["2/3 cup flour", "1 egg", "", "ab", "ab", "none"]) == [(0, 15), (17, 22), (22, 22), (24, 27), (28, 30), (30, 30)]
+    assert W.offsets("x " * 50_000, ["x " * 50_000, "x"]) == [(0, 99_999), (99_999, 99_999)]
