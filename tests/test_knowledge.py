@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from larder.functions.cues import wider
 from larder.operators import knowledge as K
 from larder.operators import layout as Y
 
@@ -59,6 +60,36 @@ def test_chunks_of_knowledge(spark):
     assert [(r["start"], r["end"], r["lane"]) for r in got] == [(0, 2, "knowledge"), (3, 4, "noise")] and got[0]["n"] == 1
 
 
+def test_chunks_move_once_and_judge_once(spark):
+    """Blocks are shuffled once, without joins, and no pattern of lanes is worked out again for a filter or a later column."""
+    df = spark.createDataFrame([("b", 0, "x")], "k string, o int, t string")
+    plan = K.knowledge_chunks(df, ["k"], "o", "t").select("k", "chunk", "lane", "n")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert plan.count("bestselling") == 1 and plan.count("favou?rite") == 1 and plan.count("prevents?|allows?") <= 3
+
+
+def test_cues_of_chunks_beside_other_letters(spark):
+    """What RE2 may overlook or find too often doesn't change lanes and tips."""
+    texts = ["Élan: my\u00a0mother ¡i remember! «my» “love” we love our days, I\u2028love", "Tip —\trest\x0bit so\n that it works\x0b well, because\r\nit must.", "émy élove müse", "\u212aeep it cool. You should\n \n always keep it cold instead.", None]
+    df = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "k int, o int, t string")
+    got = {r["k"]: r for r in K.knowledge_chunks(df, ["k"], "o", "t").collect()}
+    assert len(got) == 5
+    judged = df.select("k", F.coalesce("t", F.lit("")).alias("t")).withColumn("lane", K.lane(F.col("t"), F.lit(None).cast("string"), F.lit(False)))
+    tips = {r["k"]: r["n"] for r in K.tips(judged.filter("lane = 'knowledge'"), ["k"], "t", F.lit(""), F.array().cast("array<string>")).filter("scope <> 'not_tip'").groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert {k: (r["lane"], r["n"]) for k, r in got.items()} == {r["k"]: (r["lane"], tips.get(r["k"], 0)) for r in judged.collect()}
+    assert got[0]["lane"] == "noise" and got[1]["n"] == 1 and got[3]["n"] == 1
+    c = K.Lanes(marketing=r"(?<=for )sale(?=!)", noise={r"\bnew\b": (0.3, 0.3)})
+    rows = spark.createDataFrame([(0, 0, "new: for sale!"), (1, 0, "new: for sale")], "k int, o int, t string")
+    assert [r["lane"] for r in K.knowledge_chunks(rows, ["k"], "o", "t", c=c).orderBy("k").collect()] == ["noise", "knowledge"]
+
+
+def test_wider_patterns():
+    """Boundaries stay only beside letters of the pattern; what isn't sure to be wider has no form."""
+    assert wider(r"^(?:use|so that)\b") == r"(?:use|so[\s\x0B]+that)\b" and wider(r"\b(?:if (?:it|the).{1,40}not|a?b)\b") == r"(?:if[\s\x0B]+(?:it|the)(?s:.*)not|a?b)\b"
+    assert wider(r"\b°|x\b°") == r"°|x\b°" and wider(r"(?:a|-)\b") == "(?:a|-)" and wider(r"\b\d+\s*(?:°|hours?)\b") == r"\b\d+[\s\x0B]*(?:°|hours?)"
+    assert [wider(p) for p in (r"(?<=a)b", "a$", r"[^a]b", r"a\wb", "a+", r"[ a]b", "a{2}", r"(a)\1")] == [None] * 8
+
+
 def test_headers_and_flattened_tables(spark):
     df = spark.createDataFrame([(["Cut", ""], ["2", "3"], False), (["a", "b"], ["c", "d"], True), (["a", "b"], ["c", "d"], False)], "a array<string>, b array<string>, d boolean")
     got = [r[0] for r in df.select(Y.with_headers(F.col("a"), F.col("b"), F.col("d"))).collect()]
